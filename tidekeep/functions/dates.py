@@ -30,11 +30,17 @@ def parse_time(c: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 
 def month_int(c: Column) -> Column:
-    return F.date_format(c, "yyyyMM").cast("int")
+    """yyyyMM as a number, by arithmetic rather than by formatting text."""
+    return F.year(c) * 100 + F.month(c)
 
 
 def day_int(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd").cast("int")
+    return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+
+
+def day_text(day: Column) -> Column:
+    """A yyyyMMdd number as yyyy-MM-dd text."""
+    return F.date_format(F.make_date((day / 10000).cast("int"), (day / 100).cast("int") % 100, day % 100), "yyyy-MM-dd")
 
 
 def day_int_from_text(c: Column) -> Column:

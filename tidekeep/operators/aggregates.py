@@ -44,8 +44,8 @@ def daily_counts(
     first, last = check_days(as_of, days, trace)
     c = F.col(time_column)
     inside = (c >= time_literal(df, time_column, first)) & (c <= time_literal(df, time_column, last))
-    day = F.date_format(c, "yyyy-MM-dd").alias("syn_date")
-    return df.where(inside).groupBy(*by, day).agg(F.count(F.lit(1)).alias(name))
+    counts = df.where(inside).groupBy(*by, F.to_date(c).alias("_day")).agg(F.count(F.lit(1)).alias(name))
+    return counts.select(*by, F.date_format("_day", "yyyy-MM-dd").alias("syn_date"), name)
 
 
 def daily_counts_union(
@@ -199,11 +199,11 @@ def final_status(log: DataFrame, targets: DataFrame, as_of: datetime) -> DataFra
 def daily_profile(df: DataFrame, time_column: str, as_of: datetime) -> DataFrame:
     """Rows per day over the half year before `as_of`, newest day first."""
     young = age_seconds(F.col(time_column), as_of) <= HALF_YEAR_SECONDS
-    day = F.date_format(time_column, "yyyy-MM-dd").alias("day")
     # The plain bound lets the scan skip old files; the exact test is the one on the age.
     floor = time_literal(df, time_column, as_of - timedelta(seconds=HALF_YEAR_SECONDS + 1))
     rows = df.where((F.col(time_column) >= floor) & young)
-    return rows.groupBy(day).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("day").desc())
+    counts = rows.groupBy(F.to_date(time_column).alias("_day")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(F.date_format("_day", "yyyy-MM-dd").alias("day"), "rows").orderBy(F.col("day").desc())
 
 
 def recent_finished(log: DataFrame, task_id: str, as_of: datetime, days: int = 2) -> DataFrame:

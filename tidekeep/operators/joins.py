@@ -174,10 +174,14 @@ def delete_exists(target: DataFrame, deletes: DataFrame, pk: str, keep_deleted:
     return pick(marked, id_values(deletes), ["_id"]).drop("_id")
 
 
+def logged_days(log: DataFrame, table: str, lo_day: int, hi_day: int) -> DataFrame:
+    """Log rows of one table in the given day partitions, both included."""
+    return log.where((F.col("table_name") == table) & F.col(PARTITION_COLUMN).between(lo_day, hi_day))
+
+
 def rebuild_without(target: DataFrame, log: DataFrame, pk: str, table: str, lo_day: int, hi_day: int) -> DataFrame:
     """The table without keys logged on the given days."""
-    rows = log.where((F.col("table_name") == table) & F.col(PARTITION_COLUMN).between(lo_day, hi_day))
-    return anti_by_id_value(target, rows, [pk])
+    return anti_by_id_value(target, logged_days(log, table, lo_day, hi_day), [pk])
 
 
 def enrich(df: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PARTITION_COLUMN, TaskConfig, day_of, end_day, shift_months
+from ..functions.dates import day_int
 from ..functions.text import strip_suffix
 from ..operators.joins import without
 from ..operators.project import apply_filters, cdc_window, project, route
@@ -48,7 +49,7 @@ def backfill_days(
     moment = F.col("dml_event_time") - F.expr("interval 1 second")
     pairs = changed.select(
         strip_suffix(F.col("table_name"), (HISTORY_SUFFIX,)).alias("table_name"),
-        F.date_format(moment, "yyyyMMdd").cast("int").alias("backfill_day"),
+        day_int(moment).alias("backfill_day"),
     )
     return pairs.where(F.col("backfill_day") >= day_of(shift_months(as_of, -12))).distinct()
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..config import PARTITION_COLUMN, day_of
 from ..functions.dates import time_literal
 from ..operators.aggregates import pending_delete_ranges
-from ..operators.joins import delete_exists, logged_deletes, rebuild_without
-from ..sinks.tables import write_full
+from ..operators.joins import delete_exists, logged_days, logged_deletes, rebuild_without
+from ..sinks.files import FileTree
+from ..sinks.tables import replace_partitions, write_full
 from ..sources.scans import read_table
 
 
@@ -40,9 +41,23 @@ def mark_processed(
 def delete_repair(
     spark: SparkSession, path: str, log: DataFrame, pk: str, table: str, lo_day: int, hi_day: int
 ) -> None:
-    """Rebuild a table without the logged keys; the old table comes back if anything fails."""
-    rows = rebuild_without(read_table(spark, path), log, pk, table, lo_day, hi_day)
-    write_full(rows, path, PARTITION_COLUMN if PARTITION_COLUMN in rows.columns else None)
+    """Rebuild a table without the logged keys; the old table comes back if anything fails.
+
+    Of a partitioned table only the partitions that hold such a key are rewritten. They are found by
+    reading two columns; their list, at most one number per partition, decides what to replace.
+    """
+    target = read_table(spark, path)
+    if not FileTree(spark).is_partitioned(path, PARTITION_COLUMN):
+        write_full(rebuild_without(target, log, pk, table, lo_day, hi_day), path)
+        return
+    hit = delete_exists(
+        target.select(pk, PARTITION_COLUMN), logged_days(log, table, lo_day, hi_day), pk, keep_deleted=True
+    )
+    places = [row[0] for row in hit.select(PARTITION_COLUMN).distinct().collect()]
+    if places:
+        inside = F.coalesce(F.col(PARTITION_COLUMN).isin(*[p for p in places if p is not None]), F.lit(None in places))
+        rows = rebuild_without(target.where(inside), log, pk, table, lo_day, hi_day)
+        replace_partitions(rows, path, places, beyond="refuse")
 
 
 def delete_repair_run(
@@ -66,5 +81,6 @@ def delete_repair_run(
     delete_repair(spark, warehouse_path, log, pk, table, day_of(begin), day_of(end))
     deletes = logged_deletes(log, table, time_column, begin, end)
     write_full(delete_exists(read_table(spark, report_path), deletes, pk), report_path)
-    write_full(mark_processed(log, table, begin, end, time_column), log_path, PARTITION_COLUMN)
+    column = PARTITION_COLUMN if FileTree(spark).is_partitioned(log_path, PARTITION_COLUMN) else None
+    write_full(mark_processed(log, table, begin, end, time_column), log_path, column)
     return True

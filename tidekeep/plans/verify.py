@@ -19,7 +19,7 @@ from ..config import (
     day_of,
     time_text,
 )
-from ..functions.dates import time_literal
+from ..functions.dates import day_text, time_literal
 from ..operators.aggregates import (
     check_days,
     daily_counts,
@@ -55,8 +55,7 @@ def verify_sync(
         ours = daily_counts_union(source, history, time_column, as_of, days, trace, by)
     first, last = check_days(as_of, days, trace)
     counted = partition_counts(target, day_of(first), day_of(last), by)
-    day = F.date_format(F.to_date(F.col(PARTITION_COLUMN).cast("string"), "yyyyMMdd"), "yyyy-MM-dd")
-    theirs = counted.select(*by, day.alias("syn_date"), "target_count")
+    theirs = counted.select(*by, day_text(F.col(PARTITION_COLUMN)).alias("syn_date"), "target_count")
     merged = merge_counts(ours, theirs, [*by, "syn_date"])
     return sigma_check(merged, by, days, factor).withColumn("create_date", F.lit(time_text(as_of)))
 

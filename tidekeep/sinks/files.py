@@ -26,9 +26,8 @@ class FileTree:
         fs, target = self._at(path)
         return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
-    def make(self, path: str) -> None:
-        fs, target = self._at(path)
-        fs.mkdirs(target)
+    def is_partitioned(self, path: str, column: str) -> bool:
+        return any(n.startswith(f"{column}=") for n in self.names(path))
 
     def move(self, old: str, new: str) -> None:
         fs, source = self._at(old)

@@ -35,7 +35,7 @@ SHORT_LIVED = ("_stg", "_tmp", "_temp", "_cln")
 
 
 def _partition(column: str, value: object) -> str:
-    return f"{column}={value}"
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
 def _rebalanced(df: DataFrame, column: str | None) -> DataFrame:
@@ -52,7 +52,7 @@ def _stage(df: DataFrame, path: str, column: str | None, fmt: str = "parquet") -
 def replace_partitions(
     df: DataFrame,
     path: str,
-    covered: Iterable[int],
+    covered: Iterable[int | None],
     column: str = PARTITION_COLUMN,
     beyond: str = "replace",
     fmt: str = "parquet",

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidekeep import TaskConfig
+from tidekeep.functions.dates import day_text
 from tidekeep.operators import aggregates as a
 from tidekeep.operators.joins import merge_counts
 from tidekeep.plans import verify
@@ -70,8 +71,7 @@ def a3(spark, sf_dir):
 )
 def a4(spark, sf_dir):
     by = ["group_name", "task_name"]
-    day = F.date_format(F.to_date(F.col("partition_date").cast("string"), "yyyyMMdd"), "yyyy-MM-dd")
-    theirs = a3(spark, sf_dir).select(*by, day.alias("syn_date"), "target_count")
+    theirs = a3(spark, sf_dir).select(*by, day_text(F.col("partition_date")).alias("syn_date"), "target_count")
     return a.sigma_check(merge_counts(a1(spark, sf_dir), theirs, [*by, "syn_date"]), by, 20, 1.5)
 
 

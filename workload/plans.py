@@ -272,7 +272,7 @@ def k11(spark, sf_dir):
     warehouse, report, log = (scratch_path(spark, n) for n in ("warehouse", "report", "deletes"))
     sink.append_partitions(ods(spark, sf_dir), warehouse)
     sink.write_full(ods(spark, sf_dir), report)
-    sink.append_partitions(pending(spark, sf_dir), log)
+    sink.write_full(pending(spark, sf_dir), log)
     repair.delete_repair_run(spark, warehouse, report, log, "order_key", "orders")
 
     def summary(place, df, key):

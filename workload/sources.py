@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidekeep import TaskConfig
 from tidekeep.config import day_of
+from tidekeep.functions.dates import day_int
 from tidekeep.functions.types import apply_type_overrides
 from tidekeep.session import scratch_path
 from tidekeep.sinks import tables as sink
@@ -190,7 +191,7 @@ def r12(spark, sf_dir):
 
 def _events_by_day(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    return df.withColumn("partition_date", F.date_format("ts", "yyyyMMdd").cast("int"))
+    return df.withColumn("partition_date", day_int(F.col("ts")))
 
 
 EVENT_DAYS = (
