@@ -32,6 +32,8 @@ class FileTree:
     def move(self, old: str, new: str) -> None:
         fs, source = self._at(old)
         _, target = self._at(new)
+        if not fs.exists(source):
+            raise FileNotFoundError(old)
         fs.mkdirs(target.getParent())
         if not fs.rename(source, target):
             raise OSError(f"could not move {old} to {new}")
