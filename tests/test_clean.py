@@ -102,6 +102,13 @@ def test_table_is_cleaned_in_place_and_again_without_change(spark, frames, sync_
     assert rows(read_table(spark, path), "k", "v", "partition_date") == once
 
 
+def test_first_clean_of_a_missing_table(spark, frames):
+    _, delta, log = frames
+    path = scratch_path(spark, "first")
+    clean.run_clean(spark, path, delta, log, CFG, BEGIN, END, schema=delta.schema)
+    assert rows(read_table(spark, path), "k", "v") == [(1, "v2"), (4, "both new"), (5, "revived")]
+
+
 def test_incremental_drops_keys_in_both_and_keeps_every_version(spark, frames):
     target, delta, log = frames
     target = target.withColumn("partition_date", target.partition_date * 100 + 1)

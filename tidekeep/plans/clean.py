@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..config import AUDIT_ODS, SyncType, TaskConfig, day_of, end_day, lookback_months, shift_months
 from ..operators.joins import anti_by_delta_and_log, delete_in, delta_minus_deletes, id_values, key_texts, log_range
@@ -88,9 +89,13 @@ def run_clean(
     begin: datetime,
     end: datetime,
     as_of: datetime | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
-    """Clean a month-partitioned table in place, the way its configuration asks for."""
-    target = read_table(spark, path)
+    """Clean a month-partitioned table in place, the way its configuration asks for.
+
+    The schema is needed only when the table may be empty or missing.
+    """
+    target = read_table(spark, path, schema=schema)
     lo, hi = lookback_months(begin, end, cfg.lookback_months)
     if cfg.sync_type == SyncType.REWRITE:
         rows = clean_rewrite(target, delta, log, cfg, begin, end, as_of)

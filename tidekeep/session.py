@@ -36,17 +36,13 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tidekeep-")
     spark.conf.set("spark.checkpoint.dir", root)
-    delete_on_exit(spark, root)
     return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed when the session's JVM ends."""
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    delete_on_exit(spark, path)
-    return path
-
-
-def delete_on_exit(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    """A fresh path under the shared folder; its folder is removed when the session's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/data"

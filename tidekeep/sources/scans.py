@@ -12,14 +12,19 @@ from pyspark.sql import types as T
 from ..config import FIELD_DELIMITER, LINE_DELIMITER, PARTITION_COLUMN
 from ..functions.dates import time_literal
 from ..functions.text import decode_nulls
+from ..sinks.files import FileTree
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
-    """A columnar table; partition columns come from the directory names."""
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+    """A columnar table; partition columns come from the directory names.
+
+    With a schema the table may also be empty, or not written yet.
+    """
+    if schema is None:
+        return spark.read.format(fmt).load(path)
+    if not FileTree(spark).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).load(path)
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -92,9 +92,9 @@ def k1(spark, sf_dir):
         sync_time_column="capture_time",
         select_columns=("seq_no", "dml_type", "table_name", "id_column_value", "capture_time", "partition_date"),
     )
-    path = scratch_path(spark, "thl")
-    logs.run_cdc_demux(cdc(spark, sf_dir), cfg, datetime(2024, 1, 8), datetime(2024, 1, 20), path)
-    return read_table(spark, path)
+    path, window = scratch_path(spark, "thl"), (datetime(2024, 1, 8), datetime(2024, 1, 20))
+    logs.run_cdc_demux(cdc(spark, sf_dir), cfg, *window, path)
+    return read_table(spark, path, schema=logs.cdc_demux(cdc(spark, sf_dir), cfg, *window).schema)
 
 
 @query(
