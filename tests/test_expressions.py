@@ -177,3 +177,33 @@ def test_jdbc_slices_cover_the_range_once():
     ]
     with pytest.raises(ValueError):
         jdbc.slice_bounds(lo, hi, 0)
+
+
+class Recorder:
+    """Stands in for a session: notes how Spark's JDBC reader is called."""
+
+    def __init__(self):
+        self.calls = []
+
+    @property
+    def read(self):
+        return self
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((url, table, options))
+        return self
+
+
+def test_jdbc_reader_options():
+    spark = Recorder()
+    jdbc.read_jdbc(spark, "jdbc:x", "t", {"fetchsize": "9"}, {"a": "string", "b": "decimal(9,2)"})
+    assert spark.calls == [("jdbc:x", "t", {"properties": {"fetchsize": "9", "customSchema": "a string, b decimal(9,2)"}})]
+
+
+def test_jdbc_sliced_reader_uses_one_predicate_per_reader():
+    spark = Recorder()
+    jdbc.read_jdbc_sliced(spark, "jdbc:x", "t", "at", datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 1, 500000), 2)
+    assert spark.calls[0][2]["predicates"] == [
+        "at >= '2024-01-01 00:00:00' AND at < '2024-01-01 00:00:00.750000'",
+        "at >= '2024-01-01 00:00:00.750000' AND at <= '2024-01-01 00:00:01.500000'",
+    ]

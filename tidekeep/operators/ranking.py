@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import time_text
+from ..functions.dates import time_literal
 
 _RANK = "_rank"
 
@@ -55,13 +55,13 @@ def _runs(log: DataFrame, scheduler: str, group: str, status: str) -> DataFrame:
 
 def latest_run(log: DataFrame, scheduler: str, group: str, status: str, since: datetime) -> DataFrame:
     """The run with the newest end, among those created after `since`."""
-    runs = _runs(log, scheduler, group, status).where(F.col("create_time") > F.lit(time_text(since)))
+    runs = _runs(log, scheduler, group, status).where(F.col("create_time") > time_literal(log, "create_time", since))
     return runs.orderBy(F.col("sync_end_time").desc(), F.col("id")).limit(1)
 
 
 def runs_since(log: DataFrame, scheduler: str, group: str, status: str, since: datetime) -> DataFrame:
     """Runs ending after `since`, oldest first."""
-    runs = _runs(log, scheduler, group, status).where(F.col("sync_end_time") > F.lit(time_text(since)))
+    runs = _runs(log, scheduler, group, status).where(F.col("sync_end_time") > time_literal(log, "sync_end_time", since))
     return runs.orderBy("sync_end_time", "id")
 
 

@@ -7,7 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import time_text
+from ..config import TaskConfig, validate_window
+from ..operators.project import apply_filters
+from .extract import boundaries, extract_incremental, window_predicate
 
 
 def read_jdbc(
@@ -38,7 +40,7 @@ def slice_bounds(lo: datetime, hi: datetime, n: int) -> list[str]:
     if n < 1:
         raise ValueError("at least one reader is needed")
     step = (hi - lo) / n
-    return [time_text(lo + step * i) for i in range(n)] + [time_text(hi)]
+    return [cut.isoformat(sep=" ") for cut in (*[lo + step * i for i in range(n)], hi)]
 
 
 def read_jdbc_sliced(
@@ -72,3 +74,27 @@ def write_jdbc(
     if column_types:
         writer = writer.option("createTableColumnTypes", column_types)
     writer.jdbc(url, table, properties=dict(properties or {}))
+
+
+def extract_jdbc_sliced(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    cfg: TaskConfig,
+    begin: datetime,
+    end: datetime,
+    readers: int,
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One window read by several connections, cut between its first and last time.
+
+    The boundary query reads the time column of the window only. An empty window needs one reader.
+    """
+    validate_window(begin, end)
+    whole = read_jdbc(spark, url, table, properties)
+    window = whole.where(window_predicate(whole, cfg, begin, end))
+    lo, hi = boundaries(apply_filters(window, cfg.filters), cfg.sync_time_column).first()
+    if readers == 1 or lo is None or lo == hi:
+        return extract_incremental(whole, cfg, begin, end)
+    sliced = read_jdbc_sliced(spark, url, table, cfg.sync_time_column, lo, hi, readers, properties)
+    return extract_incremental(sliced, cfg, begin, end)

@@ -12,8 +12,31 @@ from tidekeep.functions.dates import day_int, month_int
 from tidekeep.functions.text import composite_key
 
 
+# Declared, so that opening a table needs no job to infer it.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 FEEDS: dict[str, str] = {}
@@ -84,7 +107,7 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The order table's delete log: the fulfilled lines; sequence numbers grow with time.
 FEEDS["thl"] = """
-    SELECT CAST(epoch(l_shipdate) AS BIGINT) + l_linenumber AS seq_no,
+    SELECT CAST(epoch(date_trunc('day', l_shipdate)) AS BIGINT) + l_linenumber AS seq_no,
            CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS dml_type,
            'retail' AS db_name, 'orders' AS table_name, 'order_key' AS id_column_name,
            CAST(l_orderkey AS VARCHAR) AS id_column_value,
@@ -99,7 +122,7 @@ def thl(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .where("l_linestatus = 'F'")
         .select(
-            (F.unix_seconds(c("l_shipdate").cast("timestamp")) + c("l_linenumber")).alias("seq_no"),
+            (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86400 + c("l_linenumber")).alias("seq_no"),
             F.when(c("l_returnflag") == "R", 0).when(c("l_returnflag") == "A", 1).otherwise(2).alias("dml_type"),
             F.lit("retail").alias("db_name"),
             F.lit("orders").alias("table_name"),
@@ -149,7 +172,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FEEDS["line_log"] = """
-    SELECT CAST(epoch(l_shipdate) AS BIGINT) + l_linenumber AS seq_no,
+    SELECT CAST(epoch(date_trunc('day', l_shipdate)) AS BIGINT) + l_linenumber AS seq_no,
            concat(l_orderkey, ',', l_linenumber) AS id_column_value,
            CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS partition_date
     FROM lineitem WHERE l_returnflag = 'R'"""
@@ -161,7 +184,7 @@ def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .where("l_returnflag = 'R'")
         .select(
-            (F.unix_seconds(c("l_shipdate").cast("timestamp")) + c("l_linenumber")).alias("seq_no"),
+            (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86400 + c("l_linenumber")).alias("seq_no"),
             composite_key("l_orderkey", "l_linenumber").alias("id_column_value"),
             day_int(c("l_shipdate")).alias("partition_date"),
         )
@@ -180,8 +203,12 @@ FEEDS["cdc"] = """
 
 
 def cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc_rows(table(spark, sf_dir, "events"))
+
+
+def cdc_rows(events: DataFrame) -> DataFrame:
     c = F.col
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         c("event_id").alias("seq_no"),
         F.when(c("value") < 20, 0).when(c("value") < 60, 1).otherwise(2).alias("dml_type"),
         F.when(c("user_id") < 50, "crm").otherwise("retail").alias("db_name"),

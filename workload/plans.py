@@ -16,11 +16,13 @@ from tidekeep.plans import clean, export, repair, sqltask, verify
 from tidekeep.session import scratch_path
 from tidekeep.sinks import tables as sink
 from tidekeep.sources.scans import read_landing, read_table
-from tidekeep.streaming import positions
+from tidekeep.streaming import demux, positions
 
 from .aggregates import AS_OF, MERGED, checked_sql
 from .feeds import (
+    SCHEMAS,
     cdc,
+    cdc_rows,
     counted_source,
     counted_target,
     landing,
@@ -108,6 +110,19 @@ def k1_all(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query(
+    "k1_cdc_demux_stream",
+    with_feeds("cdc") + "SELECT seq_no, dml_type, db_name, table_name, id_column_value, partition_date FROM cdc",
+)
+def k1_stream(spark, sf_dir):
+    raw = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = cdc_rows(raw).select("seq_no", "dml_type", "db_name", "table_name", "id_column_value", "partition_date")
+    path, progress = scratch_path(spark, "thl_stream"), scratch_path(spark, "progress")
+    for _ in range(2):
+        demux.route_new_rows(rows, path, progress)
+    return read_table(spark, path, schema=rows.schema)
+
+
 @query("k2_clean_rewrite", with_feeds("ods", "landing", "thl") + f", {merged_sql('ods')} SELECT * FROM merged")
 def k2(spark, sf_dir):
     return clean.clean_rewrite(ods(spark, sf_dir), landed(spark, sf_dir), thl(spark, sf_dir), CLEAN, BEGIN, END, STAMP)
