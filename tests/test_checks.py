@@ -74,6 +74,9 @@ def test_matching_rows_equal_the_joined_rows(spark):
     master = spark.createDataFrame([(1, day), (1, day), (2, day), (3, day), (2, day + timedelta(days=9))], "bill_no int, at timestamp_ntz")
     task = verify.CountedTask(TaskConfig("g", "t"), detail, detail.limit(0), "at", master, master, (("bill_no", "bill_no"),))
     assert rows(verify.reconcile_counts([task], day, day + timedelta(days=1))) == [("g", "t", 11, 0)]
+    cfg = TaskConfig("g", "t", filters=("and t.bill_no not in (2)", "p.bill_no < 9"))
+    fewer = verify.CountedTask(cfg, detail, detail.limit(0), "at", master, master, (("bill_no", "bill_no"),))
+    assert rows(verify.reconcile_counts([fewer], day, day + timedelta(days=1))) == [("g", "t", 8, 0)]
     same = verify.CountedTask(TaskConfig("g", "t"), detail, detail, "at", master, master, (("bill_no", "bill_no"),))
     assert rows(verify.reconcile_counts([same], day, day + timedelta(days=1))) == []
 

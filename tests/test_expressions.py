@@ -106,6 +106,8 @@ def test_filters_may_start_with_and(spark):
     df = spark.range(10)
     assert rows(project.apply_filters(df, ["and id > 2", " AND id < 6 ", "id <> 4 and id <> 3"])) == [(5,)]
     assert project.apply_filters(df, []).count() == 10
+    assert rows(project.apply_filters(df, ["and t2.id = 3"], project.EXPORT_ALIAS)) == [(3,)]
+    assert project.project(df, ["src_t.id", "src_t.id + 1 as next"], project.CLEAN_ALIAS).columns == ["id", "next"]
 
 
 def test_align_schema_is_additive_and_ignores_case(spark):

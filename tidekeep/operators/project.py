@@ -26,14 +26,18 @@ from ..functions.text import has_prefix, strip_suffix
 BUSINESS_PREFIXES = {"rt": "U010101", "sp": "U010102", "all": ""}
 LOG_SUFFIXES = ("_yg_thl", "_thl")
 
+# The aliases configured columns and filters are qualified by, per stage.
+SOURCE_ALIAS, DETAIL_ALIAS, CLEAN_ALIAS, EXPORT_ALIAS = "t", "p", "src_t", "t2"
 
-def project(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
-    """An ordered list of columns or `expression as name`."""
-    return df.selectExpr(*expressions)
 
+def project(df: DataFrame, expressions: Sequence[str], alias: str = SOURCE_ALIAS) -> DataFrame:
+    """An ordered list of columns or `expression as name`; columns may be qualified by the alias."""
+    return df.alias(alias).selectExpr(*expressions)
 
-def apply_filters(df: DataFrame, fragments: Sequence[str]) -> DataFrame:
-    """All fragments must hold. A fragment may start with its own "and"."""
+
+def apply_filters(df: DataFrame, fragments: Sequence[str], alias: str = SOURCE_ALIAS) -> DataFrame:
+    """All fragments must hold. A fragment may start with its own "and", and qualify columns by the alias."""
+    df = df.alias(alias)
     for fragment in fragments:
         df = df.where(re.sub(r"^\s*and\s+", "", fragment, flags=re.IGNORECASE))
     return df

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..config import AUDIT_ODS, SyncType, TaskConfig, day_of, end_day, lookback_months, shift_months
 from ..operators.joins import anti_by_delta_and_log, delete_in, delta_minus_deletes, id_values, key_texts, log_range
 from ..operators.aggregates import max_seq
-from ..operators.project import apply_filters, drop_sentinels, in_lookback, project, with_audit, with_month
+from ..operators.project import CLEAN_ALIAS, apply_filters, drop_sentinels, in_lookback, project, with_audit, with_month
 from ..operators.ranking import latest_per_key
 from ..operators.setops import union_all
 from ..sinks.tables import overwrite_month_range, write_full
@@ -25,7 +25,7 @@ from ..sources.scans import read_partitions, read_table
 
 def _shape(rows: DataFrame, cfg: TaskConfig, as_of: datetime | None) -> DataFrame:
     """The configured columns, the audit time, and the month the row belongs to."""
-    out = project(rows, cfg.select_columns)
+    out = project(rows, cfg.select_columns, CLEAN_ALIAS)
     if as_of is not None:
         out = with_audit(out, AUDIT_ODS, as_of)
     return with_month(out, cfg.sync_time_column)
@@ -48,8 +48,8 @@ def _merge(
     landed = read_partitions(delta, *days)
     logged = read_partitions(log, *days) if log is not None else None
     old = in_lookback(target, begin, end, cfg.lookback_months)
-    kept = anti_by_delta_and_log(apply_filters(old, cfg.filters), landed, logged, cfg.primary_keys)
-    fresh = _shape(apply_filters(landed, cfg.filters), cfg, as_of)
+    kept = anti_by_delta_and_log(apply_filters(old, cfg.filters, CLEAN_ALIAS), landed, logged, cfg.primary_keys)
+    fresh = _shape(apply_filters(landed, cfg.filters, CLEAN_ALIAS), cfg, as_of)
     newest = latest_per_key(fresh, cfg.primary_keys, cfg.sync_time_column)
     return union_all(_shape(kept, cfg, as_of), newest)
 
@@ -130,7 +130,7 @@ def clean_incremental(
     landed table is taken whole. The new position is one number, the only thing the driver sees.
     """
     landed = read_partitions(delta, day_of(begin), end_day(end))
-    keys = key_texts(apply_filters(landed, cfg.filters), cfg.primary_keys)
+    keys = key_texts(apply_filters(landed, cfg.filters, CLEAN_ALIAS), cfg.primary_keys)
     inserted, newest = delta, position
     if log is not None:
         newest = max_seq(log).first()[0] or 0
@@ -140,7 +140,7 @@ def clean_incremental(
         inserted = delta_minus_deletes(landed, log, cfg.primary_keys, position, newest)
     oldest = day_of(shift_months(begin, -cfg.lookback_months))
     kept = delete_in(target, keys, cfg.primary_keys, oldest)
-    added = project(apply_filters(inserted, cfg.filters), cfg.select_columns)
+    added = project(apply_filters(inserted, cfg.filters, CLEAN_ALIAS), cfg.select_columns, CLEAN_ALIAS)
     return IncrementalClean(union_all(kept, added), newest)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SyncType, TaskConfig, time_text
-from ..operators.project import apply_filters, export_filter, in_export_span, project
+from ..operators.project import EXPORT_ALIAS, apply_filters, export_filter, in_export_span, project
 from ..sinks.tables import replicate_partitions, upsert, write_full
 from ..sources.scans import read_table
 
@@ -25,7 +25,7 @@ def export_snapshot(df: DataFrame, cfg: TaskConfig, as_of: datetime, is_log: boo
     if not cfg.full_load:
         grain = "month" if cfg.sync_type == SyncType.REWRITE else "day"
         rows = in_export_span(rows, as_of, cfg.export_days, grain)
-    return project(apply_filters(rows, cfg.filters), cfg.select_columns)
+    return project(apply_filters(rows, cfg.filters, EXPORT_ALIAS), cfg.select_columns, EXPORT_ALIAS)
 
 
 def task_status(spark: SparkSession, cfg: TaskConfig, status: str, as_of: datetime) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -30,7 +31,7 @@ from ..operators.aggregates import (
     sigma_check,
 )
 from ..operators.joins import merge_counts
-from ..operators.project import apply_filters
+from ..operators.project import DETAIL_ALIAS, SOURCE_ALIAS, apply_filters
 from ..operators.setops import union_all
 from ..sinks.tables import upsert
 
@@ -88,7 +89,10 @@ def verify_duplicates(tables: Iterable[CheckedTable], as_of: datetime, days: int
 
 @dataclass(frozen=True)
 class CountedTask:
-    """One table to reconcile. With a master, rows count once per matching master row in the window."""
+    """One table to reconcile. With a master, rows count once per matching master row in the window.
+
+    A filter of a detail task concerns the master when it qualifies columns by its alias.
+    """
 
     cfg: TaskConfig
     source: DataFrame
@@ -116,6 +120,18 @@ def _matching_rows(
     return left.join(right, names).agg(F.coalesce(F.sum(F.col("_d") * F.col("_m")), F.lit(0)).alias("n"))
 
 
+def _filtered_source(task: CountedTask) -> tuple[DataFrame, DataFrame | None]:
+    """Source and its master, each with the configured filters that concern it."""
+    if task.source_master is None:
+        return apply_filters(task.source, task.cfg.filters), None
+    on_master = [f for f in task.cfg.filters if re.search(rf"\b{SOURCE_ALIAS}\.", f)]
+    on_detail = [f for f in task.cfg.filters if f not in on_master]
+    return (
+        apply_filters(task.source, on_detail, DETAIL_ALIAS),
+        apply_filters(task.source_master, on_master, SOURCE_ALIAS),
+    )
+
+
 def _count(task: CountedTask, df: DataFrame, master: DataFrame | None, begin: datetime, end: datetime) -> DataFrame:
     if task.cfg.full_load:
         return df.agg(F.count(F.lit(1)).alias("n"))
@@ -130,7 +146,7 @@ def count_tasks(tasks: Iterable[CountedTask], begin: datetime, end: datetime) ->
     for task in tasks:
         name = [F.lit(task.cfg.group).alias("group_name"), F.lit(task.cfg.trigger).alias("task_name")]
         nothing = F.lit(0).cast("bigint")
-        ours = _count(task, apply_filters(task.source, task.cfg.filters), task.source_master, begin, end)
+        ours = _count(task, *_filtered_source(task), begin, end)
         theirs = _count(task, task.target, task.target_master, begin, end)
         parts.append(ours.select(*name, F.col("n").alias("source_count"), nothing.alias("target_count")))
         parts.append(theirs.select(*name, nothing.alias("source_count"), F.col("n").alias("target_count")))

@@ -45,7 +45,7 @@ CLEAN = TaskConfig(
     primary_keys=("order_key",),
     select_columns=("order_key", "party_key", "status", "amount", "update_time", "ods_update_time"),
     sync_time_column="update_time",
-    filters=("and amount > 1200",),
+    filters=("and src_t.amount > 1200",),
     lookback_months=12,
 )
 # The delta has no audit column of its own; the clean sets it.
