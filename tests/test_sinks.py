@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidekeep.functions.text import encode_nulls
 from tidekeep.session import scratch_path, scratch_root
 from tidekeep.sinks import tables as sink
-from tidekeep.sinks.files import FileTree, Swap
+from tidekeep.sinks.files import FileTree, Swap, recover, staging_path
 from tidekeep.sources.scans import read_landing, read_table
 
 PARTS = "v int, partition_date int"
@@ -62,6 +62,22 @@ def test_failed_swap_puts_the_old_data_back(spark, table):
     assert tree.names(table.rpartition("/")[0]) == ["data"], "nothing may be left beside the table"
 
 
+def test_a_run_that_died_is_undone_by_the_next(spark, table):
+    tree = FileTree(spark)
+    swap = Swap(tree, table)
+    swap.take_out(f"{table}/partition_date=202401")
+    swap.take_out(f"{table}/partition_date=202402")
+    new = spark.createDataFrame([(22,)], "v int")
+    new.write.parquet(f"{table}/partition_date=202402")
+    new.write.parquet(staging_path(table))
+    recover(tree, table)
+    assert rows(read_table(spark, table)) == [(1, 202401), (22, 202402), (3, 202403), (4, 202404)]
+    Swap(tree, table).take_out(table)
+    recover(tree, table)
+    assert rows(read_table(spark, table), "v") == [(1,), (22,), (3,), (4,)]
+    assert tree.names(table.rpartition("/")[0]) == ["data"]
+
+
 def test_failed_job_leaves_the_table_alone(spark, table):
     bad = read_table(spark, table).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
     with pytest.raises(Exception, match="broken"):

@@ -19,6 +19,7 @@ from ..operators.aggregates import max_seq
 from ..operators.project import CLEAN_ALIAS, apply_filters, drop_sentinels, in_lookback, project, with_audit, with_month
 from ..operators.ranking import latest_per_key
 from ..operators.setops import union_all
+from ..sinks.files import FileTree, recover
 from ..sinks.tables import overwrite_month_range, write_full
 from ..sources.scans import read_partitions, read_table
 
@@ -93,8 +94,10 @@ def run_clean(
 ) -> None:
     """Clean a month-partitioned table in place, the way its configuration asks for.
 
-    The schema is needed only when the table may be empty or missing.
+    The schema is needed only when the table may be empty or missing. Running a window again changes
+    nothing, so a run that died is simply repeated.
     """
+    recover(FileTree(spark), path)
     target = read_table(spark, path, schema=schema)
     lo, hi = lookback_months(begin, end, cfg.lookback_months)
     if cfg.sync_type == SyncType.REWRITE:

@@ -12,7 +12,7 @@ from ..config import PARTITION_COLUMN, day_of
 from ..functions.dates import time_literal
 from ..operators.aggregates import pending_delete_ranges
 from ..operators.joins import delete_exists, logged_days, logged_deletes, rebuild_without
-from ..sinks.files import FileTree
+from ..sinks.files import FileTree, recover
 from ..sinks.tables import replace_partitions, write_full
 from ..sources.scans import read_table
 
@@ -73,6 +73,8 @@ def delete_repair_run(
 
     The range of the pending deletes is one row. The log is marked last, so a failed run starts over.
     """
+    for path in (warehouse_path, report_path, log_path):
+        recover(FileTree(spark), path)
     log = read_table(spark, log_path)
     pending = pending_delete_ranges(log, time_column).where(F.col("table_name") == table).first()
     if pending is None:

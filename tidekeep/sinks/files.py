@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -43,15 +45,48 @@ class FileTree:
         fs.delete(target, True)
 
 
+# Marks in the names of folders beside a table that is being written.
+STAGED, REPLACED, WHOLE = ".staged-", ".replaced-", "whole"
+
+
+def staging_path(table: str) -> str:
+    return f"{table.rstrip('/')}{STAGED}{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(tree: FileTree, table: str) -> Iterator[str]:
+    """A folder beside the table to write into; whatever was not moved out of it is removed."""
+    path = staging_path(table)
+    try:
+        yield path
+    finally:
+        tree.remove(path)
+
+
+def recover(tree: FileTree, table: str) -> None:
+    """Undo what a run left behind that died while writing: old data goes back where none replaced it."""
+    parent, _, name = table.rstrip("/").rpartition("/")
+    for entry in tree.names(parent):
+        if entry.startswith(f"{name}{REPLACED}"):
+            for kept in tree.names(f"{parent}/{entry}"):
+                live = table if kept == WHOLE else f"{table}/{kept}"
+                if not tree.exists(live):
+                    tree.move(f"{parent}/{entry}/{kept}", live)
+            tree.remove(f"{parent}/{entry}")
+        elif entry.startswith(f"{name}{STAGED}"):
+            tree.remove(f"{parent}/{entry}")
+
+
 class Swap:
     """Moves new data into place and keeps the old aside until all of it has moved.
 
-    Leaving the block normally drops the old data; leaving it by an error puts it back.
+    Leaving the block normally drops the old data; leaving it by an error puts it back. If the driver
+    itself dies, `recover` does so on the next run.
     """
 
     def __init__(self, tree: FileTree, table: str):
-        self.tree, self.table = tree, table
-        self.aside = f"{table.rstrip('/')}.replaced-{uuid.uuid4().hex}"
+        self.tree, self.table = tree, table.rstrip("/")
+        self.aside = f"{self.table}{REPLACED}{uuid.uuid4().hex}"
         self.done: list[tuple[str, str]] = []
 
     def __enter__(self) -> Swap:
@@ -59,7 +94,7 @@ class Swap:
 
     def take_out(self, path: str) -> None:
         if self.tree.exists(path):
-            kept = f"{self.aside}/{len(self.done)}"
+            kept = f"{self.aside}/{path.rstrip('/')[len(self.table) + 1 :] or WHOLE}"
             self.tree.move(path, kept)
             self.done.append((path, kept))
 

@@ -7,7 +7,6 @@ partition: small partitions are merged into few files, an oversized one is split
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timedelta
 
@@ -28,7 +27,7 @@ from ..functions.text import encode_nulls, scrub_delimiters
 from ..operators.joins import without
 from ..operators.ranking import top_k_per_group
 from ..sources.scans import read_landing, read_partition_list, read_table
-from .files import FileTree, Swap
+from .files import FileTree, Swap, staging
 
 # Tables with these name endings are short-lived and not worth compacting.
 SHORT_LIVED = ("_stg", "_tmp", "_temp", "_cln")
@@ -42,11 +41,9 @@ def _rebalanced(df: DataFrame, column: str | None) -> DataFrame:
     return df.hint("rebalance", F.col(column)) if column else df.hint("rebalance")
 
 
-def _stage(df: DataFrame, path: str, column: str | None, fmt: str = "parquet") -> str:
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+def _save(df: DataFrame, path: str, column: str | None, fmt: str = "parquet") -> None:
     writer = _rebalanced(df, column).write.format(fmt)
-    (writer.partitionBy(column) if column else writer).save(staged)
-    return staged
+    (writer.partitionBy(column) if column else writer).save(path)
 
 
 def replace_partitions(
@@ -64,8 +61,8 @@ def replace_partitions(
     """
     tree = FileTree(df.sparkSession)
     covered_names = {_partition(column, v) for v in covered}
-    staged = _stage(df, path, column, fmt)
-    try:
+    with staging(tree, path) as staged:
+        _save(df, staged, column, fmt)
         written = {n for n in tree.names(staged) if n.startswith(f"{column}=")}
         extra = sorted(written - covered_names)
         if extra and beyond == "refuse":
@@ -80,8 +77,6 @@ def replace_partitions(
                 swap.take_out(live)
                 if name in written:
                     swap.put_in(f"{staged}/{name}", live)
-    finally:
-        tree.remove(staged)
 
 
 def write_day(df: DataFrame, path: str, day: int) -> None:
@@ -92,10 +87,11 @@ def write_day(df: DataFrame, path: str, day: int) -> None:
 def write_full(df: DataFrame, path: str, column: str | None = None, fmt: str = "parquet") -> None:
     """Replace the whole table."""
     tree = FileTree(df.sparkSession)
-    staged = _stage(df, path, column, fmt)
-    with Swap(tree, path) as swap:
-        swap.take_out(path)
-        swap.put_in(staged, path)
+    with staging(tree, path) as staged:
+        _save(df, staged, column, fmt)
+        with Swap(tree, path) as swap:
+            swap.take_out(path)
+            swap.put_in(staged, path)
 
 
 def append_partitions(df: DataFrame, path: str, column: str = PARTITION_COLUMN) -> None:
@@ -183,8 +179,8 @@ def export_rows(df: DataFrame, path: str, writers: int) -> None:
     texts = encode_nulls(scrub_delimiters(df))
     line = F.concat_ws(FIELD_DELIMITER, *[F.col(c) for c in df.columns]).alias("value")
     tree = FileTree(df.sparkSession)
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    texts.select(line).repartition(writers).write.option("lineSep", LINE_DELIMITER).text(staged)
-    with Swap(tree, path) as swap:
-        swap.take_out(path)
-        swap.put_in(staged, path)
+    with staging(tree, path) as staged:
+        texts.select(line).repartition(writers).write.option("lineSep", LINE_DELIMITER).text(staged)
+        with Swap(tree, path) as swap:
+            swap.take_out(path)
+            swap.put_in(staged, path)
