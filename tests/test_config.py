@@ -13,6 +13,7 @@ from tidekeep.config import (
     shift_months,
     validate_window,
 )
+from tidekeep.session import shuffle_settings
 
 
 def test_months_clamp_to_the_last_day():
@@ -55,3 +56,8 @@ def test_window_guard():
     with pytest.raises(ValueError):
         validate_window(datetime(2024, 1, 1), datetime(2024, 1, 2, 0, 0, 1))
     assert day_of(datetime(2024, 1, 2)) == 20240102
+
+
+def test_shuffle_partitions_follow_the_bytes():
+    assert shuffle_settings(1 << 40, 100) == {"spark.sql.shuffle.partitions": "8192"}
+    assert shuffle_settings(1, 100) == {"spark.sql.shuffle.partitions": "200"}

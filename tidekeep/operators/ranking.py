@@ -61,8 +61,8 @@ def latest_run(log: DataFrame, scheduler: str, group: str, status: str, since: d
 
 def runs_since(log: DataFrame, scheduler: str, group: str, status: str, since: datetime) -> DataFrame:
     """Runs ending after `since`, oldest first."""
-    runs = _runs(log, scheduler, group, status).where(F.col("sync_end_time") > time_literal(log, "sync_end_time", since))
-    return runs.orderBy("sync_end_time", "id")
+    after = F.col("sync_end_time") > time_literal(log, "sync_end_time", since)
+    return _runs(log, scheduler, group, status).where(after).orderBy("sync_end_time", "id")
 
 
 def run_window(log: DataFrame, scheduler: str) -> DataFrame:

@@ -20,6 +20,11 @@ RECOMMENDED = {
 }
 
 
+def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Enough shuffle partitions for about 128 MB each; adaptive execution merges those that turn out small."""
+    return {"spark.sql.shuffle.partitions": str(max(2 * cores, -(-shuffled_bytes // (128 << 20))))}
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

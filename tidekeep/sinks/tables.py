@@ -41,8 +41,12 @@ def _rebalanced(df: DataFrame, column: str | None) -> DataFrame:
     return df.hint("rebalance", F.col(column)) if column else df.hint("rebalance")
 
 
-def _save(df: DataFrame, path: str, column: str | None, fmt: str = "parquet") -> None:
-    writer = _rebalanced(df, column).write.format(fmt)
+def _save(df: DataFrame, path: str, column: str | None, fmt: str = "parquet", layout: str = "by partition") -> None:
+    """Write a table. The layout says how rows reach the writing tasks: "by partition" gathers each
+    partition, "by size" only evens out the tasks, "as read" moves nothing and suits plain copies."""
+    if layout != "as read":
+        df = _rebalanced(df, column if layout == "by partition" else None)
+    writer = df.write.format(fmt)
     (writer.partitionBy(column) if column else writer).save(path)
 
 
@@ -53,6 +57,7 @@ def replace_partitions(
     column: str = PARTITION_COLUMN,
     beyond: str = "replace",
     fmt: str = "parquet",
+    layout: str = "by partition",
 ) -> None:
     """Make the covered partitions hold exactly the rows of `df`; those without rows disappear.
 
@@ -62,7 +67,7 @@ def replace_partitions(
     tree = FileTree(df.sparkSession)
     covered_names = {_partition(column, v) for v in covered}
     with staging(tree, path) as staged:
-        _save(df, staged, column, fmt)
+        _save(df, staged, column, fmt, layout)
         written = {n for n in tree.names(staged) if n.startswith(f"{column}=")}
         extra = sorted(written - covered_names)
         if extra and beyond == "refuse":
@@ -81,14 +86,16 @@ def replace_partitions(
 
 def write_day(df: DataFrame, path: str, day: int) -> None:
     """Reload one day partition; repeating it changes nothing."""
-    replace_partitions(df.withColumn(PARTITION_COLUMN, F.lit(day)), path, [day])
+    replace_partitions(df.withColumn(PARTITION_COLUMN, F.lit(day)), path, [day], layout="by size")
 
 
-def write_full(df: DataFrame, path: str, column: str | None = None, fmt: str = "parquet") -> None:
+def write_full(
+    df: DataFrame, path: str, column: str | None = None, fmt: str = "parquet", layout: str = "by partition"
+) -> None:
     """Replace the whole table."""
     tree = FileTree(df.sparkSession)
     with staging(tree, path) as staged:
-        _save(df, staged, column, fmt)
+        _save(df, staged, column, fmt, layout)
         with Swap(tree, path) as swap:
             swap.take_out(path)
             swap.put_in(staged, path)
@@ -129,7 +136,7 @@ def write_landing(df: DataFrame, path: str, column: str | None = None) -> None:
 def landing_to_parquet(spark: SparkSession, source: str, target: str, schema: T.StructType) -> None:
     """A landed text table as Parquet; rows go straight across, without a staging table."""
     column = PARTITION_COLUMN if PARTITION_COLUMN in schema.names else None
-    write_full(read_landing(spark, source, schema), target, column)
+    write_full(read_landing(spark, source, schema), target, column, layout="as read")
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -148,7 +155,7 @@ def replicate_partitions(
 ) -> None:
     """Make the target hold the listed, non-empty partitions of the source and nothing else."""
     rows = read_partition_list(read_table(spark, source), days, time_column, after, before)
-    write_full(rows, target, PARTITION_COLUMN)
+    write_full(rows, target, PARTITION_COLUMN, layout="as read")
 
 
 def repartition_table(df: DataFrame, time_column: str) -> DataFrame:
@@ -164,7 +171,9 @@ def compact(spark: SparkSession, path: str, column: str = PARTITION_COLUMN, sche
     return True
 
 
-def retain_latest(snapshots: DataFrame, keys: Sequence[str], time_column: str, n: int = RETAINED_SNAPSHOTS) -> DataFrame:
+def retain_latest(
+    snapshots: DataFrame, keys: Sequence[str], time_column: str, n: int = RETAINED_SNAPSHOTS
+) -> DataFrame:
     """The n newest snapshots of each table."""
     return top_k_per_group(snapshots, keys, time_column, n)
 

@@ -66,6 +66,8 @@ def read_partition_list(
     return out
 
 
-def run_query(spark: SparkSession, sql: str, args: Mapping[str, object] | None = None, **tables: DataFrame) -> DataFrame:
+def run_query(
+    spark: SparkSession, sql: str, args: Mapping[str, object] | None = None, **tables: DataFrame
+) -> DataFrame:
     """An ad-hoc query; values travel as typed parameters, tables as DataFrames."""
     return spark.sql(sql, args=dict(args or {}), **tables)
