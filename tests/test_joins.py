@@ -37,11 +37,18 @@ def test_combined_anti_join_casts_delta_keys_to_the_target(spark):
     assert [int(r.k) for r in left] == [2]
 
 
+def test_helper_columns_do_not_hide_table_columns(spark):
+    target = spark.createDataFrame([(1, "x", 7)], "k int, _id string, _rank int")
+    log = spark.createDataFrame([("2",)], "id_column_value string")
+    out = ranking.latest_per_key(joins.anti_by_delta_and_log(target, target.limit(0), log, ["k"]), ["k"], "_rank")
+    assert rows(out) == [(1, "x", 7)]
+
+
 def test_delete_in_leaves_other_partitions_and_null_partitions(spark):
     target = spark.createDataFrame(
         [(1, 202401), (1, 202301), (1, None), (2, 202401)], "k int, partition_date int"
     )
-    keys = spark.createDataFrame([("1",)], "_id string")
+    keys = spark.createDataFrame([("1",)], f"{joins.KEY_TEXT} string")
     left = joins.delete_in(target, keys, ["k"], 202312)
     assert rows(left) == [(1, 202301), (1, None), (2, 202401)]
 

@@ -44,8 +44,8 @@ def daily_counts(
     first, last = check_days(as_of, days, trace)
     c = F.col(time_column)
     inside = (c >= time_literal(df, time_column, first)) & (c <= time_literal(df, time_column, last))
-    counts = df.where(inside).groupBy(*by, F.to_date(c).alias("_day")).agg(F.count(F.lit(1)).alias(name))
-    return counts.select(*by, F.date_format("_day", "yyyy-MM-dd").alias("syn_date"), name)
+    counts = df.where(inside).groupBy(*by, F.to_date(c).alias("__day")).agg(F.count(F.lit(1)).alias(name))
+    return counts.select(*by, F.date_format("__day", "yyyy-MM-dd").alias("syn_date"), name)
 
 
 def daily_counts_union(
@@ -83,17 +83,17 @@ def sigma_check(
     task = Window.partitionBy(*by)
     diff = (F.col("target_count") - F.col("source_count")).alias("diff")
     rows = counts.select("*", diff)
-    rows = rows.withColumn("_mean", F.sum("diff").over(task) / F.lit(float(days)))
-    spread = F.sum(F.pow(F.col("diff") - F.col("_mean"), 2)).over(task)
+    rows = rows.withColumn("__mean", F.sum("diff").over(task) / F.lit(float(days)))
+    spread = F.sum(F.pow(F.col("diff") - F.col("__mean"), 2)).over(task)
     absent = F.greatest(F.lit(days) - F.count(F.lit(1)).over(task), F.lit(0))
-    deviation = F.sqrt((spread + absent * F.pow("_mean", 2)) / F.lit(float(days)))
-    rows = rows.withColumn("_low", F.col("_mean") - factor * deviation)
-    rows = rows.withColumn("_high", F.col("_mean") + factor * deviation)
+    deviation = F.sqrt((spread + absent * F.pow("__mean", 2)) / F.lit(float(days)))
+    rows = rows.withColumn("__low", F.col("__mean") - factor * deviation)
+    rows = rows.withColumn("__high", F.col("__mean") + factor * deviation)
     return rows.select(
         *counts.columns,
         "diff",
-        threshold_text(F.col("_low"), F.col("_high")).alias("threshold"),
-        F.when(F.col("diff").between(F.col("_low"), F.col("_high")), 0).otherwise(1).alias("flag"),
+        threshold_text(F.col("__low"), F.col("__high")).alias("threshold"),
+        F.when(F.col("diff").between(F.col("__low"), F.col("__high")), 0).otherwise(1).alias("flag"),
     )
 
 
@@ -169,11 +169,11 @@ def sequential_ids(df: DataFrame, bucket: str, order: Sequence[str], name: str =
     Rows are numbered inside their bucket; bucket sizes, one small row each, give the offsets.
     """
     local = df.withColumn(name, F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
-    sizes = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = sizes.select(bucket, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     joined = local.join(offsets, bucket)
-    return joined.withColumn(name, F.col(name) + F.col("_before")).drop("_before")
+    return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__before")
 
 
 def final_status(log: DataFrame, targets: DataFrame, as_of: datetime) -> DataFrame:
@@ -202,8 +202,8 @@ def daily_profile(df: DataFrame, time_column: str, as_of: datetime) -> DataFrame
     # The plain bound lets the scan skip old files; the exact test is the one on the age.
     floor = time_literal(df, time_column, as_of - timedelta(seconds=HALF_YEAR_SECONDS + 1))
     rows = df.where((F.col(time_column) >= floor) & young)
-    counts = rows.groupBy(F.to_date(time_column).alias("_day")).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.select(F.date_format("_day", "yyyy-MM-dd").alias("day"), "rows").orderBy(F.col("day").desc())
+    counts = rows.groupBy(F.to_date(time_column).alias("__day")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(F.date_format("__day", "yyyy-MM-dd").alias("day"), "rows").orderBy(F.col("day").desc())
 
 
 def recent_finished(log: DataFrame, task_id: str, as_of: datetime, days: int = 2) -> DataFrame:

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PARTITION_COLUMN, TaskConfig
@@ -22,7 +24,11 @@ from ..functions.text import composite_key
 # A distinct key is kept once per spread slot: distinct rows are shuffled by (key, slot), and the join
 # shuffles them again by key alone. The second shuffle is what adaptive skew handling needs to see.
 SPREAD = 16
-_SLOT = "_slot"
+_SLOT = "__slot"
+
+# The key as text, on either side of a join. Helper columns start with two underscores so that they
+# never hide a column of the table.
+KEY_TEXT = "__key"
 
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -47,12 +53,12 @@ def anti_by_keys(target: DataFrame, delta: DataFrame, pks: Sequence[str]) -> Dat
 
 
 def id_values(log: DataFrame) -> DataFrame:
-    return log.select(F.col("id_column_value").cast("string").alias("_id"))
+    return log.select(F.col("id_column_value").cast("string").alias(KEY_TEXT))
 
 
 def anti_by_id_value(target: DataFrame, log: DataFrame, pks: Sequence[str]) -> DataFrame:
     """Target rows whose key text is not the id of a log row."""
-    return without(target.withColumn("_id", composite_key(*pks)), id_values(log), ["_id"]).drop("_id")
+    return without(target.withColumn(KEY_TEXT, composite_key(*pks)), id_values(log), [KEY_TEXT]).drop(KEY_TEXT)
 
 
 def anti_by_delta_and_log(target: DataFrame, delta: DataFrame, log: DataFrame | None, pks: Sequence[str]) -> DataFrame:
@@ -61,39 +67,35 @@ def anti_by_delta_and_log(target: DataFrame, delta: DataFrame, log: DataFrame |
     Both sides meet on the key text. Delta keys must also agree column by column, because values
     with commas could make two different keys read alike; log rows carry only the text.
     """
-    typed = [F.col(k).cast(target.schema[k].dataType).alias(f"_{k}") for k in pks]
-    marks = delta.select(*typed).na.drop()
-    marks = marks.withColumn("_id", composite_key(*[f"_{k}" for k in pks]))
-    shown = [f"_{k}" for k in pks]
+    parts = {k: f"__key_{i}" for i, k in enumerate(pks)}
+    kinds = {k: target.schema[k].dataType for k in pks}
+    marks = delta.select(*[F.col(k).cast(kinds[k]).alias(part) for k, part in parts.items()]).na.drop()
+    marks = marks.withColumn("__mark", composite_key(*parts.values()))
     if log is not None:
-        ids = id_values(log).na.drop()
-        blanks = [F.lit(None).cast(target.schema[k].dataType).alias(f"_{k}") for k in pks]
-        marks = marks.unionByName(ids.select(*blanks, "_id"))
+        blanks = [F.lit(None).cast(kinds[k]).alias(part) for k, part in parts.items()]
+        marks = marks.unionByName(id_values(log).na.drop().select(*blanks, F.col(KEY_TEXT).alias("__mark")))
     marks = marks.withColumn(_SLOT, F.spark_partition_id() % SPREAD).distinct().drop(_SLOT)
-    marks = marks.withColumnRenamed("_id", "_mark")
-    condition = F.col("_id") == F.col("_mark")
+    condition = F.col(KEY_TEXT) == F.col("__mark")
     if len(pks) > 1:
-        agree = F.col(shown[0]).isNull()
-        same = F.lit(True)
-        for k in pks:
-            same = same & (F.col(k) == F.col(f"_{k}"))
-        condition = condition & (agree | same)
-    return target.withColumn("_id", composite_key(*pks)).join(marks, condition, "left_anti").drop("_id")
+        from_log = F.col(parts[pks[0]]).isNull()
+        same = reduce(and_, [F.col(k) == F.col(part) for k, part in parts.items()])
+        condition = condition & (from_log | same)
+    return target.withColumn(KEY_TEXT, composite_key(*pks)).join(marks, condition, "left_anti").drop(KEY_TEXT)
 
 
 def delete_in(target: DataFrame, keys: DataFrame, pks: Sequence[str], lo: int, hi: int | None = None) -> DataFrame:
-    """Drop rows of partitions from lo (to hi) whose key text is among `keys._id`; others are untouched."""
-    marked = target.withColumn("_id", composite_key(*pks))
+    """Drop rows of partitions from lo (to hi) whose key text is among `keys.__key`; others are untouched."""
+    marked = target.withColumn(KEY_TEXT, composite_key(*pks))
     scope = F.col(PARTITION_COLUMN) >= lo
     if hi is not None:
         scope = scope & (F.col(PARTITION_COLUMN) <= hi)
-    inside = without(marked.where(scope), keys, ["_id"])
+    inside = without(marked.where(scope), keys, [KEY_TEXT])
     outside = marked.where(~F.coalesce(scope, F.lit(False)))
-    return inside.unionByName(outside).drop("_id")
+    return inside.unionByName(outside).drop(KEY_TEXT)
 
 
 def key_texts(delta: DataFrame, pks: Sequence[str]) -> DataFrame:
-    return delta.select(composite_key(*pks).alias("_id"))
+    return delta.select(composite_key(*pks).alias(KEY_TEXT))
 
 
 def log_range(log: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -124,10 +126,7 @@ def master_detail_join(
     """Detail rows with their master, for masters inside the window."""
     t = time_literal(master, time_column, begin), time_literal(master, time_column, end)
     m = master.where((F.col(time_column) >= t[0]) & (F.col(time_column) < t[1]))
-    condition: Column = F.lit(True)
-    for d, k in pairs:
-        condition = condition & (detail[d] == m[k])
-    return detail.join(m, condition, "inner")
+    return detail.join(m, reduce(and_, [detail[d] == m[k] for d, k in pairs]), "inner")
 
 
 def latest_by_join(df: DataFrame, keys: Sequence[str], time_column: str) -> DataFrame:
@@ -169,9 +168,9 @@ def logged_deletes(
 
 def delete_exists(target: DataFrame, deletes: DataFrame, pk: str, keep_deleted: bool = False) -> DataFrame:
     """Target rows without a matching delete, or the deleted rows themselves."""
-    marked = target.withColumn("_id", F.col(pk).cast("string"))
+    marked = target.withColumn(KEY_TEXT, F.col(pk).cast("string"))
     pick = within if keep_deleted else without
-    return pick(marked, id_values(deletes), ["_id"]).drop("_id")
+    return pick(marked, id_values(deletes), [KEY_TEXT]).drop(KEY_TEXT)
 
 
 def logged_days(log: DataFrame, table: str, lo_day: int, hi_day: int) -> DataFrame:

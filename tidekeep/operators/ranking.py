@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import time_literal
 
-_RANK = "_rank"
+_RANK = "__rank"
 
 # What the two newest run times default to when a task never ran.
 NEVER_PREVIOUS = "1970-01-01 08:00:00"

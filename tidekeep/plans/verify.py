@@ -112,12 +112,12 @@ def _matching_rows(
     detail: DataFrame, master: DataFrame, pairs: Sequence[tuple[str, str]], column: str, begin: datetime, end: datetime
 ) -> DataFrame:
     """Size of the inner join, from per-key counts: a hot key is multiplied, not joined row by row."""
-    names = [f"_k{i}" for i in range(len(pairs))]
+    names = [f"__key_{i}" for i in range(len(pairs))]
     ours = detail.select(*[F.col(d).alias(n) for (d, _), n in zip(pairs, names)])
     theirs = _in_window(master, column, begin, end).select(*[F.col(m).alias(n) for (_, m), n in zip(pairs, names)])
-    left = ours.na.drop().groupBy(*names).agg(F.count(F.lit(1)).alias("_d"))
-    right = theirs.na.drop().groupBy(*names).agg(F.count(F.lit(1)).alias("_m"))
-    return left.join(right, names).agg(F.coalesce(F.sum(F.col("_d") * F.col("_m")), F.lit(0)).alias("n"))
+    left = ours.na.drop().groupBy(*names).agg(F.count(F.lit(1)).alias("__details"))
+    right = theirs.na.drop().groupBy(*names).agg(F.count(F.lit(1)).alias("__masters"))
+    return left.join(right, names).agg(F.coalesce(F.sum(F.col("__details") * F.col("__masters")), F.lit(0)).alias("n"))
 
 
 def _filtered_source(task: CountedTask) -> tuple[DataFrame, DataFrame | None]:
