@@ -43,15 +43,17 @@ def test_sigma_check_by_definition(spark, tasks):
 
 
 def test_daily_counts_end_at_the_last_full_second(spark):
-    at = [datetime(2024, 1, 8, 23, 59, 59), datetime(2024, 1, 9), datetime(2024, 1, 10, 23, 59, 59), datetime(2024, 1, 11)]
+    last = datetime(2024, 1, 10, 23, 59, 59)
+    at = [datetime(2024, 1, 8, 23, 59, 59), datetime(2024, 1, 9), last, last.replace(microsecond=1), datetime(2024, 1, 11)]
     df = spark.createDataFrame([(t,) for t in at], "at timestamp_ntz")
     counted = a.daily_counts(df, "at", datetime(2024, 1, 11, 9), days=1, trace=1)
     assert rows(counted) == [("2024-01-09", 1), ("2024-01-10", 1)]
 
 
 def test_verify_sync_fills_the_missing_side(spark):
-    src = spark.createDataFrame([("g", "t", datetime(2024, 1, 9, 5))] * 3, "group_name string, task_name string, at timestamp_ntz")
-    tgt = spark.createDataFrame([("g", "t", 20240110)] * 2, "group_name string, task_name string, partition_date int")
+    task = "group_name string, task_name string"
+    src = spark.createDataFrame([("g", "t", datetime(2024, 1, 9, 5))] * 3, f"{task}, at timestamp_ntz")
+    tgt = spark.createDataFrame([("g", "t", 20240110)] * 2, f"{task}, partition_date int")
     found = verify.verify_sync(src, tgt, "at", datetime(2024, 1, 11), days=5)
     assert rows(found, "syn_date", "source_count", "target_count", "diff") == [
         ("2024-01-09", 3, 0, -3),
@@ -71,13 +73,15 @@ def test_duplicate_keys_ignore_nulls_and_old_partitions(spark):
 def test_matching_rows_equal_the_joined_rows(spark):
     detail = spark.createDataFrame([(1,)] * 4 + [(2,)] * 3 + [(None,)], "bill_no int")
     day = datetime(2024, 1, 1)
-    master = spark.createDataFrame([(1, day), (1, day), (2, day), (3, day), (2, day + timedelta(days=9))], "bill_no int, at timestamp_ntz")
-    task = verify.CountedTask(TaskConfig("g", "t"), detail, detail.limit(0), "at", master, master, (("bill_no", "bill_no"),))
+    bills = [(1, day), (1, day), (2, day), (3, day), (2, day + timedelta(days=9))]
+    master = spark.createDataFrame(bills, "bill_no int, at timestamp_ntz")
+    pair, nothing = (("bill_no", "bill_no"),), detail.limit(0)
+    task = verify.CountedTask(TaskConfig("g", "t"), detail, nothing, "at", master, master, pair)
     assert rows(verify.reconcile_counts([task], day, day + timedelta(days=1))) == [("g", "t", 11, 0)]
     cfg = TaskConfig("g", "t", filters=("and t.bill_no not in (2)", "p.bill_no < 9"))
-    fewer = verify.CountedTask(cfg, detail, detail.limit(0), "at", master, master, (("bill_no", "bill_no"),))
+    fewer = verify.CountedTask(cfg, detail, nothing, "at", master, master, pair)
     assert rows(verify.reconcile_counts([fewer], day, day + timedelta(days=1))) == [("g", "t", 8, 0)]
-    same = verify.CountedTask(TaskConfig("g", "t"), detail, detail, "at", master, master, (("bill_no", "bill_no"),))
+    same = verify.CountedTask(TaskConfig("g", "t"), detail, detail, "at", master, master, pair)
     assert rows(verify.reconcile_counts([same], day, day + timedelta(days=1))) == []
 
 
@@ -103,25 +107,26 @@ def test_backfill_days(spark):
     as_of = datetime(2024, 2, 1)
     state = cdc.backfill_state(tables, log, as_of, datetime(2024, 1, 1), datetime(2024, 1, 10))
     assert rows(state) == [("late", 0), ("orders", 20240101), ("orders", 20240102), ("stock", 0)]
-    merged = cdc.merge_backfill(
-        spark.createDataFrame([("orders", 20230101), ("orders", 20240101), ("x", 20231231)], "table_name string, backfill_day int"),
-        state.where("backfill_day > 0"),
-        as_of,
-    )
+    known = [("orders", 20230101), ("orders", 20240101), ("x", 20231231)]
+    known = spark.createDataFrame(known, "table_name string, backfill_day int")
+    merged = cdc.merge_backfill(known, state.where("backfill_day > 0"), as_of)
     assert rows(merged) == [("orders", 20240101), ("orders", 20240102), ("x", 20231231)]
 
 
 def test_positions(spark):
-    log = spark.createDataFrame(
-        [("r", "a", 0, 5, None, 1), ("r", "a", 1, 9, None, 1), ("r", "b", 0, 2, None, 1), ("r", "n", 0, -4, None, 1)], LOG
-    )
+    moves = [("a", 0, 5), ("a", 1, 9), ("b", 0, 2), ("n", 0, -4)]
+    log = spark.createDataFrame([("r", *m, None, 1) for m in moves], LOG)
     state = positions.positions_of(log, datetime(2024, 1, 1))
     assert [positions.load_position(state, "r", t) for t in ("a", "b", "n", "never")] == [5, 2, 0, 0]
-    later = positions.positions_of(log.where("table_name = 'a'").withColumn("seq_no", F.lit(8).cast("bigint")), datetime(2024, 1, 2))
+    moved = log.where("table_name = 'a'").withColumn("seq_no", F.lit(8).cast("bigint"))
+    later = positions.positions_of(moved, datetime(2024, 1, 2))
     assert positions.load_position(positions.save_position(state, later), "r", "a") == 8
 
 
-PENDING = "seq_no bigint, process_status int, table_name string, id_column_value string, yw_update_time timestamp_ntz, partition_date int"
+PENDING = (
+    "seq_no bigint, process_status int, table_name string, id_column_value string, "
+    "yw_update_time timestamp_ntz, partition_date int"
+)
 
 
 def test_repair_applies_pending_deletes_once(spark):
@@ -130,7 +135,8 @@ def test_repair_applies_pending_deletes_once(spark):
     append_partitions(table, warehouse)
     write_full(table, report)
     at = datetime(2024, 1, 5, 1, 2, 3, 456789)
-    log = [(1, 0, "t", "1", at, 20240105), (2, 1, "t", "2", at, 20240101), (3, 0, "other", "3", at, 20240105), (4, 0, "t", "4", at, 20240105)]
+    log = [(1, 0, "t", "1", at, 20240105), (2, 1, "t", "2", at, 20240101)]
+    log += [(3, 0, "other", "3", at, 20240105), (4, 0, "t", "4", at, 20240105)]
     append_partitions(spark.createDataFrame(log, PENDING), deletes)
     assert repair.delete_repair_run(spark, warehouse, report, deletes, "k", "t")
     assert rows(read_table(spark, warehouse), "k") == rows(read_table(spark, report), "k") == [(2,), (3,)]
@@ -152,7 +158,8 @@ def test_sql_task_parameters(spark):
         "bm": 1704067200000,
         "em": 1704153600000,
     }
-    out = sqltask.run_sql_task(spark, "SELECT :b AS b, v FROM {t}", begin, end, ("b",), {"t": spark.range(1).selectExpr("id AS v")})
+    table = spark.range(1).selectExpr("id AS v")
+    out = sqltask.run_sql_task(spark, "SELECT :b AS b, v FROM {t}", begin, end, ("b",), {"t": table})
     assert rows(out) == [("2024-01-01 00:00:00", 0)]
 
 

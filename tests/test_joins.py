@@ -76,7 +76,10 @@ def test_latest_per_key_breaks_ties_the_same_way_every_time(spark):
     assert rows(ranking.latest_per_key(shuffled, ["k"], "t")) == [(1, 10, "a"), (2, 1, "o")]
 
 
-RUN = "id int, scheduler_name string, group_name string, task_status string, create_time timestamp_ntz, sync_end_time timestamp_ntz"
+RUN = (
+    "id int, scheduler_name string, group_name string, task_status string, "
+    "create_time timestamp_ntz, sync_end_time timestamp_ntz"
+)
 
 
 def _run(i, task, end, status="FINISHED", group="g_hive"):

@@ -37,7 +37,8 @@ def small_partitions(conf):
 
 def skewed(spark, n=3 * HOT):
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
-    return spark.range(0, n, 1, 16).select(key.cast("int").alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    payload = F.sha2(F.col("id").cast("string"), 256).alias("v")
+    return spark.range(0, n, 1, 16).select(key.cast("int").alias("k"), "id", payload)
 
 
 @pytest.mark.parametrize("hot_deleted", [True, False])

@@ -160,6 +160,8 @@ def test_replication_mirrors_only_non_empty_listed_partitions(spark, table):
         "partition_date=202402",
         "partition_date=202403",
     ]
+    sink.replicate_partitions(spark, table, copy)
+    assert rows(read_table(spark, copy)) == rows(read_table(spark, table))
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):

@@ -1,4 +1,4 @@
-"""Exports to a reporting store, and replication of partitions."""
+"""Exports to a reporting store."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import SyncType, TaskConfig, time_text
 from ..operators.project import EXPORT_ALIAS, apply_filters, export_filter, in_export_span, project
-from ..sinks.tables import replicate_partitions, upsert, write_full
+from ..sinks.tables import upsert, write_full
 from ..sources.scans import read_table
 
 
@@ -57,16 +57,3 @@ def export(
     finally:
         changes = task_status(spark, cfg, status, as_of)
         write_full(upsert(read_table(spark, status_path), changes, ["group_name", "task_name"]), status_path)
-
-
-def replicate(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    days: list[int],
-    time_column: str | None = None,
-    after: datetime | None = None,
-    before: datetime | None = None,
-) -> None:
-    """Mirror the listed partitions to another place."""
-    replicate_partitions(spark, source, target, days, time_column, after, before)

@@ -148,13 +148,18 @@ def replicate_partitions(
     spark: SparkSession,
     source: str,
     target: str,
-    days: Sequence[int],
+    days: Sequence[int] | None = None,
     time_column: str | None = None,
     after: datetime | None = None,
     before: datetime | None = None,
 ) -> None:
-    """Make the target hold the listed, non-empty partitions of the source and nothing else."""
-    rows = read_partition_list(read_table(spark, source), days, time_column, after, before)
+    """Make the target hold the listed, non-empty partitions of the source and nothing else.
+
+    Without a list the whole source is mirrored.
+    """
+    rows = read_table(spark, source)
+    if days is not None:
+        rows = read_partition_list(rows, days, time_column, after, before)
     write_full(rows, target, PARTITION_COLUMN, layout="as read")
 
 

@@ -261,7 +261,10 @@ FEEDS["counted_source"] = """
 
 def counted_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
-        F.lit("app").alias("group_name"), F.col("event_type").alias("task_name"), F.col("ts").alias("update_time"), "value"
+        F.lit("app").alias("group_name"),
+        F.col("event_type").alias("task_name"),
+        F.col("ts").alias("update_time"),
+        "value",
     )
 
 

@@ -71,11 +71,11 @@ def j4(spark, sf_dir):
         ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '1997-06-01' AND o_orderdate < TIMESTAMP '1999-06-01'""",
 )
 def j5(spark, sf_dir):
-    pairs = joins.relation_pairs(TaskConfig(relation_columns=("l_orderkey",)), TaskConfig(relation_columns=("o_orderkey",)))
+    detail, master = TaskConfig(relation_columns=("l_orderkey",)), TaskConfig(relation_columns=("o_orderkey",))
     joined = joins.master_detail_join(
         table(spark, sf_dir, "lineitem"),
         table(spark, sf_dir, "orders"),
-        pairs,
+        joins.relation_pairs(detail, master),
         "o_orderdate",
         datetime(1997, 6, 1),
         datetime(1999, 6, 1),
@@ -106,9 +106,8 @@ def j7(spark, sf_dir):
         day = F.date_format(column, "yyyy-MM-dd").alias("syn_date")
         return table(spark, sf_dir, name).groupBy(day).agg(F.count(F.lit(1)).alias(count))
 
-    return joins.merge_counts(
-        per_day("orders", "o_orderdate", "source_count"), per_day("lineitem", "l_shipdate", "target_count"), ["syn_date"]
-    )
+    source = per_day("orders", "o_orderdate", "source_count")
+    return joins.merge_counts(source, per_day("lineitem", "l_shipdate", "target_count"), ["syn_date"])
 
 
 PENDING_MATCH = """(SELECT 1 FROM pending p WHERE p.table_name = 'orders' AND p.process_status = 0
@@ -228,7 +227,8 @@ def t4(spark, sf_dir):
     UNION ALL SELECT l_orderkey, l_shipdate, NULL FROM lineitem""",
 )
 def u1(spark, sf_dir):
-    live = table(spark, sf_dir, "orders").selectExpr("o_orderkey as key", "o_orderdate as at", "o_orderstatus as status")
+    live = table(spark, sf_dir, "orders")
+    live = live.selectExpr("o_orderkey as key", "o_orderdate as at", "o_orderstatus as status")
     moved = table(spark, sf_dir, "lineitem").selectExpr("l_shipdate as at", "l_orderkey as key")
     return setops.union_all(live, moved)
 

@@ -175,7 +175,8 @@ def k5(spark, sf_dir):
         filters=CLEAN.filters,
         sync_type=SyncType.ACID,
     )
-    return clean.clean_incremental(ods_daily(spark, sf_dir), landed(spark, sf_dir), log, cfg, position, BEGIN, END).table
+    target, delta = ods_daily(spark, sf_dir), landed(spark, sf_dir)
+    return clean.clean_incremental(target, delta, log, cfg, position, BEGIN, END).table
 
 
 @query(
@@ -239,11 +240,9 @@ def k8(spark, sf_dir):
     sent = read_landing(spark, target, schema)
     totals = sent.agg(F.count(F.lit(1)).alias("exported"), F.sum("order_key").alias("key_sum"))
     totals = totals.withColumn("task_name", F.lit("orders"))
-    return (
-        read_table(spark, status)
-        .join(totals, "task_name", "left")
-        .select("group_name", "task_name", "status", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("exported", "key_sum")])
-    )
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("exported", "key_sum")]
+    joined = read_table(spark, status).join(totals, "task_name", "left")
+    return joined.select("group_name", "task_name", "status", *counts)
 
 
 @query(
@@ -252,7 +251,8 @@ def k8(spark, sf_dir):
     + f", {MERGED}, {checked_sql(20, 2.0)} SELECT *, '2024-01-31 10:00:00' AS create_date FROM checked",
 )
 def k9(spark, sf_dir):
-    return verify.verify_sync(counted_source(spark, sf_dir), counted_target(spark, sf_dir), "update_time", AS_OF, days=20)
+    source, target = counted_source(spark, sf_dir), counted_target(spark, sf_dir)
+    return verify.verify_sync(source, target, "update_time", AS_OF, days=20)
 
 
 @query(
@@ -326,7 +326,7 @@ def k12(spark, sf_dir):
 def k13(spark, sf_dir):
     source, target = scratch_path(spark, "origin"), scratch_path(spark, "mirror")
     sink.append_partitions(_events_by_day(spark, sf_dir), source)
-    export.replicate(
+    sink.replicate_partitions(
         spark, source, target, [20240111, 20240112], "ts", datetime(2024, 1, 11, 2), datetime(2024, 1, 12, 22)
     )
     return read_table(spark, target)
@@ -422,8 +422,8 @@ def m4(spark, sf_dir):
     "SELECT p_partkey, p_name LIKE '%ring' AS is_ring FROM part",
 )
 def f1(spark, sf_dir):
-    sqltask.register_function(spark, "ends_on", "word STRING, suffix STRING", "BOOLEAN", "length(word) < length(suffix)")
-    sqltask.register_function(spark, "ends_on", "word STRING, suffix STRING", "BOOLEAN", "endswith(word, suffix)")
+    for body in ("length(word) < length(suffix)", "endswith(word, suffix)"):
+        sqltask.register_function(spark, "ends_on", "word STRING, suffix STRING", "BOOLEAN", body)
     sql = "SELECT p_partkey, ends_on(p_name, 'ring') AS is_ring FROM {part}"
     return spark.sql(sql, part=table(spark, sf_dir, "part"))
 
