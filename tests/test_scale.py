@@ -62,6 +62,8 @@ def test_semi_join_splits_a_hot_group_of_ties(spark, small_partitions):
 def test_hot_keys_are_thinned_before_the_shuffle(spark):
     ranked = ranking.latest_per_key(skewed(spark), ["k"], "id")._jdf.queryExecution().toString()
     assert "row_number(), 1, Partial" in ranked
+    second = ranking.nth_latest(skewed(spark), ["k"], "id", 2)._jdf.queryExecution().toString()
+    assert "row_number(), 2, Partial" in second
     keys = joins.distinct_keys(skewed(spark).where("k = 0"), "k")
     assert keys.count() <= joins.SPREAD
 

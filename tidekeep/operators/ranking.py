@@ -1,7 +1,8 @@
 """Newest row per key and other ranked picks.
 
 Every pick filters `row_number` by a constant, so Spark ranks within each map task first and ships at
-most that many rows per key and task: a hot key does not travel whole.
+most that many rows per key and task: a hot key does not travel whole. Spark does so for picks of up
+to spark.sql.optimizer.windowGroupLimitThreshold rows (1000); larger ones need that setting raised.
 """
 
 from __future__ import annotations

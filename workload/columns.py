@@ -310,11 +310,11 @@ def s12(spark, sf_dir):
 @query(
     "s13_months_before_end",
     """SELECT o_orderkey, month FROM (SELECT o_orderkey, strftime(unnest(generate_series(
-        date_trunc('month', o_orderdate), TIMESTAMP '1996-01-31', INTERVAL 1 MONTH)), '%Y%m') AS month
-        FROM orders WHERE o_orderdate <= TIMESTAMP '1996-01-31') WHERE month < '199601'""",
+        date_trunc('month', o_orderdate), TIMESTAMP '1997-01-31', INTERVAL 1 MONTH)), '%Y%m') AS month
+        FROM orders) WHERE month < '199701'""",
 )
 def s13(spark, sf_dir):
-    months = dates.months_before_end(F.col("o_orderdate"), F.lit("1996-01-31").cast("timestamp_ntz"))
+    months = dates.months_before_end(F.col("o_orderdate"), F.lit("1997-01-31").cast("timestamp_ntz"))
     return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(months).alias("month"))
 
 

@@ -232,7 +232,7 @@ def k8(spark, sf_dir):
         F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("finshed_time"),
         F.lit("INTERRUPTED").alias("status"),
     )
-    renewed = earlier.limit(1).withColumn("task_name", F.lit("orders"))
+    renewed = earlier.withColumn("task_name", F.lit("orders")).distinct()
     sink.write_full(union_all(earlier, renewed), status)
     as_of = datetime(2000, 7, 12, 4, 30)
     schema = export.export_snapshot(rows, cfg, as_of).schema
