@@ -144,6 +144,14 @@ def test_repair_applies_pending_deletes_once(spark):
     assert not repair.delete_repair_run(spark, warehouse, report, deletes, "k", "t")
 
 
+def test_repair_of_rows_without_a_partition(spark):
+    path = scratch_path(spark, "nulls")
+    append_partitions(spark.createDataFrame([(1, 202401), (2, None), (3, None)], "k int, partition_date int"), path)
+    log = spark.createDataFrame([("t", "2", 20240101)], "table_name string, id_column_value string, partition_date int")
+    repair.delete_repair(spark, path, log, "k", "t", 20240101, 20240101)
+    assert rows(read_table(spark, path)) == [(1, 202401), (3, None)]
+
+
 def test_update_where_keeps_rows_the_predicate_is_unknown_for(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     assert rows(repair.update_where(df, F.col("k") == 1, {"v": F.lit("x")})) == [(1, "x"), (None, "b")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,18 +24,39 @@ def update_where(df: DataFrame, predicate: Column, changes: Mapping[str, Column]
     )
 
 
-def mark_processed(
-    log: DataFrame, table: str, begin: datetime, end: datetime, time_column: str = "yw_update_time"
-) -> DataFrame:
-    """The log with one table's deletes between two times, both included, marked as done."""
+def _pending(log: DataFrame, table: str, begin: datetime, end: datetime, time_column: str) -> Column:
     c = F.col(time_column)
-    done = (
+    return (
         (F.col("table_name") == table)
         & (c >= time_literal(log, time_column, begin))
         & (c <= time_literal(log, time_column, end))
         & (F.col("process_status") == 0)
     )
-    return update_where(log, done, {"process_status": F.lit(1)})
+
+
+def mark_processed(
+    log: DataFrame, table: str, begin: datetime, end: datetime, time_column: str = "yw_update_time"
+) -> DataFrame:
+    """The log with one table's deletes between two times, both included, marked as done."""
+    return update_where(log, _pending(log, table, begin, end, time_column), {"process_status": F.lit(1)})
+
+
+def _rewrite(path: str, table: DataFrame, hit: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Apply a change to a stored table; of a partitioned one, only to the partitions of the hit rows.
+
+    The list of those partitions, at most one number per partition, is all that reaches the driver.
+    """
+    if not FileTree(table.sparkSession).is_partitioned(path, PARTITION_COLUMN):
+        write_full(change(table), path)
+        return
+    places = [row[0] for row in hit.select(PARTITION_COLUMN).distinct().collect()]
+    if not places:
+        return
+    place = F.col(PARTITION_COLUMN)
+    inside = place.isin(*[p for p in places if p is not None])
+    if None in places:
+        inside = place.isNull() | inside
+    replace_partitions(change(table.where(inside)), path, places, beyond="refuse")
 
 
 def delete_repair(
@@ -43,21 +64,13 @@ def delete_repair(
 ) -> None:
     """Rebuild a table without the logged keys; the old table comes back if anything fails.
 
-    Of a partitioned table only the partitions that hold such a key are rewritten. They are found by
-    reading two columns; their list, at most one number per partition, decides what to replace.
+    Which partitions hold such a key is found by reading two columns.
     """
-    target = read_table(spark, path)
-    if not FileTree(spark).is_partitioned(path, PARTITION_COLUMN):
-        write_full(rebuild_without(target, log, pk, table, lo_day, hi_day), path)
-        return
-    hit = delete_exists(
-        target.select(pk, PARTITION_COLUMN), logged_days(log, table, lo_day, hi_day), pk, keep_deleted=True
-    )
-    places = [row[0] for row in hit.select(PARTITION_COLUMN).distinct().collect()]
-    if places:
-        inside = F.coalesce(F.col(PARTITION_COLUMN).isin(*[p for p in places if p is not None]), F.lit(None in places))
-        rows = rebuild_without(target.where(inside), log, pk, table, lo_day, hi_day)
-        replace_partitions(rows, path, places, beyond="refuse")
+    target, logged = read_table(spark, path), logged_days(log, table, lo_day, hi_day)
+    hit = target
+    if PARTITION_COLUMN in target.columns:
+        hit = delete_exists(target.select(pk, PARTITION_COLUMN), logged, pk, keep_deleted=True)
+    _rewrite(path, target, hit, lambda rows: rebuild_without(rows, log, pk, table, lo_day, hi_day))
 
 
 def delete_repair_run(
@@ -83,6 +96,6 @@ def delete_repair_run(
     delete_repair(spark, warehouse_path, log, pk, table, day_of(begin), day_of(end))
     deletes = logged_deletes(log, table, time_column, begin, end)
     write_full(delete_exists(read_table(spark, report_path), deletes, pk), report_path)
-    column = PARTITION_COLUMN if FileTree(spark).is_partitioned(log_path, PARTITION_COLUMN) else None
-    write_full(mark_processed(log, table, begin, end, time_column), log_path, column)
+    marked = log.where(_pending(log, table, begin, end, time_column))
+    _rewrite(log_path, log, marked, lambda rows: mark_processed(rows, table, begin, end, time_column))
     return True
