@@ -5,20 +5,25 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 
-@dataclass
 class FileTree:
     """Renames and listings through Hadoop's file system; driver-side metadata only."""
 
-    spark: SparkSession
+    def __init__(self, spark: SparkSession):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._settings = spark._jsc.hadoopConfiguration()
+        self._systems: dict[str, object] = {}
 
     def _at(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+        target = self._path(path)
+        scheme, _, rest = path.partition("://")
+        root = f"{scheme}://{rest.split('/')[0]}" if rest else path.split("/")[0]
+        if root not in self._systems:
+            self._systems[root] = target.getFileSystem(self._settings)
+        return self._systems[root], target
 
     def exists(self, path: str) -> bool:
         fs, target = self._at(path)
