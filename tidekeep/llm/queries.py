@@ -55,3 +55,36 @@ def op2(spark, sf_dir):
     from .neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+LEAK_SQL = """
+WITH lowered AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM lowered),
+asked AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+phrases AS (
+    SELECT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2),
+        lambda i: array_to_string(w[i:i + 9], ' '))) AS p FROM asked WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM phrases),
+runs AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM words, lengths WHERE len(w) >= n),
+found AS (
+    SELECT DISTINCT doc_id, i, r.n, item_id FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM runs) r
+    JOIN phrases USING (n, p)),
+hits AS (SELECT doc_id, count(DISTINCT j) AS h FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM found) GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS k, string_agg(item_id, ',' ORDER BY item_id) AS l
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h, 0)::BIGINT AS n_hit, coalesce(k, 0)::BIGINT AS n_items,
+    sha256(coalesce(l, '')) AS items_sha256, coalesce(h, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op10_benchmark_decontamination", LEAK_SQL)
+def op10(spark, sf_dir):
+    from .decontaminate import mark, report
+
+    return report(mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
