@@ -88,3 +88,17 @@ def op10(spark, sf_dir):
     from .decontaminate import mark, report
 
     return report(mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op5_quality_discriminant")
+def op5(spark, sf_dir):
+    from .quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_document_fingerprints")
+def op3(spark, sf_dir):
+    from .fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
