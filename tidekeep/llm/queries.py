@@ -102,3 +102,19 @@ def op3(spark, sf_dir):
     from .fingerprint import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """
+WITH own AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS d FROM pages),
+last AS (SELECT d, n, max(page_id) AS m FROM own WHERE n >= 1000 GROUP BY d, n)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN page_id < m THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < m THEN m END AS refers_to, NULL::VARCHAR AS problem
+FROM own LEFT JOIN last USING (d, n)
+"""
+
+
+@query("op9_warc_reassembly", WARC_SQL)
+def op9(spark, sf_dir):
+    from .warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
