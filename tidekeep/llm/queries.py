@@ -118,3 +118,26 @@ def op9(spark, sf_dir):
     from .warc import round_trip
 
     return round_trip(table(spark, sf_dir, "pages"))
+
+
+CHAT_SQL = """
+WITH own AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place FROM own),
+whole AS (
+    SELECT conv_id, count(*) AS n, list(struct_pack(r := role, t := text) ORDER BY place) AS turns FROM placed GROUP BY conv_id),
+gone AS (
+    SELECT DISTINCT s.conv_id FROM whole s JOIN whole l ON s.turns[1] = l.turns[1] AND s.conv_id <> l.conv_id AND s.n <= l.n
+        AND l.turns[1:s.n] = s.turns AND (s.n < l.n OR l.conv_id < s.conv_id)),
+kept AS (SELECT * FROM placed WHERE conv_id NOT IN (SELECT conv_id FROM gone))
+SELECT conv_id, place // 512 AS segment, min(place) AS first_turn, count(*) AS n_turns,
+    string_agg('<|' || replace(coalesce(role, ''), '<|', '< |') || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '< |')
+        || '<|end|>' || chr(10), '' ORDER BY place) AS rendered
+FROM kept GROUP BY conv_id, place // 512
+"""
+
+
+@query("op4_chat_snapshot_collapse", CHAT_SQL)
+def op4(spark, sf_dir):
+    from .chat import collapse
+
+    return collapse(table(spark, sf_dir, "conversations"))
