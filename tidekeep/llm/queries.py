@@ -141,3 +141,10 @@ def op4(spark, sf_dir):
     from .chat import collapse
 
     return collapse(table(spark, sf_dir, "conversations"))
+
+
+@query("op7_subword_lattice_score")
+def op7(spark, sf_dir):
+    from .lmscore import scores
+
+    return scores(table(spark, sf_dir, "documents"))
