@@ -148,3 +148,15 @@ def op7(spark, sf_dir):
     from .lmscore import scores
 
     return scores(table(spark, sf_dir, "documents"))
+
+
+@query("op8_soft_membership_mixing")
+def op8(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .mixing import TARGETS, labelled_domains, mix
+
+    domains = labelled_domains(table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    mixed, names = mix(table(spark, sf_dir, "documents").select("doc_id", "text"), domains, TARGETS)
+    shares = [F.col("posterior")[k].alias("p_" + d.replace("/", "_")) for k, d in enumerate(names)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
