@@ -160,3 +160,10 @@ def op8(spark, sf_dir):
     mixed, names = mix(table(spark, sf_dir, "documents").select("doc_id", "text"), domains, TARGETS)
     shares = [F.col("posterior")[k].alias("p_" + d.replace("/", "_")) for k, d in enumerate(names)]
     return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
+@query("op1_pii_surrogates")
+def op1(spark, sf_dir):
+    from .pii import anonymise
+
+    return anonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
