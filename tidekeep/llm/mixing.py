@@ -76,7 +76,8 @@ class Membership:
             featuresCol="__x", family="multinomial", regParam=REGULARISATION, elasticNetParam=0.9, maxIter=60, probabilityCol="__p",
             standardization=False,
         )
-        fitted = stored(self.vector.transform(rows).select("__x", "label"), "vectors")
+        # At most FIT_ROWS short vectors: few tasks make each pass of the fit cheap.
+        fitted = stored(self.vector.transform(rows).select("__x", "label").coalesce(4), "vectors")
         if fitted.select("label").distinct().count() < len(self.domains):
             missing = {int(r["label"]) for r in fitted.select("label").distinct().collect()}
             self.domains = [d for k, d in enumerate(self.domains) if k in missing] or self.domains[:1]

@@ -167,3 +167,10 @@ def op1(spark, sf_dir):
     from .pii import anonymise
 
     return anonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
