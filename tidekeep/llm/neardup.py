@@ -187,6 +187,24 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _estimates(left, right, nl: np.ndarray, nr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`_pairwise` of every left with every right sketch. Values that two sketches share lie below both their bounds."""
+    common = _overlaps(left, right).astype(float)
+    last = np.uint64(2**64 - 1)
+    bl = np.array([s[-1] if k > SKETCH else last for s, k in zip(left, nl, strict=True)], np.uint64)
+    br = np.array([s[-1] if k > SKETCH else last for s, k in zip(right, nr, strict=True)], np.uint64)
+    below = np.stack([np.searchsorted(s, br, "right") for s in left])
+    below = np.where(br[None, :] < bl[:, None], below, np.array([len(s) for s in left])[:, None])
+    other = np.stack([np.searchsorted(s, bl, "right") for s in right], axis=1)
+    other = np.where(bl[:, None] < br[None, :], other, np.array([len(s) for s in right])[None, :])
+    union = below + other - common
+    est = common / union
+    total = np.maximum(union, np.add.outer(nl, nr) / 1.85)
+    margin = 5 * np.sqrt(0.1275 / union * (1 - union / total)) + 1 / union
+    margin[np.ix_(nl <= SKETCH, nr <= SKETCH)] = 0
+    return est, margin
+
+
 class _Forest:
     def __init__(self):
         self.up: dict[int, int] = {}
@@ -231,20 +249,15 @@ def _long_pairs(lists: DataFrame, reps: DataFrame, percent: int, labels: DataFra
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         out = {"a": [], "b": [], "sure": [], "est": []}
         if len(left) and len(right):
-            least = np.minimum(np.minimum.outer(n[left], n[right]), SKETCH)
-            hit = _overlaps([sk[k] for k in left], [sk[k] for k in right]) >= 0.6 * least * percent / 100
-            hit &= np.minimum.outer(n[left], n[right]) * 100 >= np.maximum.outer(n[left], n[right]) * percent
+            est, margin = _estimates([sk[k] for k in left], [sk[k] for k in right], n[left], n[right])
+            exact = margin == 0
+            hit = np.where(exact, est >= percent / 100 - 1e-12, est + margin >= percent / 100)
             hit &= label[left][:, None] != label[right][None, :]
+            hit &= (ids[left][:, None] < ids[right][None, :]) if i == j else (ids[left][:, None] != ids[right][None, :])
             x, y = np.nonzero(hit)
+            est, exact = est[x, y], exact[x, y]
             x, y = left[x], right[y]
-            x, y = x[ids[x] != ids[y]], y[ids[x] != ids[y]]
-            if i == j:
-                x, y = x[ids[x] < ids[y]], y[ids[x] < ids[y]]
-            est, margin = _pairwise([sk[k] for k in x], [sk[k] for k in y], n[x], n[y])
-            exact = margin == 0
-            keep = np.where(exact, est >= percent / 100 - 1e-12, est + margin >= percent / 100)
-            order = np.flatnonzero(keep)
-            order = order[np.lexsort((-est[order], ~exact[order]))]
+            order = np.lexsort((-est, ~exact))
             known, asked = _Forest(), _Forest()
             for k in order:
                 p, q = int(label[x[k]]), int(label[y[k]])
