@@ -196,7 +196,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     """docs without the passages of the benchmark: each span gives way to one blank. Texts without a hit stay as they are,
     and a document of which no word is left goes. n_chars, where there is one, follows the text.
     """
-    marked = mark(docs, benchmark, size)
+    clash = {c: f"__own_{c}" for c in docs.columns if c in ("n_words", "n_hit", "spans", "items")}
+    marked = mark(docs.withColumnsRenamed(clash), benchmark, size)
 
     def cut(batches):
         for batch in batches:
@@ -216,4 +217,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+    return left.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])

@@ -8,9 +8,10 @@ Reading: archives are split into records; segments are grouped by the identifier
 their segment numbers, the total length is verified, and chunk framing is taken off. A record whose segments are not all
 there, or whose length, framing or digest does not agree, comes back with `problem` set and without payload.
 
+Archives are closed after so many records, so that one fits a task; records are written where their page was read.
+
 A null or empty html is an empty payload. Pages without an id are always responses. A page that is there several times is
-written and comes back as often. Columns beyond page_id, url and html are not looked at. One archive is held by one task, so
-the writer deals records to as many archives as their bytes ask for.
+written and comes back as often. Columns beyond page_id, url and html are not looked at.
 """
 
 from __future__ import annotations
@@ -25,12 +26,15 @@ from pyspark.sql import functions as F
 
 from tidekeep.session import scratch_path
 
-from .common import small_batches
+from .common import small_batches, stored
 
 LEAST_SHARED = 1000
 SEGMENT = 16 << 10
 CHUNK = 4 << 10
-ARCHIVE_BYTES = 16 << 20
+# Records of an archive, which bounds its bytes: a record is a segment and its head.
+ARCHIVE_RECORDS = 1500
+# Revisits sent to every executor at most; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 18
 _END = b"\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -46,7 +50,9 @@ def plan_records(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     slim = own.select("page_id", "digest", F.octet_length("html").alias("size")).where(F.col("size") >= least)
     last = slim.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     revisits = slim.join(last, ["digest", "size"]).where("page_id < refers_to")
-    revisits = revisits.select("page_id", "digest", "refers_to").distinct()
+    revisits = stored(revisits.select("page_id", "digest", "refers_to").distinct(), "revisits")
+    if revisits.count() <= BROADCAST_ROWS:
+        revisits = F.broadcast(revisits)
     return own.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to")
 
 
@@ -99,20 +105,15 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
 
     def run(batches):
         for batch in batches:
-            rows = []
+            blocks = []
             for r in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True):
-                rows += records(*r, segment)
-            names, numbers, blocks = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(numbers, pa.int32()), pa.array(blocks, pa.binary())],
-                ["origin", "segment", "record"],
-            )
+                blocks += [record for _, _, record in records(*r, segment)]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], ["record"])
 
-    weight = pages.agg(F.sum(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
-    files = max(1, -(-weight // ARCHIVE_BYTES), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    made = plan_records(pages).mapInArrow(run, "origin string, segment int, record binary")
-    made = made.repartition(files, "origin", "segment").select(F.col("record").cast("string").alias("value"))
-    made.write.option("lineSep", _END.decode()).text(path)
+    made = plan_records(pages).mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
+    made.write.option("lineSep", _END.decode()).option("maxRecordsPerFile", ARCHIVE_RECORDS).option(
+        "compression", "gzip"
+    ).text(path)
 
 
 def parse(data: bytes) -> list[tuple[dict[str, str], bytes]]:
@@ -256,10 +257,10 @@ def round_trip(pages: DataFrame) -> DataFrame:
     write(pages, path)
     page = F.expr("try_cast(split(record_id, ':')[2] AS long)")
     target = F.expr("try_cast(trim(TRAILING '>' FROM split(refers_to, ':')[2]) AS long)")
-    back = read(spark, path).select(
+    back = stored(read(spark, path).select(
         page.alias("page_id"), F.octet_length("payload").cast("long").alias("size"), "digest", "kind", "problem",
         target.alias("refers_to"),
-    )
+    ), "pages-read")
     sizes = back.where("kind = 'response'").groupBy(F.col("page_id").alias("refers_to"), "digest")
     sizes = sizes.agg(F.max("size").alias("shared"))
     return back.join(sizes, ["refers_to", "digest"], "left").select(
