@@ -29,10 +29,10 @@ SEGMENT = 512
 
 def _power(base: int, p: int, k: Column) -> Column:
     """base to the power k modulo p, from a table for each 6 bits of k."""
-    out = F.lit(1)
+    out = F.lit(1).cast("long")
     for shift in range(0, 30, 6):
         step = pow(base, 1 << shift, p)
-        entries = F.array(*[F.lit(pow(step, d, p)) for d in range(64)])
+        entries = F.array(*[F.lit(pow(step, d, p)).cast("long") for d in range(64)])
         digit = F.shiftright(k, shift).bitwiseAND(F.lit(63)).cast("int")
         out = out * F.element_at(entries, digit + 1) % p
     return out
