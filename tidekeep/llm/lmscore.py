@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 from .common import small_batches, stored
 from .lattice import Lattice, load_pieces
 from .quality import fold
-from .tokens import SPACES, slices, words_of
+from .tokens import SPACES, mix, slices, words_of
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
+SLICE = 1 << 20
 CLASSES = 8
-ROUNDS = 3
+ROUNDS = 2
 DISCOUNT = 0.75
 # Weight of the vocabulary's own scores among the expected counts.
 PRIOR = 10.0
@@ -63,13 +64,14 @@ def _words(blocks: DataFrame, k: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         kept = {n: [] for n in ("key", "word", "kind", "n")}
         for batch in table.combine_chunks().to_batches():
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = words_of(part.column("text"), SPACES)
                 kind = part.column("class").to_numpy()[words.owners()]
                 keys = words.keys()
-                order = np.lexsort((kind, keys))
+                both = keys ^ mix(kind.astype(np.uint64) + np.uint64(2))
+                order = np.argsort(both)
                 new = np.ones(len(order), bool)
-                new[1:] = (np.diff(keys[order]) != 0) | (np.diff(kind[order]) != 0)
+                new[1:] = np.diff(both[order]) != 0
                 at = np.flatnonzero(new)
                 kept["key"].append(keys[order[at]])
                 kept["kind"].append(kind[order[at]])
@@ -195,6 +197,8 @@ def scores(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     if "lang" in docs.columns:
         top = docs.where(~held).groupBy(F.col("lang").cast("string").alias("lang")).count()
         classes = [r["lang"] for r in top.orderBy(F.desc("count"), "lang").limit(CLASSES).collect()]
+    # Less frequent classes share the last one.
+    classes = classes[: CLASSES - 1] if len(classes) == CLASSES else classes[:-1]
     k = len(classes) + 1
     blocks = _blocks(docs, held, classes)
     words = stored(_words(blocks, k), "block-words")
@@ -224,7 +228,7 @@ def scores(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         base = np.log10((np.append(c, ends) + 0.5) / (tokens + 0.5 * (distinct + 1)))
         parts = []
         for batch in table.combine_chunks().to_batches():
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = words_of(part.column("text"), SPACES)
                 n, owner = len(words.counts), words.owners()
                 at = np.searchsorted(key, words.keys())

@@ -54,6 +54,7 @@ class Membership:
         small = stored(small, "labelled")
         self.domains = [r["domain"] for r in small.select("domain").distinct().orderBy("domain").collect()]
         self.model = None
+        self.split = RegexTokenizer(inputCol="text", outputCol=_WORDS, gaps=False, pattern=r"\p{L}+|[^\p{L}\s]")
         if len(self.domains) < 2:
             return
         names = F.array(*[F.lit(d) for d in self.domains])
@@ -61,7 +62,6 @@ class Membership:
         rows = docs.select(F.col("doc_id").cast("long"), self._text(docs).alias("text"))
         rows = rows.join(F.broadcast(small), "doc_id")
         rows = stored(rows.select("text", (F.array_position(names, F.col("domain")) - 1).cast("double").alias("label")), "fit")
-        self.split = RegexTokenizer(inputCol="text", outputCol=_WORDS, gaps=False, pattern=r"\p{L}+|[^\p{L}\s]")
         rows = self.split.transform(rows)
         try:
             self.vector = CountVectorizer(
@@ -92,17 +92,18 @@ class Membership:
         return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
     def posteriors(self, docs: DataFrame) -> DataFrame:
-        """docs with n_tokens (blank-separated words) and posterior, an array in the order of domains."""
+        """docs with n_tokens (runs of letters, and other signs) and posterior, an array in the order of domains."""
         out = docs.drop("n_tokens", "posterior")
-        trimmed = F.regexp_replace(self._text(docs), "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
-        n = F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, "[\\x20\\x09-\\x0D]+")))
-        out = out.withColumn("n_tokens", n.cast("long"))
-        if self.model is None:
-            return out.withColumn("posterior", F.array(F.lit(1.0)))
         kept = out.columns
-        rows = out.withColumn("__whole", F.struct(*out.columns)).select("__whole", self._text(docs).alias("text"))
-        rows = self.model.transform(self.vector.transform(self.split.transform(rows)))
-        return rows.select(*[F.col("__whole")[c].alias(c) for c in kept], vector_to_array("__p").alias("posterior"))
+        rows = out.withColumn("__whole", F.struct(*kept)).select("__whole", self._text(docs).alias("text"))
+        rows = self.split.transform(rows)
+        if self.model is None:
+            p = F.array(F.lit(1.0))
+        else:
+            rows = self.model.transform(self.vector.transform(rows))
+            p = vector_to_array("__p")
+        n = F.size(_WORDS).cast("long").alias("n_tokens")
+        return rows.select(*[F.col("__whole")[c].alias(c) for c in kept], n, p.alias("posterior"))
 
 
 def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -164,8 +165,9 @@ def mix(docs: DataFrame, domains: DataFrame, shares: dict[str, float], tokens: i
     small_batches(docs.sparkSession)
     docs = docs.drop("n_tokens", "posterior", "rate", "copies")
     member = Membership(docs, domains)
-    whole = member.posteriors(docs)
-    slim = stored(whole.select("n_tokens", "posterior"), "members")
+    # Written once: texts are tokenised in one pass, whatever number of rounds follows.
+    whole = stored(member.posteriors(docs), "members")
+    slim = whole.select("n_tokens", "posterior")
     total = slim.agg(F.sum("n_tokens")).first()[0] or 0
     wanted = np.array([shares.get(d, 0.0) for d in member.domains] or [1.0])
     wanted = wanted / wanted.sum() if wanted.sum() else np.ones(len(wanted)) / len(wanted)
