@@ -42,12 +42,12 @@ def test_sigma_check_by_definition(spark, tasks):
         assert numbers == pytest.approx([low, high], abs=0.0051)
 
 
-def test_daily_counts_end_at_the_last_full_second(spark):
+def test_daily_counts_hold_the_whole_last_second(spark):
     last = datetime(2024, 1, 10, 23, 59, 59)
     at = [datetime(2024, 1, 8, 23, 59, 59), datetime(2024, 1, 9), last, last.replace(microsecond=1), datetime(2024, 1, 11)]
     df = spark.createDataFrame([(t,) for t in at], "at timestamp_ntz")
     counted = a.daily_counts(df, "at", datetime(2024, 1, 11, 9), days=1, trace=1)
-    assert rows(counted) == [("2024-01-09", 1), ("2024-01-10", 1)]
+    assert rows(counted) == [("2024-01-09", 1), ("2024-01-10", 2)]
 
 
 def test_verify_sync_fills_the_missing_side(spark):

@@ -126,19 +126,36 @@ def test_incremental_drops_keys_in_both_and_keeps_every_version(spark, frames):
     ]
 
 
-def test_incremental_without_a_log_takes_the_landed_table_whole(spark, frames):
+def test_incremental_without_a_log_takes_the_window_only(spark, frames):
     target, delta, _ = frames
     cfg = replace(CFG, select_columns=(*CFG.select_columns, "partition_date"))
     done = clean.clean_incremental(target, delta, None, cfg, 3, BEGIN, datetime(2024, 3, 12))
     assert done.position == 3
-    assert (7, "other day") in rows(done.table, "k", "v")
+    assert (7, "other day") not in rows(done.table, "k", "v")
 
 
-def test_incremental_position_is_zero_when_nothing_was_deleted(spark, frames):
+@pytest.mark.parametrize("position", [0, 900])
+def test_incremental_position_stays_when_nothing_was_deleted(spark, frames, position):
     target, delta, log = frames
     cfg = replace(CFG, select_columns=(*CFG.select_columns, "partition_date"))
-    done = clean.clean_incremental(target, delta, log.where("dml_type <> 0"), cfg, 0, BEGIN, END)
-    assert done.position == 0
+    done = clean.clean_incremental(target, delta, log.where("dml_type <> 0"), cfg, position, BEGIN, END)
+    assert done.position == position
+
+
+@pytest.mark.parametrize("sync_type", [SyncType.REWRITE, SyncType.OVERWRITE])
+def test_late_rows_neither_wipe_their_month_nor_double(spark, sync_type):
+    schema = "k int, v string, at timestamp_ntz, ods_update_time string, partition_date int"
+    old, late = datetime(2020, 1, 5), datetime(2020, 1, 9)
+    path = scratch_path(spark, "late")
+    held = [(i, "old", old, "x", 202001) for i in range(10)] + [(50, "undated", None, "x", None), (60, "in", BEGIN, "x", 202403)]
+    spark.createDataFrame(held, schema).write.partitionBy("partition_date").parquet(path)
+    day = int(BEGIN.strftime("%Y%m%d"))
+    landed = [(3, "late", late, None, day), (51, "no time", None, None, day), (60, "new", BEGIN, None, day)]
+    delta = spark.createDataFrame(landed, schema)
+    want = [(i, "late" if i == 3 else "old") for i in range(10)] + [(50, "undated"), (51, "no time"), (60, "new")]
+    for _ in range(2):
+        clean.run_clean(spark, path, delta, None, replace(CFG, sync_type=sync_type), BEGIN, END)
+        assert rows(read_table(spark, path), "k", "v") == sorted(want, key=repr)
 
 
 def test_incremental_refuses_run_clean(spark, frames):

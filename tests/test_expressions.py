@@ -23,7 +23,9 @@ from tidekeep.sources import extract, jdbc
         ("float", "mysql", "decimal(17,4)"),
         ("decimal(12,2)", "mysql", "decimal(12,2)"),
         ("DATE", "oracle", "timestamp"),
-        ("NUMBER(10)", "oracle", "decimal"),
+        ("NUMBER(10)", "oracle", "decimal(10)"),
+        ("NUMBER(12,2)", "oracle", "decimal(12,2)"),
+        ("NUMBER", "oracle", "decimal(38,18)"),
         ("timestamp(6)", "oracle", "string"),
     ],
 )

@@ -70,14 +70,48 @@ def test_a_run_that_died_is_undone_by_the_next(spark, table):
     new = spark.createDataFrame([(22,)], "v int")
     new.write.parquet(f"{table}/partition_date=202402")
     new.write.parquet(staging_path(table))
+    new.write.parquet(f"{table}-more")
+    swap.put_in(f"{table}-more", f"{table}/partition_date=202409")
     recover(tree, table)
-    assert rows(read_table(spark, table)) == [(1, 202401), (22, 202402), (3, 202403), (4, 202404)]
+    assert rows(read_table(spark, table)) == [(1, 202401), (2, 202402), (3, 202403), (4, 202404)]
     Swap(tree, table).take_out(table)
     recover(tree, table)
-    assert rows(read_table(spark, table), "v") == [(1,), (22,), (3,), (4,)]
+    assert rows(read_table(spark, table), "v") == [(1,), (2,), (3,), (4,)]
     assert tree.names(table.rpartition("/")[0]) == ["data"]
 
 
+SINKS = {
+    "replace": lambda df, path: sink.replace_partitions(df, path, [202402]),
+    "full": lambda df, path: sink.write_full(df, path, "partition_date"),
+    "day": lambda df, path: sink.write_day(df.drop("partition_date"), path, 202402),
+    "drop": lambda df, path: sink.drop_month_range(df.sparkSession, path, 202402, 202402),
+    "export": lambda df, path: sink.export_rows(df, path, 2),
+}
+
+
+@pytest.mark.parametrize("name", list(SINKS))
+def test_every_sink_first_undoes_a_run_that_died(spark, table, name):
+    tree = FileTree(spark)
+    dead = Swap(tree, table)
+    dead.take_out(f"{table}/partition_date=202401")
+    SINKS[name](spark.createDataFrame([(7, 202402)], PARTS), table)
+    assert tree.names(table.rpartition("/")[0]) == ["data"]
+    if name in ("replace", "day", "drop"):
+        assert (1, 202401) in rows(read_table(spark, table))
+
+
+def test_compaction_leaves_good_partitions_alone(spark):
+    path = scratch_path(spark, "mixed")
+    for i in range(3):
+        sink.append_partitions(spark.createDataFrame([(i, 1)], PARTS), path)
+    sink.append_partitions(spark.createDataFrame([(9, 2)], PARTS), path)
+    tree = FileTree(spark)
+    before = tree.names(f"{path}/partition_date=2")
+    assert sink.compact(spark, path) and not sink.compact(spark, path)
+    assert tree.names(f"{path}/partition_date=2") == before and len(tree.sizes(f"{path}/partition_date=1")) == 1
+    assert read_table(spark, path).count() == 4
+
+
 def test_failed_job_leaves_the_table_alone(spark, table):
     bad = read_table(spark, table).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
     with pytest.raises(Exception, match="broken"):
@@ -152,14 +186,14 @@ def test_compaction_merges_small_files_and_skips_short_lived_tables(spark):
     assert not sink.compact(spark, "/nowhere/orders_tmp")
 
 
-def test_replication_mirrors_only_non_empty_listed_partitions(spark, table):
+def test_replication_keeps_what_it_was_not_asked_to_copy(spark, table):
     copy = scratch_path(spark, "copy")
     sink.replicate_partitions(spark, table, copy, [202401, 202402, 209901])
+    before = sorted(n for n in FileTree(spark).names(copy) if "=" in n)
+    assert before == ["partition_date=202401", "partition_date=202402"]
     sink.replicate_partitions(spark, table, copy, [202402, 202403])
-    assert sorted(n for n in FileTree(spark).names(copy) if "=" in n) == [
-        "partition_date=202402",
-        "partition_date=202403",
-    ]
+    after = sorted(n for n in FileTree(spark).names(copy) if "=" in n)
+    assert after == [*before, "partition_date=202403"]
     sink.replicate_partitions(spark, table, copy)
     assert rows(read_table(spark, copy)) == rows(read_table(spark, table))
 

@@ -35,7 +35,7 @@ WAREHOUSE_RULES = {
         ("bigint", "bigint"),
         ("int", "int"),
         ("decimal", "*"),
-        ("number", "decimal"),
+        ("number", "decimal()"),
     ),
 }
 
@@ -72,7 +72,7 @@ REPORT_RULES = {
         ("bigint", "int8"),
         ("int", "int4"),
         ("decimal", "numeric()"),
-        ("number", "decimal"),
+        ("number", "decimal()"),
         ("varbinary", "text"),
     ),
 }
@@ -88,8 +88,12 @@ REPORT_TO_SPARK = {
     "int4": "int",
     "int8": "bigint",
     "numeric": "decimal(38,18)",
+    "decimal": "decimal(38,18)",
 }
 
+# Holds a number without declared digits; Spark's bare decimal would cut its fraction.
+WIDE = "decimal(38,18)"
+
 
 def _by_rule(rules: tuple[tuple[str, str], ...], source_type: str) -> str:
     name = source_type.strip().lower()
@@ -97,12 +101,13 @@ def _by_rule(rules: tuple[tuple[str, str], ...], source_type: str) -> str:
         if (fragment[1:] == name) if fragment.startswith("=") else (fragment in name):
             if result == "*":
                 return name
-            return result.replace("()", name[name.index("(") :] if "(" in name else "")
+            return result.replace("()", name[name.index("(") :].replace("*", "38") if "(" in name else "")
     raise ValueError(f"no rule for source type {source_type!r}")
 
 
 def warehouse_type(source_type: str, database: str) -> str:
-    return _by_rule(WAREHOUSE_RULES[database], source_type)
+    name = _by_rule(WAREHOUSE_RULES[database], source_type)
+    return WIDE if name == "decimal" else name
 
 
 def report_type(source_type: str, database: str) -> str:

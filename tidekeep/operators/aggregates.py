@@ -43,7 +43,8 @@ def daily_counts(
     """Rows per day of the time column over the checked days."""
     first, last = check_days(as_of, days, trace)
     c = F.col(time_column)
-    inside = (c >= time_literal(df, time_column, first)) & (c <= time_literal(df, time_column, last))
+    after = last + timedelta(seconds=1)
+    inside = (c >= time_literal(df, time_column, first)) & (c < time_literal(df, time_column, after))
     counts = df.where(inside).groupBy(*by, F.to_date(c).alias("__day")).agg(F.count(F.lit(1)).alias(name))
     return counts.select(*by, F.date_format("__day", "yyyy-MM-dd").alias("syn_date"), name)
 

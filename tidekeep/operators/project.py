@@ -22,8 +22,7 @@ from ..config import (
 from ..functions.dates import audit_time, day_int_from_text, month_int, time_literal
 from ..functions.text import has_prefix, strip_suffix
 
-# Prefixes of the two lines of business, and the suffixes of a change-log task's name.
-BUSINESS_PREFIXES = {"rt": "U010101", "sp": "U010102", "all": ""}
+# The suffixes of a change-log task's name.
 LOG_SUFFIXES = ("_yg_thl", "_thl")
 
 # The aliases configured columns and filters are qualified by, per stage.
@@ -92,8 +91,12 @@ def export_filter(df: DataFrame) -> DataFrame:
     return df.where(F.col(AUDIT_ODS) != SENTINEL)
 
 
-def in_export_span(df: DataFrame, as_of: datetime, days: int = EXPORT_DAYS, grain: str = "day") -> DataFrame:
-    return df.where(F.col(PARTITION_COLUMN).between(*export_span(as_of, days, grain)))
+def in_export_span(df: DataFrame, as_of: datetime, days: int = EXPORT_DAYS, grain: str | None = None) -> DataFrame:
+    """Partitions of the last days. Without a grain, months (six digits) and days (eight) each have their own range."""
+    place = F.col(PARTITION_COLUMN)
+    if grain:
+        return df.where(place.between(*export_span(as_of, days, grain)))
+    return df.where(place.between(*export_span(as_of, days, "day")) | place.between(*export_span(as_of, days, "month")))
 
 
 def in_lookback(df: DataFrame, begin: datetime, end: datetime, months: int = LOOKBACK_MONTHS) -> DataFrame:

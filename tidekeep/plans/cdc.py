@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +25,24 @@ def cdc_demux(log: DataFrame, cfg: TaskConfig, begin: datetime, end: datetime) -
     return project(rows, cfg.select_columns, CLEAN_ALIAS)
 
 
+def whole_days(begin: datetime, end: datetime) -> tuple[datetime, datetime]:
+    """The window widened to whole days, since whole day partitions are replaced."""
+    midnight = {"hour": 0, "minute": 0, "second": 0, "microsecond": 0}
+    last = end.replace(**midnight)
+    return begin.replace(**midnight), last if last == end else last + timedelta(days=1)
+
+
 def run_cdc_demux(log: DataFrame, cfg: TaskConfig, begin: datetime, end: datetime, path: str) -> None:
-    """Replace the day partitions of one table's log."""
-    overwrite_partitions(cdc_demux(log, cfg, begin, end), path)
+    """Replace the day partitions of one table's log that the window touches."""
+    overwrite_partitions(cdc_demux(log, cfg, *whole_days(begin, end)), path)
 
 
 def cdc_demux_all(log: DataFrame, time_column: str, begin: datetime, end: datetime, path: str) -> None:
-    """Route every table in a single pass over the log, into one directory per database and table."""
-    rows = cdc_window(log, time_column, begin, end)
+    """Route every table in a single pass over the log, into one directory per database and table.
+
+    The days that the window touches are replaced whole.
+    """
+    rows = cdc_window(log, time_column, *whole_days(begin, end))
     keys = ["db_name", "table_name", PARTITION_COLUMN]
     writer = rows.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

@@ -7,20 +7,32 @@ landed version of the others.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import AUDIT_ODS, SyncType, TaskConfig, day_of, end_day, lookback_months, shift_months
+from ..config import (
+    AUDIT_ODS,
+    PARTITION_COLUMN,
+    SyncType,
+    TaskConfig,
+    day_of,
+    end_day,
+    lookback_months,
+    months_between,
+    shift_months,
+)
 from ..operators.joins import anti_by_delta_and_log, delete_in, delta_minus_deletes, id_values, key_texts, log_range
 from ..operators.aggregates import max_seq
 from ..operators.project import CLEAN_ALIAS, apply_filters, drop_sentinels, in_lookback, project, with_audit, with_month
 from ..operators.ranking import latest_per_key
 from ..operators.setops import union_all
 from ..sinks.files import FileTree, recover
-from ..sinks.tables import overwrite_month_range, write_full
+from ..sinks.tables import replace_partitions, write_full
 from ..sources.scans import read_partitions, read_table
 
 
@@ -40,10 +52,12 @@ def _merge(
     begin: datetime,
     end: datetime,
     as_of: datetime | None,
+    beyond: Sequence[int | None] = (),
 ) -> DataFrame:
     """Kept target rows of the look-back months, and the newest landed row of each key.
 
-    Landed and logged days are both included at either end, so overlapping windows may be re-run.
+    Landed and logged days are both included at either end, so overlapping windows may be re-run. Of the months beyond,
+    all rows but those of landed and logged keys are kept as they are.
     """
     days = day_of(begin), day_of(end)
     landed = read_partitions(delta, *days)
@@ -52,7 +66,22 @@ def _merge(
     kept = anti_by_delta_and_log(apply_filters(old, cfg.filters, CLEAN_ALIAS), landed, logged, cfg.primary_keys)
     fresh = _shape(apply_filters(landed, cfg.filters, CLEAN_ALIAS), cfg, as_of)
     newest = latest_per_key(fresh, cfg.primary_keys, cfg.sync_time_column)
-    return union_all(_shape(kept, cfg, as_of), newest)
+    out = union_all(_shape(kept, cfg, as_of), newest)
+    if beyond:
+        place = F.col(PARTITION_COLUMN)
+        there = place.isin([m for m in beyond if m is not None])
+        others = target.where(there | place.isNull() if None in beyond else there)
+        others = anti_by_delta_and_log(others, landed, logged, cfg.primary_keys)
+        out = out.unionByName(others.select(*out.columns))
+    return out
+
+
+def months_beyond(delta: DataFrame, cfg: TaskConfig, begin: datetime, end: datetime) -> list[int | None]:
+    """The months outside the look-back that the window's landed rows fall into: a short list."""
+    lo, hi = lookback_months(begin, end, cfg.lookback_months)
+    landed = apply_filters(read_partitions(delta, day_of(begin), day_of(end)), cfg.filters, CLEAN_ALIAS)
+    found = with_month(landed, cfg.sync_time_column).select(PARTITION_COLUMN).distinct().collect()
+    return [r[0] for r in found if r[0] is None or not lo <= r[0] <= hi]
 
 
 def clean_rewrite(
@@ -63,9 +92,10 @@ def clean_rewrite(
     begin: datetime,
     end: datetime,
     as_of: datetime | None = None,
+    beyond: Sequence[int | None] = (),
 ) -> DataFrame:
-    """Content of the look-back months when they are dropped and written again."""
-    return _merge(target, delta, log, cfg, begin, end, as_of)
+    """Content of the look-back months, and of the months beyond, when they are dropped and written again."""
+    return _merge(target, delta, log, cfg, begin, end, as_of, beyond)
 
 
 def clean_overwrite(
@@ -76,9 +106,11 @@ def clean_overwrite(
     begin: datetime,
     end: datetime,
     as_of: datetime | None = None,
+    beyond: Sequence[int | None] = (),
 ) -> DataFrame:
-    """Content of the look-back months when they are overwritten; placeholder rows are not carried over."""
-    return _merge(drop_sentinels(target), delta, log, cfg, begin, end, as_of)
+    """Content of the look-back months, and of the months beyond, when they are overwritten; placeholder rows are not
+    carried over."""
+    return _merge(drop_sentinels(target), delta, log, cfg, begin, end, as_of, beyond)
 
 
 def run_clean(
@@ -95,19 +127,19 @@ def run_clean(
     """Clean a month-partitioned table in place, the way its configuration asks for.
 
     The schema is needed only when the table may be empty or missing. Running a window again changes
-    nothing, so a run that died is simply repeated.
+    nothing, so a run that died is simply repeated. Months outside the look-back that landed rows fall into are read and
+    written too, so none of their other rows is lost and no landed row is stored twice.
     """
     recover(FileTree(spark), path)
     target = read_table(spark, path, schema=schema)
     lo, hi = lookback_months(begin, end, cfg.lookback_months)
-    if cfg.sync_type == SyncType.REWRITE:
-        rows = clean_rewrite(target, delta, log, cfg, begin, end, as_of)
-        overwrite_month_range(rows, path, lo, hi, beyond="append")
-    elif cfg.sync_type == SyncType.OVERWRITE:
-        rows = clean_overwrite(target, delta, log, cfg, begin, end, as_of)
-        overwrite_month_range(rows, path, lo, hi)
-    else:
+    cleans = {SyncType.REWRITE: clean_rewrite, SyncType.OVERWRITE: clean_overwrite}
+    if cfg.sync_type not in cleans:
         raise ValueError("the incremental clean keeps a position; use clean_incremental")
+    beyond = months_beyond(delta, cfg, begin, end)
+    rows = cleans[cfg.sync_type](target, delta, log, cfg, begin, end, as_of, beyond)
+    # Kept rows whose time points to another month than their partition move there, and are added.
+    replace_partitions(rows, path, [*months_between(lo, hi), *beyond], beyond="append")
 
 
 @dataclass(frozen=True)
@@ -129,16 +161,17 @@ def clean_incremental(
 ) -> IncrementalClean:
     """Delete changed and deleted keys, then insert the landed rows that were not deleted.
 
-    The log is read from the saved position to its newest delete, both included. Without a log the
-    landed table is taken whole. The new position is one number, the only thing the driver sees.
+    The log is read from the saved position to its newest delete, both included. Without a log, and in a log without
+    deletes, the position stays. The new position is one number, the only thing the driver sees.
     """
     landed = read_partitions(delta, day_of(begin), end_day(end))
     keys = key_texts(apply_filters(landed, cfg.filters, CLEAN_ALIAS), cfg.primary_keys)
-    inserted, newest = delta, position
+    inserted, newest = landed, position
     if log is not None:
-        newest = max_seq(log).first()[0] or 0
-        if newest < 0 and position > newest:
+        newest = max_seq(log).first()[0]
+        if newest is not None and newest < 0 and position > newest:
             raise ValueError(f"log position went back from {position} to {newest}")
+        newest = position if newest is None else max(position, newest)
         keys = keys.union(id_values(log_range(log, position, newest)))
         inserted = delta_minus_deletes(landed, log, cfg.primary_keys, position, newest)
     oldest = day_of(shift_months(begin, -cfg.lookback_months))

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SyncType, TaskConfig, time_text
+from ..config import TaskConfig, time_text
 from ..operators.project import EXPORT_ALIAS, apply_filters, export_filter, in_export_span, project
 from ..sinks.tables import upsert, write_full
 from ..sources.scans import read_table
@@ -17,14 +17,14 @@ from ..sources.scans import read_table
 def export_snapshot(df: DataFrame, cfg: TaskConfig, as_of: datetime, is_log: bool = False) -> DataFrame:
     """The rows an export carries: no placeholders, the last days only, the business filters.
 
-    Change logs hold no placeholders; a full export ignores the span.
+    Change logs hold no placeholders; a full export ignores the span. Day and month tables are told apart by their
+    partition values.
     """
     if not cfg.select_columns:
         raise ValueError("an export must name its columns")
     rows = df if is_log else export_filter(df)
     if not cfg.full_load:
-        grain = "month" if cfg.sync_type == SyncType.REWRITE else "day"
-        rows = in_export_span(rows, as_of, cfg.export_days, grain)
+        rows = in_export_span(rows, as_of, cfg.export_days)
     return project(apply_filters(rows, cfg.filters, EXPORT_ALIAS), cfg.select_columns, EXPORT_ALIAS)
 
 
@@ -45,11 +45,12 @@ def export(
     as_of: datetime,
     deliver: Callable[[DataFrame], None],
     status_path: str,
+    is_log: bool = False,
 ) -> None:
     """Deliver the snapshot, then record the task's status; `deliver` truncates its target and fills it."""
     spark = df.sparkSession
     try:
-        deliver(export_snapshot(df, cfg, as_of))
+        deliver(export_snapshot(df, cfg, as_of, is_log))
         status = "FINISHED"
     except Exception:
         status = "INTERRUPTED"

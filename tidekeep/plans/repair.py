@@ -95,7 +95,11 @@ def delete_repair_run(
     begin, end = pending["min_time"], pending["max_time"]
     delete_repair(spark, warehouse_path, log, pk, table, day_of(begin), day_of(end))
     deletes = logged_deletes(log, table, time_column, begin, end)
-    write_full(delete_exists(read_table(spark, report_path), deletes, pk), report_path)
+    report = read_table(spark, report_path)
+    hit = report
+    if PARTITION_COLUMN in report.columns:
+        hit = delete_exists(report.select(pk, PARTITION_COLUMN), deletes, pk, keep_deleted=True)
+    _rewrite(report_path, report, hit, lambda rows: delete_exists(rows, deletes, pk))
     marked = log.where(_pending(log, table, begin, end, time_column))
     _rewrite(log_path, log, marked, lambda rows: mark_processed(rows, table, begin, end, time_column))
     return True

@@ -49,9 +49,20 @@ class FileTree:
         fs, target = self._at(path)
         fs.delete(target, True)
 
+    def make(self, path: str) -> None:
+        fs, target = self._at(path)
+        fs.mkdirs(target)
+
+    def sizes(self, path: str) -> list[int]:
+        """Bytes of the data files of a folder."""
+        fs, target = self._at(path)
+        found = fs.listStatus(target) if fs.exists(target) else []
+        return [s.getLen() for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
 
 # Marks in the names of folders beside a table that is being written.
-STAGED, REPLACED, WHOLE = ".staged-", ".replaced-", "whole"
+STAGED, REPLACED, FINISHED, WHOLE, ADDED = ".staged-", ".replaced-", ".finished-", "whole", "added"
+_SLASH = "%2F"
 
 
 def staging_path(table: str) -> str:
@@ -69,17 +80,24 @@ def staging(tree: FileTree, table: str) -> Iterator[str]:
 
 
 def recover(tree: FileTree, table: str) -> None:
-    """Undo what a run left behind that died while writing: old data goes back where none replaced it."""
+    """Undo, as a whole, what a run left behind that died while writing; drop what a finished one left.
+
+    Until a swap is finished its folder holds the old data and the names of what was added, so all of it is taken back.
+    """
     parent, _, name = table.rstrip("/").rpartition("/")
     for entry in tree.names(parent):
+        folder = f"{parent}/{entry}"
         if entry.startswith(f"{name}{REPLACED}"):
-            for kept in tree.names(f"{parent}/{entry}"):
-                live = table if kept == WHOLE else f"{table}/{kept}"
-                if not tree.exists(live):
-                    tree.move(f"{parent}/{entry}/{kept}", live)
-            tree.remove(f"{parent}/{entry}")
-        elif entry.startswith(f"{name}{STAGED}"):
-            tree.remove(f"{parent}/{entry}")
+            for added in tree.names(f"{folder}/{ADDED}"):
+                tree.remove(table if added == WHOLE else f"{table}/{added.replace(_SLASH, '/')}")
+            for kept in tree.names(folder):
+                if kept != ADDED:
+                    live = table if kept == WHOLE else f"{table}/{kept}"
+                    tree.remove(live)
+                    tree.move(f"{folder}/{kept}", live)
+            tree.remove(folder)
+        elif entry.startswith((f"{name}{STAGED}", f"{name}{FINISHED}")):
+            tree.remove(folder)
 
 
 class Swap:
@@ -97,13 +115,18 @@ class Swap:
     def __enter__(self) -> Swap:
         return self
 
+    def _name(self, path: str) -> str:
+        return path.rstrip("/")[len(self.table) + 1 :] or WHOLE
+
     def take_out(self, path: str) -> None:
         if self.tree.exists(path):
-            kept = f"{self.aside}/{path.rstrip('/')[len(self.table) + 1 :] or WHOLE}"
+            kept = f"{self.aside}/{self._name(path)}"
             self.tree.move(path, kept)
             self.done.append((path, kept))
 
     def put_in(self, staged: str, path: str) -> None:
+        if not any(kept and p == path for p, kept in self.done):
+            self.tree.make(f"{self.aside}/{ADDED}/{self._name(path).replace('/', _SLASH)}")
         self.tree.move(staged, path)
         self.done.append((path, ""))
 
@@ -114,4 +137,9 @@ class Swap:
                     self.tree.move(kept, path)
                 else:
                     self.tree.remove(path)
-        self.tree.remove(self.aside)
+            self.tree.remove(self.aside)
+        elif self.tree.exists(self.aside):
+            # One rename says that the swap is finished; from here on nothing is taken back.
+            finished = self.aside.replace(f"{self.table}{REPLACED}", f"{self.table}{FINISHED}")
+            self.tree.move(self.aside, finished)
+            self.tree.remove(finished)

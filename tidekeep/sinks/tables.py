@@ -27,10 +27,12 @@ from ..functions.text import encode_nulls, scrub_delimiters
 from ..operators.joins import without
 from ..operators.ranking import top_k_per_group
 from ..sources.scans import read_landing, read_partition_list, read_table
-from .files import FileTree, Swap, staging
+from .files import FileTree, Swap, recover, staging
 
 # Tables with these name endings are short-lived and not worth compacting.
 SHORT_LIVED = ("_stg", "_tmp", "_temp", "_cln")
+# A folder whose files are smaller than this on average is worth compacting.
+SMALL_FILE = 16 << 20
 
 
 def _partition(column: str, value: object) -> str:
@@ -65,6 +67,7 @@ def replace_partitions(
     replaced too, gets the rows added, or is refused. The rest of the table is untouched.
     """
     tree = FileTree(df.sparkSession)
+    recover(tree, path)
     covered_names = {_partition(column, v) for v in covered}
     with staging(tree, path) as staged:
         _save(df, staged, column, fmt, layout)
@@ -94,6 +97,7 @@ def write_full(
 ) -> None:
     """Replace the whole table."""
     tree = FileTree(df.sparkSession)
+    recover(tree, path)
     with staging(tree, path) as staged:
         _save(df, staged, column, fmt, layout)
         with Swap(tree, path) as swap:
@@ -118,7 +122,9 @@ def overwrite_month_range(df: DataFrame, path: str, lo: int, hi: int, beyond: st
 
 def drop_month_range(spark: SparkSession, path: str, lo: int, hi: int) -> None:
     """Remove the months lo to hi, both included."""
-    with Swap(FileTree(spark), path) as swap:
+    tree = FileTree(spark)
+    recover(tree, path)
+    with Swap(tree, path) as swap:
         for month in months_between(lo, hi):
             swap.take_out(f"{path}/{_partition(PARTITION_COLUMN, month)}")
 
@@ -128,7 +134,8 @@ def write_landing(df: DataFrame, path: str, column: str | None = None) -> None:
     fields = [f.name for f in df.schema.fields if f.name != column]
     texts = encode_nulls(scrub_delimiters(df.select(*fields, *([column] if column else []))))
     line = F.concat_ws(FIELD_DELIMITER, *[F.col(f) for f in fields]).alias("value")
-    lines = texts.select(line, *([F.col(column).cast("int")] if column else []))
+    # A row without a partition value carries the marker for NULL here and lands in the default partition.
+    lines = texts.select(line, *([F.col(column).try_cast("int").alias(column)] if column else []))
     writer = _rebalanced(lines, column).write.option("lineSep", LINE_DELIMITER)
     (writer.partitionBy(column) if column else writer).text(path)
 
@@ -153,14 +160,16 @@ def replicate_partitions(
     after: datetime | None = None,
     before: datetime | None = None,
 ) -> None:
-    """Make the target hold the listed, non-empty partitions of the source and nothing else.
+    """Copy the listed partitions that the source has rows for; the target's other partitions stay.
 
-    Without a list the whole source is mirrored.
+    Without a list the whole source is mirrored, and what it does not hold goes.
     """
     rows = read_table(spark, source)
-    if days is not None:
+    if days is None:
+        write_full(rows, target, PARTITION_COLUMN, layout="as read")
+    else:
         rows = read_partition_list(rows, days, time_column, after, before)
-    write_full(rows, target, PARTITION_COLUMN, layout="as read")
+        replace_partitions(rows, target, [], layout="as read")
 
 
 def repartition_table(df: DataFrame, time_column: str) -> DataFrame:
@@ -169,10 +178,34 @@ def repartition_table(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, column: str = PARTITION_COLUMN, schema: T.StructType | None = None) -> bool:
-    """Rewrite a table's small files into advisory-sized ones. Short-lived tables are skipped."""
+    """Rewrite the partitions that consist of small files into advisory-sized ones, and only those.
+
+    Short-lived tables are skipped. Tells whether anything was rewritten.
+    """
     if path.rstrip("/").endswith(SHORT_LIVED):
         return False
-    write_full(read_table(spark, path, schema=schema), path, column)
+    tree = FileTree(spark)
+    recover(tree, path)
+
+    def crumbled(folder: str) -> bool:
+        sizes = tree.sizes(folder)
+        return len(sizes) > 1 and sum(sizes) < SMALL_FILE * len(sizes)
+
+    rows = read_table(spark, path, schema=schema)
+    if not tree.is_partitioned(path, column):
+        if crumbled(path):
+            write_full(rows, path)
+            return True
+        return False
+    names = [n for n in tree.names(path) if n.startswith(f"{column}=") and crumbled(f"{path}/{n}")]
+    if not names:
+        return False
+    empty = _partition(column, None)
+    values = [n.partition("=")[2] for n in names if n != empty]
+    inside = F.col(column).cast("string").isin(values)
+    if empty in names:
+        inside = inside | F.col(column).isNull()
+    replace_partitions(rows.where(inside), path, [None if n == empty else n.partition("=")[2] for n in names], column, "refuse")
     return True
 
 
@@ -193,6 +226,7 @@ def export_rows(df: DataFrame, path: str, writers: int) -> None:
     texts = encode_nulls(scrub_delimiters(df))
     line = F.concat_ws(FIELD_DELIMITER, *[F.col(c) for c in df.columns]).alias("value")
     tree = FileTree(df.sparkSession)
+    recover(tree, path)
     with staging(tree, path) as staged:
         texts.select(line).repartition(writers).write.option("lineSep", LINE_DELIMITER).text(staged)
         with Swap(tree, path) as swap:

@@ -401,7 +401,7 @@ SOURCE_TYPES = {
     "l_returnflag": "varchar(32)",
     "l_shipdate": "datetime",
 }
-ORACLE_TYPES = {**SOURCE_TYPES, "l_linenumber": "number(10)", "l_shipdate": "date"}
+ORACLE_TYPES = {**SOURCE_TYPES, "l_linenumber": "number(10)", "l_discount": "number(12,2)", "l_shipdate": "date"}
 
 
 def _as_read(df):
@@ -425,7 +425,7 @@ def s20(spark, sf_dir):
     "s21_cast_types_oracle",
     """SELECT l_orderkey, CAST(CAST(l_linenumber AS DECIMAL(10,0)) AS VARCHAR) AS l_linenumber,
         CAST(CAST(l_extendedprice AS DECIMAL(17,4)) AS VARCHAR) AS l_extendedprice,
-        CAST(CAST(l_discount AS DECIMAL(17,4)) AS VARCHAR) AS l_discount,
+        CAST(CAST(l_discount AS DECIMAL(12,2)) AS VARCHAR) AS l_discount,
         CAST(CAST(l_tax AS DECIMAL(9,3)) AS VARCHAR) AS l_tax, l_returnflag, l_shipdate FROM lineitem""",
 )
 def s21(spark, sf_dir):
@@ -450,7 +450,7 @@ def s22(spark, sf_dir):
     "s23_cast_report_types_oracle",
     """SELECT l_orderkey, CAST(CAST(l_linenumber AS DECIMAL(10,0)) AS VARCHAR) AS l_linenumber,
         CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS l_extendedprice,
-        CAST(CAST(l_discount AS DECIMAL(5,2)) AS VARCHAR) AS l_discount,
+        CAST(CAST(l_discount AS DECIMAL(12,2)) AS VARCHAR) AS l_discount,
         CAST(CAST(l_tax AS DECIMAL(9,3)) AS VARCHAR) AS l_tax, l_returnflag, l_shipdate FROM lineitem""",
 )
 def s23(spark, sf_dir):

@@ -74,7 +74,6 @@ def merged_sql(old: str, lo: int = 199711, hi: int = 199812) -> str:
 
 
 CLEANED_ODS = "clean_ods AS (SELECT * FROM ods WHERE coalesce(ods_update_time, '999') <> '999999')"
-# Landed rows of late December ship in January by their hour offset: the month after the range.
 TABLE_AFTER = """SELECT * FROM ods WHERE partition_date NOT BETWEEN {lo} AND 199812
         AND partition_date NOT IN (SELECT partition_date FROM merged)
     UNION ALL SELECT * FROM merged"""
@@ -320,12 +319,13 @@ def k12(spark, sf_dir):
 
 @query(
     "k13_replicate",
-    f"""SELECT * FROM ({EVENT_DAYS}) WHERE partition_date IN (20240111, 20240112)
+    f"""SELECT * FROM ({EVENT_DAYS}) WHERE partition_date = 20240110 OR partition_date IN (20240111, 20240112)
         AND ts > TIMESTAMP '2024-01-11 02:00:00' AND ts < TIMESTAMP '2024-01-12 22:00:00'""",
 )
 def k13(spark, sf_dir):
     source, target = scratch_path(spark, "origin"), scratch_path(spark, "mirror")
     sink.append_partitions(_events_by_day(spark, sf_dir), source)
+    sink.replicate_partitions(spark, source, target, [20240110, 20240111])
     sink.replicate_partitions(
         spark, source, target, [20240111, 20240112], "ts", datetime(2024, 1, 11, 2), datetime(2024, 1, 12, 22)
     )

@@ -341,7 +341,7 @@ def w11(spark, sf_dir):
 
 @query(
     "w12_replicate_partitions",
-    f"SELECT * FROM ({EVENT_DAYS}) WHERE partition_date IN (20240105, 20240106, 20240107)",
+    f"SELECT * FROM ({EVENT_DAYS}) WHERE partition_date IN (20240101, 20240105, 20240106, 20240107)",
 )
 def w12(spark, sf_dir):
     source, target = scratch_path(spark, "source"), scratch_path(spark, "copy")
