@@ -1,6 +1,6 @@
 """Benchmark passages in documents, found with an FM-index per training shard.
 
-Documents stream through their scan's tasks. About a million words at a time become one shard: an FM-index of its words is
+Documents stream through their scan's tasks. A few hundred thousand words at a time become one shard: an FM-index of its words is
 built, every benchmark window runs backwards through it at once, and the occurrences are located by sampled suffix positions
 and merged into spans per document. Nothing is shuffled, and a task holds one shard.
 
@@ -24,7 +24,7 @@ from .fmindex import FMIndex
 from .tokens import NOT_ALNUM, Words, slices, utf8, words_of
 
 WINDOWS = 500_000
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 FOUND = "n_words long, n_hit long, spans array<struct<start:long,stop:long>>, items array<long>"
 
 

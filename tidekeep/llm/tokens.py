@@ -64,7 +64,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts stay under the limit; a longer text is a run of its own."""
     _, at = utf8(batch.column(column))
     start = 0
