@@ -352,6 +352,12 @@ def test_rates_meet_targets(spark):
     assert (rates >= 0).all() and np.abs((n * rates) @ p - targets).sum() < 1e-3 * n.sum()
 
 
+def test_tokens_of_long_texts_are_whole():
+    assert mixing.tokens("") == ({}, 0)
+    assert mixing.tokens("Ab1_ b, ÄB\tab") == (dict.fromkeys(["ab", "1", "_", "b", ",", "äb"]), 7)
+    assert mixing.tokens("x1 " * 100_000) == ({"x": None, "1": None}, 200_000)
+
+
 def test_mixing(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     docs = docs.withColumn("posterior", F.lit("old")).withColumn("text", F.when(F.col("doc_id") > 2, F.col("text")))

@@ -18,13 +18,16 @@ replaced.
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from .common import small_batches, stored
 
@@ -35,7 +38,8 @@ REGULARISATION = 0.0002
 CLOSE = 1e-6
 # Shares of tokens by (quality, toxic).
 TARGETS = {"1/0": 0.96, "1/1": 0.02, "0/0": 0.015, "0/1": 0.005}
-_WORDS = "__words"
+# Runs of letters, and every other sign that is no space.
+_TOKEN = re.compile(r"[^\W\d_]+|[^ \t-\r]")
 
 
 def labelled_domains(labels: DataFrame, columns: list[str]) -> DataFrame:
@@ -46,6 +50,22 @@ def labelled_domains(labels: DataFrame, columns: list[str]) -> DataFrame:
     ).distinct()
 
 
+def tokens(text: str) -> tuple[dict[str, None], int]:
+    """The distinct tokens of a text in the order they appear, and the number of all."""
+    distinct, n = {}, 0
+    found = map(re.Match.group, _TOKEN.finditer(text.lower()))
+    while some := list(islice(found, 1 << 16)):
+        n += len(some)
+        distinct.update(dict.fromkeys(some))
+    return distinct, n
+
+
+def _term_lists(batches):
+    for batch in batches:
+        terms = [list(tokens(t)[0]) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.string())), batch.column("label")], ["terms", "label"])
+
+
 class Membership:
     """Posteriors over domains from the words of a text."""
 
@@ -54,7 +74,6 @@ class Membership:
         small = stored(small, "labelled")
         self.domains = [r["domain"] for r in small.select("domain").distinct().orderBy("domain").collect()]
         self.model = None
-        self.split = RegexTokenizer(inputCol="text", outputCol=_WORDS, gaps=False, pattern=r"\p{L}+|[^\p{L}\s]")
         if len(self.domains) < 2:
             return
         names = F.array(*[F.lit(d) for d in self.domains])
@@ -62,22 +81,19 @@ class Membership:
         rows = docs.select(F.col("doc_id").cast("long"), self._text(docs).alias("text"))
         rows = rows.join(F.broadcast(small), "doc_id")
         rows = stored(rows.select("text", (F.array_position(names, F.col("domain")) - 1).cast("double").alias("label")), "fit")
-        rows = self.split.transform(rows)
+        rows = rows.mapInArrow(_term_lists, "terms array<string>, label double")
         try:
-            self.vector = CountVectorizer(
-                inputCol=_WORDS, outputCol="__x", vocabSize=VOCABULARY, minDF=2.0, binary=True
-            ).fit(rows)
+            vector = CountVectorizer(inputCol="terms", outputCol="x", vocabSize=VOCABULARY, minDF=2.0, binary=True).fit(rows)
         except Exception as error:  # no word is in two labelled texts
             if "vocabulary" not in str(error):
                 raise
             self.domains = self.domains[:1]
             return
         regression = LogisticRegression(
-            featuresCol="__x", family="multinomial", regParam=REGULARISATION, elasticNetParam=0.9, maxIter=60, probabilityCol="__p",
-            standardization=False,
-        )
+            featuresCol="x", family="multinomial", regParam=REGULARISATION, elasticNetParam=0.9, maxIter=60, standardization=False
+        )
         # At most FIT_ROWS short vectors: few tasks make each pass of the fit cheap.
-        fitted = stored(self.vector.transform(rows).select("__x", "label").coalesce(4), "vectors")
+        fitted = stored(vector.transform(rows).select("x", "label").coalesce(4), "vectors")
         if fitted.select("label").distinct().count() < len(self.domains):
             missing = {int(r["label"]) for r in fitted.select("label").distinct().collect()}
             self.domains = [d for k, d in enumerate(self.domains) if k in missing] or self.domains[:1]
@@ -85,7 +101,12 @@ class Membership:
                 return
             order = F.array(*[F.lit(float(k)) for k in sorted(missing)])
             fitted = fitted.withColumn("label", (F.array_position(order, F.col("label")) - 1).cast("double"))
-        self.model = regression.fit(fitted)
+        model = regression.fit(fitted)
+        weights = model.coefficientMatrix.toArray().T
+        used = np.flatnonzero(np.any(weights != 0, axis=1))
+        # At most VOCABULARY words, those with a weight.
+        at = {vector.vocabulary[j]: i for i, j in enumerate(used)}
+        self.model = at, weights[used], model.interceptVector.toArray()
 
     @staticmethod
     def _text(docs: DataFrame) -> F.Column:
@@ -94,16 +115,26 @@ class Membership:
     def posteriors(self, docs: DataFrame) -> DataFrame:
         """docs with n_tokens (runs of letters, and other signs) and posterior, an array in the order of domains."""
         out = docs.drop("n_tokens", "posterior")
-        kept = out.columns
-        rows = out.withColumn("__whole", F.struct(*kept)).select("__whole", self._text(docs).alias("text"))
-        rows = self.split.transform(rows)
-        if self.model is None:
-            p = F.array(F.lit(1.0))
-        else:
-            rows = self.model.transform(self.vector.transform(rows))
-            p = vector_to_array("__p")
-        n = F.size(_WORDS).cast("long").alias("n_tokens")
-        return rows.select(*[F.col("__whole")[c].alias(c) for c in kept], n, p.alias("posterior"))
+        place = [c.lower() for c in out.columns].index("text")
+        sent = docs.sparkSession.sparkContext.broadcast(self.model)
+
+        def run(batches):
+            at, weights, start = sent.value or ({}, np.zeros((0, 1)), np.zeros(1))
+            for batch in batches:
+                n = np.zeros(batch.num_rows, np.int64)
+                raw = np.tile(start, (batch.num_rows, 1))
+                for i, text in enumerate(batch.column(place).cast(pa.string())):
+                    distinct, n[i] = tokens(text.as_py() or "")
+                    raw[i] += weights[[at[t] for t in distinct if t in at]].sum(axis=0)
+                p = np.exp(raw - raw.max(axis=1, keepdims=True, initial=-np.inf))
+                p /= p.sum(axis=1, keepdims=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(n), pa.array(list(p), pa.list_(pa.float64()))],
+                    [*batch.schema.names, "n_tokens", "posterior"],
+                )
+
+        added = [StructField("n_tokens", LongType()), StructField("posterior", ArrayType(DoubleType()))]
+        return out.mapInArrow(run, StructType([*out.schema.fields, *added]))
 
 
 def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
