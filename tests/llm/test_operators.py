@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -352,10 +353,16 @@ def test_rates_meet_targets(spark):
     assert (rates >= 0).all() and np.abs((n * rates) @ p - targets).sum() < 1e-3 * n.sum()
 
 
-def test_tokens_of_long_texts_are_whole():
-    assert mixing.tokens("") == ({}, 0)
-    assert mixing.tokens("Ab1_ b, ÄB\tab") == (dict.fromkeys(["ab", "1", "_", "b", ",", "äb"]), 7)
-    assert mixing.tokens("x1 " * 100_000) == ({"x": None, "1": None}, 200_000)
+def test_posteriors_against_plain_sums():
+    vocabulary, rng = ["ab", ",", "äb", "1", "x"], np.random.default_rng(3)
+    weights, start = rng.normal(size=(5, 3)), rng.normal(size=3)
+    texts = [None, "", "Ab1_ b, ÄB\täb", "x1 " * 100_000, "no, no", "日本，x", "äb"]
+    n, p = mixing.Scorer(vocabulary, weights, start).score(pa.array(texts))
+    for i, t in enumerate(texts):
+        own = re.findall(r"[a-z\x80-\U0010ffff]+|[^ \t-\r]", fold(t))
+        raw = start + sum(weights[j] for j, w in enumerate(vocabulary) if w in own)
+        assert n[i] == len(own) and np.allclose(p[i], np.exp(raw) / np.exp(raw).sum())
+    assert [len(x) for x in mixing.Scorer([], np.zeros((0, 1)), np.zeros(1)).score(pa.array([], pa.string()))] == [0, 0]
 
 
 def test_mixing(spark):

@@ -19,7 +19,6 @@ replaced.
 from __future__ import annotations
 
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from .common import small_batches, stored
+from .tokens import SPACES, Words, slices, utf8, words_of
 
 FIT_ROWS = 20_000
 VOCABULARY = 1 << 15
@@ -38,8 +38,11 @@ REGULARISATION = 0.0002
 CLOSE = 1e-6
 # Shares of tokens by (quality, toxic).
 TARGETS = {"1/0": 0.96, "1/1": 0.02, "0/0": 0.015, "0/1": 0.005}
-# Runs of letters, and every other sign that is no space.
-_TOKEN = re.compile(r"[^\W\d_]+|[^ \t-\r]")
+# Tokens are runs of ASCII letters and of characters beyond ASCII, and every other sign that is no space.
+_TOKEN = re.compile(rb"[a-z\x80-\xff]+|[^ \t-\r]")
+_APART = bytes(b for b in range(128) if not chr(b).isalpha())
+_SIGN = np.zeros(256, bool)
+_SIGN[[b for b in _APART if b not in SPACES]] = True
 
 
 def labelled_domains(labels: DataFrame, columns: list[str]) -> DataFrame:
@@ -50,22 +53,51 @@ def labelled_domains(labels: DataFrame, columns: list[str]) -> DataFrame:
     ).distinct()
 
 
-def tokens(text: str) -> tuple[dict[str, None], int]:
-    """The distinct tokens of a text in the order they appear, and the number of all."""
-    distinct, n = {}, 0
-    found = map(re.Match.group, _TOKEN.finditer(text.lower()))
-    while some := list(islice(found, 1 << 16)):
-        n += len(some)
-        distinct.update(dict.fromkeys(some))
-    return distinct, n
-
-
 def _term_lists(batches):
+    """The distinct tokens of each text."""
     for batch in batches:
-        terms = [list(tokens(t)[0]) for t in batch.column("text").to_pylist()]
+        found = (sorted(set(_TOKEN.findall(t.encode().lower()))) for t in batch.column("text").to_pylist())
+        terms = [[w.decode() for w in own] for own in found]
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.string())), batch.column("label")], ["terms", "label"])
 
 
+class Scorer:
+    """Token counts and posteriors of whole batches. A word is found by its 64-bit key; no Python object is made per token."""
+
+    def __init__(self, vocabulary: list[str], weights: np.ndarray, start: np.ndarray):
+        """weights: a row per word of the vocabulary, a column per domain; start: the intercepts."""
+        self.start = start
+        self.signs = np.zeros((128, len(start)))
+        is_sign = np.array([len(w) == 1 and ord(w) < 128 and bool(_SIGN[ord(w)]) for w in vocabulary], bool)
+        for j in np.flatnonzero(is_sign):
+            self.signs[ord(vocabulary[j])] = weights[j]
+        words = np.flatnonzero(~is_sign)
+        keys = words_of(pa.array([vocabulary[j] for j in words], pa.string()), _APART).keys()
+        order = np.argsort(keys)
+        self.keys, self.weights = keys[order], weights[words[order]]
+
+    def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each text, and its posterior."""
+        n, m = len(column), len(self.keys)
+        raw = np.tile(self.start, (n, 1))
+        data, offsets = utf8(column)
+        words = Words(data, offsets, _APART)
+        at = np.flatnonzero(_SIGN[data])
+        owner = np.searchsorted(offsets, at, "right") - 1
+        seen = np.zeros((n, 128), bool)
+        seen[owner, data[at]] = True
+        raw += seen @ self.signs
+        if m and len(words):
+            keys = words.keys()
+            place = np.minimum(np.searchsorted(self.keys, keys), m - 1)
+            hit = self.keys[place] == keys
+            pair = np.unique(words.owners()[hit] * m + place[hit])
+            for c in range(raw.shape[1]):
+                raw[:, c] += np.bincount(pair // m, weights=self.weights[pair % m, c], minlength=n)
+        p = np.exp(raw - raw.max(axis=1, keepdims=True))
+        return words.counts + np.bincount(owner, minlength=n), p / p.sum(axis=1, keepdims=True)
+
+
 class Membership:
     """Posteriors over domains from the words of a text."""
 
@@ -73,15 +105,15 @@ class Membership:
         small = domains.orderBy(F.xxhash64("doc_id"), "domain").limit(FIT_ROWS)
         small = stored(small, "labelled")
         self.domains = [r["domain"] for r in small.select("domain").distinct().orderBy("domain").collect()]
-        self.model = None
+        self.model = Scorer([], np.zeros((0, 1)), np.zeros(1))
         if len(self.domains) < 2:
             return
         names = F.array(*[F.lit(d) for d in self.domains])
         # At most FIT_ROWS ids travel to the tasks.
         rows = docs.select(F.col("doc_id").cast("long"), self._text(docs).alias("text"))
         rows = rows.join(F.broadcast(small), "doc_id")
-        rows = stored(rows.select("text", (F.array_position(names, F.col("domain")) - 1).cast("double").alias("label")), "fit")
-        rows = rows.mapInArrow(_term_lists, "terms array<string>, label double")
+        rows = rows.select("text", (F.array_position(names, F.col("domain")) - 1).cast("double").alias("label"))
+        rows = stored(rows.mapInArrow(_term_lists, "terms array<string>, label double"), "fit")
         try:
             vector = CountVectorizer(inputCol="terms", outputCol="x", vocabSize=VOCABULARY, minDF=2.0, binary=True).fit(rows)
         except Exception as error:  # no word is in two labelled texts
@@ -105,33 +137,27 @@ class Membership:
         weights = model.coefficientMatrix.toArray().T
         used = np.flatnonzero(np.any(weights != 0, axis=1))
         # At most VOCABULARY words, those with a weight.
-        at = {vector.vocabulary[j]: i for i, j in enumerate(used)}
-        self.model = at, weights[used], model.interceptVector.toArray()
+        vocabulary = vector.vocabulary
+        self.model = Scorer([vocabulary[j] for j in used], weights[used], model.interceptVector.toArray())
 
     @staticmethod
     def _text(docs: DataFrame) -> F.Column:
         return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
     def posteriors(self, docs: DataFrame) -> DataFrame:
-        """docs with n_tokens (runs of letters, and other signs) and posterior, an array in the order of domains."""
+        """docs with n_tokens and posterior, an array in the order of domains."""
         out = docs.drop("n_tokens", "posterior")
-        place = [c.lower() for c in out.columns].index("text")
+        name = next(c for c in out.columns if c.lower() == "text")
         sent = docs.sparkSession.sparkContext.broadcast(self.model)
 
         def run(batches):
-            at, weights, start = sent.value or ({}, np.zeros((0, 1)), np.zeros(1))
             for batch in batches:
-                n = np.zeros(batch.num_rows, np.int64)
-                raw = np.tile(start, (batch.num_rows, 1))
-                for i, text in enumerate(batch.column(place).cast(pa.string())):
-                    distinct, n[i] = tokens(text.as_py() or "")
-                    raw[i] += weights[[at[t] for t in distinct if t in at]].sum(axis=0)
-                p = np.exp(raw - raw.max(axis=1, keepdims=True, initial=-np.inf))
-                p /= p.sum(axis=1, keepdims=True)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(n), pa.array(list(p), pa.list_(pa.float64()))],
-                    [*batch.schema.names, "n_tokens", "posterior"],
-                )
+                for part in slices(batch, name):
+                    n, p = sent.value.score(part.column(name))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array(n, pa.int64()), pa.array(list(p), pa.list_(pa.float64()))],
+                        [*part.schema.names, "n_tokens", "posterior"],
+                    )
 
         added = [StructField("n_tokens", LongType()), StructField("posterior", ArrayType(DoubleType()))]
         return out.mapInArrow(run, StructType([*out.schema.fields, *added]))
