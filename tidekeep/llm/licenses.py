@@ -129,12 +129,10 @@ class Classifier:
         own = stored(own.distinct(), "strangers")
         notices = [(k, fr.format(t)) for k, f in enumerate(TEMPLATES, 1) for t in TEMPLATES[f] for fr in FRAMES]
         notices = spark.createDataFrame(notices, "label int, notice string")
-        around = own.orderBy("h").limit(CONTEXTS).select(F.col("text").alias("around"))
-        around = around.select(F.substring("around", 1, 400).alias("around")).unionByName(
-            spark.createDataFrame([("",), ("",), ("",)], "around string")
-        )
-        # A few dozen notices, each beside a few paragraphs.
-        rows = notices.crossJoin(F.broadcast(around))
+        # At most CONTEXTS short paragraphs, beside each of a few dozen notices.
+        around = own.orderBy("h").limit(CONTEXTS).select(F.substring("text", 1, 400).alias("around")).collect()
+        around = F.array(*[F.lit(t) for t in [r["around"] for r in around] + [""] * 3])
+        rows = notices.select("label", "notice", F.explode(around).alias("around"))
         first = F.concat_ws(" ", "notice", "around")
         rows = rows.select(
             "label", F.when(F.xxhash64("notice", "around") % 2 == 0, first).otherwise(F.concat_ws(" ", "around", "notice")).alias("text")
