@@ -109,6 +109,31 @@ def test_pii_surrogates_never_collide(spark):
         assert len(new) == 36 and not new & {n for k, n in norms if k == kind}
 
 
+def test_pii_blank_fields_are_no_secrets(spark):
+    blank = ["Password: ________________", "secret = ----------", "token: ........", "pwd=++++////"]
+    got = by_id(pii.anonymise(make(spark, [*blank, "Password: ____x____", "token: +1------"])))
+    assert [got[i]["text"] for i in range(4)] == blank and not any(got[i]["n_entities"] for i in range(4))
+    assert all(got[i]["n_entities"] == 1 for i in (4, 5))
+    assert re.fullmatch(r"Password: ____[a-wyz]____", got[4]["text"]) and re.fullmatch(r"token: \+[02-9]------", got[5]["text"])
+
+
+def test_pii_used_up_formats_are_widened(spark):
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    norms = [("secret", f"----{a}----") for a in letters] + [("secret", f"____.___{a}") for a in digits]
+    # A phone number, a social security and a card number of few digits stand for used-up formats of fixed length.
+    norms += [(kind, a) for kind in ("phone", "ssn") for a in digits] + [("iban", f"DE{a}") for a in digits]
+    known = pii.surrogates(spark.createDataFrame(norms, "kind string, norm string")).collect()
+    assert len(known) == len(norms)
+    for kind in ("secret", "phone", "ssn", "iban"):
+        new = {r["surrogate"].lower() for r in known if r["kind"] == kind}
+        old = {n.lower() for k, n in norms if k == kind}
+        assert len(new) == len(old) and not new & old
+    raws = spark.createDataFrame([("123-45-6789", "ssn", "123456789")], "raw string, kind string, norm string")
+    raws = raws.select("raw", "kind", F.array(F.struct("kind", "norm")).alias("parts"))
+    shown = spark.createDataFrame([("ssn", "123456789", "98765432155555555")], "kind string, norm string, surrogate string")
+    assert pii._replacements(raws, shown).first()["replacement"] == "987-65-432155555555"
+
+
 def test_pii_has_no_python_in_its_plan(spark):
     plan = pii.anonymise(make(spark, ["a@b.org"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and pii.anonymise(empty(spark)).count() == 0

@@ -9,8 +9,8 @@ card and social security numbers, phone numbers, and names after a title. A surr
 
 Equal entities have equal surrogates in all documents, also where one is written in two ways (separators, a country code, the
 case of an address, a surname with and without given name). Different entities of a kind have different surrogates, none of
-which is itself an entity of the corpus: colliding candidates are drawn again, the smallest entity keeping its draw. The
-distinct entities are one table, checked by grouping and anti-joins; nothing is gathered per document but its own entities.
+which is itself an entity of the corpus: colliding candidates are drawn again, the smallest entity keeping its draw. Where the
+draws of a short format are used up, the surrogate is made longer, and an IP address takes the long form. The distinct entities are one table, checked by grouping and anti-joins; nothing is gathered per document but its own entities.
 
 Only documents with entities are shuffled. Null and empty texts and documents without entities stay as they are; further
 columns are kept. n_chars, where there is one, follows the text. Repeated rows get the same text.
@@ -25,6 +25,8 @@ from .common import stored
 
 KEY = "a key of one's own"
 ATTEMPTS = 64
+# Draws after which also formats of fixed length are widened.
+FIXED = 8
 
 _TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Господин"]}
 _ANY = ["Dr", "Prof"]
@@ -43,7 +45,7 @@ _SYLLABLES = {
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _PATTERNS = [
     r"(?<![\w.+%-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.?(?<=\.[A-Za-z]{2,24})",
-    r"(?<=(?i:token|secret|api_key|apikey|password|passwd|pwd)[\x22']?\s{0,3}[=:]\s{0,3}[\x22']?)(?![\s\x22'=:])[A-Za-z0-9+/_.-]{8,}",
+    r"(?<=(?i:token|secret|api_key|apikey|password|passwd|pwd)[\x22']?\s{0,3}[=:]\s{0,3}[\x22']?)(?=[+/_.-]*+[A-Za-z0-9])[A-Za-z0-9+/_.-]{8,}",
     r"(?<!\w)(?:AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,}|gh[pousr]_[A-Za-z0-9]{20,}|(?=[a-f]*\d)[0-9a-f]{32,128})(?!\w)",
     r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
@@ -75,7 +77,7 @@ def _kind(raw: Column) -> Column:
         .when(raw.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(raw.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{11,}$"), "iban")
         .when(raw.rlike(r"^\d{13,19}$|^\d{4}[ -]\d{4}[ -]\d{4}[ -]"), "card")
-        .when(raw.rlike(r"^[+(\d][\d ().+-]*$"), "phone")
+        .when(raw.rlike(r"^[+(\d][\d ().+-]*$") & raw.rlike(r"(?:\d\D*){7}"), "phone")
         .otherwise("secret")
     )
 
@@ -113,7 +115,7 @@ def _candidate(key: str, attempt: int) -> Column:
     """The surrogate that the attempt's hash of kind and norm gives."""
     safe = key.replace("\\", "\\\\").replace("'", "\\'")
     stream = (
-        "array_join(transform(sequence(0, length(norm) div 32 + 1), j -> "
+        f"array_join(transform(sequence(0, (length(norm) + {attempt}) div 32 + 1), j -> "
         f"sha2(concat_ws('|', '{safe}', kind, norm, '{attempt}', j), 256)), '')"
     )
     byte = "cast(conv(substring({h}, 2 * ({i}) - 1, 2), 16, 10) AS int)".format
@@ -131,10 +133,13 @@ def _candidate(key: str, attempt: int) -> Column:
         return f"array({listed})[{byte(h='h', i=i)} % {len(values)}]"
 
     b = [byte(h="h", i=i) for i in range(1, 9)]
-    digits = f"array_join(transform(sequence(1, length(norm)), i -> {byte(h='h', i='i')} % 10), '')"
+    # So do, after some more, formats of fixed length.
+    wide = attempt if attempt >= FIXED else 0
+    size = f"(length(norm) + {wide})"
+    digits = f"array_join(transform(sequence(1, {size}), i -> {byte(h='h', i='i')} % 10), '')"
     b_i = byte(h="h", i="i")
     # Where a dialled number has no 0 or 1, as at the start of an area code, neither has its surrogate.
-    dial = f"array_join(transform(sequence(1, length(norm)), i -> if(substring(norm, i, 1) >= '2', 2 + {b_i} % 8, {b_i} % 10)), '')"
+    dial = f"array_join(transform(sequence(1, {size}), i -> if(substring(norm, i, 1) >= '2', 2 + {b_i} % 8, {b_i} % 10)), '')"
     hexes = "array_join(transform(sequence(1, length(norm)), i -> if(substring(norm, i, 1) = ':', ':', substring(h, i, 1))), '')"
     # From the third draw on, short spaces are widened.
     longer = f"substring(translate(h, 'abcdef', '024689'), 20, {attempt})" if attempt > 1 else "''"
@@ -144,20 +149,24 @@ def _candidate(key: str, attempt: int) -> Column:
     name = {s: f"initcap(concat({', '.join(p)}))" for s, p in script.items()}
     extra = {s: f"concat({', '.join(p[:more])})" if more else "''" for s, p in script.items()}
     card = f"concat(substring(norm, 1, 1), substring({digits}, 2))"
-    card = f"CASE WHEN {_luhn('norm')} = 0 THEN concat(substring({card}, 1, length(norm) - 1), check_digit) ELSE {card} END"
-    rest = f"concat(substring(concat(substring(norm, 1, 1), substring({digits}, 2)), 1, length(norm) - 1), '0')"
+    card = f"CASE WHEN {_luhn('norm')} = 0 THEN concat(substring({card}, 1, {size} - 1), check_digit) ELSE {card} END"
+    rest = f"concat(substring(concat(substring(norm, 1, 1), substring({digits}, 2)), 1, {size} - 1), '0')"
     card = card.replace("check_digit", f"cast((10 - {_luhn('(' + rest + ')')}) % 10 AS string)")
+    ip, ip6 = f"concat_ws('.', 1 + {b[0]} % 223, {b[1]}, {b[2]}, 1 + {b[3]} % 254)", hexes
+    if wide:
+        ip = ip6 = f"concat_ws(':', {', '.join(f'substring(h, {4 * i + 1}, 4)' for i in range(8))})"
+    end = f"substring(translate(h, 'abcdef', '024689'), 20, {wide})" if wide else "''"
     body = f"""CASE
         WHEN kind = 'mail' THEN concat({shape("split(norm, '@')[0]")}, {longer}, '@mail', {b[7]} % 10, '.example.',
             array('com', 'net', 'org')[{b[6]} % 3])
-        WHEN kind = 'ip' THEN concat_ws('.', 1 + {b[0]} % 223, {b[1]}, {b[2]}, 1 + {b[3]} % 254)
-        WHEN kind = 'ip6' THEN {hexes}
+        WHEN kind = 'ip' THEN {ip}
+        WHEN kind = 'ip6' THEN {ip6}
         WHEN kind = 'card' THEN {card}
         WHEN kind = 'ssn' THEN {digits}
         WHEN kind = 'phone' THEN {dial}
-        WHEN kind = 'iban' THEN concat(substring(norm, 1, 2), substring({shape("norm")}, 3))
-        WHEN kind = 'secret' AND norm rlike '^[0-9a-f]+$' THEN {hexes}
-        WHEN kind = 'secret' THEN {shape("norm")}
+        WHEN kind = 'iban' THEN concat(substring(norm, 1, 2), substring({shape("norm")}, 3), {end})
+        WHEN kind = 'secret' AND norm rlike '^[0-9a-f]+$' THEN concat({hexes}, {longer})
+        WHEN kind = 'secret' THEN concat({shape("norm")}, {longer})
         WHEN kind LIKE 'given % latin' THEN concat({given}, {extra["latin"]})
         WHEN kind LIKE 'given %' THEN concat({given}, {extra["cyrillic"]})
         WHEN kind = 'surname latin' THEN {name["latin"]}
@@ -187,12 +196,13 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def _overlay(raw: str, digits: str, skip: str) -> str:
-    """raw with its digits, or letters and digits, replaced in turn, beyond the first `skip` characters."""
+    """raw with its digits, or letters and digits, replaced in turn, beyond the first `skip` characters; more digits follow."""
     plain = f"regexp_replace(substring({raw}, 1, i), '[^0-9A-Za-z]', '')"
     place = f"length({plain}) - length(regexp_replace(substring({raw}, 1, {skip}), '[^0-9A-Za-z]', ''))"
+    rest = f"substring({digits}, length(regexp_replace(substring({raw}, {skip} + 1), '[^0-9A-Za-z]', '')) + 1)"
     return (
-        f"array_join(transform(sequence(1, length({raw})), i -> if(i > {skip} AND substring({raw}, i, 1) rlike '[0-9A-Za-z]', "
-        f"substring({digits}, {place}, 1), substring({raw}, i, 1))), '')"
+        f"concat(array_join(transform(sequence(1, length({raw})), i -> if(i > {skip} AND substring({raw}, i, 1) rlike '[0-9A-Za-z]', "
+        f"substring({digits}, {place}, 1), substring({raw}, i, 1))), ''), {rest})"
     )
 
 
