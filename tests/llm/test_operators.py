@@ -338,6 +338,39 @@ def test_lattice_sums_all_segmentations():
         assert abs(slope - counts[p]) < 1e-3
 
 
+def test_expectations_of_several_weights_at_once():
+    pieces = [b" ", b" a", b"a", b"ab", b"b", b" ab", b"bab", b"c"]
+    rng = np.random.default_rng(1)
+    logs = [np.log(rng.dirichlet(np.ones(len(pieces) + 256))) for _ in range(3)]
+    some = [b"a", b"abab", b"cab", b"zz", b"babab", b"bb", b"\xc3\xa9a"]
+    weights = rng.integers(0, 3, (len(some), 3)).astype(float)
+    weights[:, 2] = 0
+    lattice = Lattice(pieces)
+    for k, got in enumerate(lattice.expected_each(some, weights, logs)):
+        want = sum(w * lattice.expected([x], np.ones(1), logs[k]) for x, w in zip(some, weights[:, k], strict=True) if w)
+        assert np.allclose(got, want)
+
+
+def test_lm_is_trained_for_three_rounds(spark, monkeypatch):
+    """The weights are those of three rounds of expectation maximisation over the distinct words of each class."""
+    rows = [(i, t, "en" if i % 2 else "de") for i, t in enumerate(["banana bandana", "ananas", "cab cabana"] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(lmscore.Model, "prepare", lambda m, *a, real=lmscore.Model.prepare: (seen.append(m), real(m, *a))[1])
+    lmscore.scores(docs).count()
+    pieces, scores = load_pieces(lmscore.VOCABULARY)
+    lattice, want = Lattice(pieces), lmscore.Model(pieces, scores, 2)
+    train = [r for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 1]
+    top = sorted(("en", "de"), key=lambda x: (-sum(r["lang"] == x for r in train), x))
+    for k, lang in enumerate(top):
+        own = sorted({w.encode() for r in train if r["lang"] == lang for w in words(r["text"])})
+        logs = want.logs[k]
+        for _ in range(3):
+            weight = lmscore.PRIOR * want.prior + lattice.expected(own, np.ones(len(own)), logs)
+            logs = np.log(weight / weight.sum())
+        assert np.allclose(seen[0].logs[k], logs)
+
+
 def test_lm_scores(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(10**6, None, None), (10**6 + 1, "", "en"), (10**6 + 2, "wort " * 20_000, "xx"), (None, "a", "en")], docs.schema)

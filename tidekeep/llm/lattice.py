@@ -9,6 +9,8 @@ from .tokens import _BASE, _BYTE, mix
 # Marks the start of a word, as the vocabulary's U+2581 does; no word holds a space.
 START = b" "
 _INVERSE: list[np.uint64] = []
+_LEAD = 18
+_SHIFT = np.uint64(64 - _LEAD)
 
 
 def load_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
@@ -39,7 +41,8 @@ def _spans(rows: np.ndarray) -> np.ndarray:
 class Lattice:
     def __init__(self, pieces: list[bytes]):
         self.n = len(pieces)
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        # Keys in order, their pieces, and which leading bits occur: most spans are no piece and are sorted out by these.
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         groups: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
             groups.setdefault(len(p), []).append(i)
@@ -47,7 +50,9 @@ class Lattice:
             rows = np.frombuffer(b"".join(pieces[i] for i in ids), np.uint8).reshape(len(ids), size)
             keys = self._keys(_spans(rows), 0, size)
             order = np.argsort(keys)
-            self.by_length[size] = keys[order], np.array(ids)[order]
+            leads = np.zeros(1 << _LEAD, bool)
+            leads[keys >> _SHIFT] = True
+            self.by_length[size] = keys[order], np.array(ids)[order], leads
 
     @staticmethod
     def _keys(run: np.ndarray, i: int, j: int) -> np.ndarray:
@@ -60,14 +65,16 @@ class Lattice:
         """For every place j and piece length: j, the place before, the rows it fits and the pieces."""
         run, arcs = _spans(rows), []
         for j in range(1, rows.shape[1] + 1):
-            for size, (keys, ids) in self.by_length.items():
+            for size, (keys, ids, leads) in self.by_length.items():
                 if size > j:
                     continue
                 key = self._keys(run, j - size, j)
+                maybe = np.flatnonzero(leads[key >> _SHIFT])
+                key = key[maybe]
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                fits = np.flatnonzero(keys[at] == key)
-                if len(fits):
-                    arcs.append((j, j - size, fits, ids[at[fits]]))
+                same = keys[at] == key
+                if same.any():
+                    arcs.append((j, j - size, maybe[same], ids[at[same]]))
             if j > 1:
                 arcs.append((j, j - 1, np.arange(len(rows)), self.n + rows[:, j - 1].astype(np.int64)))
         return arcs
@@ -104,16 +111,46 @@ class Lattice:
 
     def expected(self, words: list[bytes], weights: np.ndarray, logs: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words, each counted by its weight."""
-        counts = np.zeros(len(logs))
+        return self.expected_each(words, weights[:, None], [logs])[0]
+
+    def expected_each(self, words: list[bytes], weights: np.ndarray, logs: list[np.ndarray]) -> list[np.ndarray]:
+        """How often each piece is expected in the words, for each set of piece weights; the arcs are found once.
+
+        weights: a row for each word, a column for each set. A word of weight 0 is left out of that set.
+        """
+        counts = [np.zeros(len(own)) for own in logs]
         for which, rows in self._groups(words) if words else ():
             arcs = self._arcs(rows)
-            alpha = self._forward(rows, arcs, logs)
-            beta = np.full(alpha.shape, -np.inf)
-            beta[:, -1] = 0
-            total = alpha[:, -1]
-            for j, i, fits, ids in reversed(arcs):
-                step = logs[ids] + beta[fits, j]
-                beta[fits, i] = np.logaddexp(beta[fits, i], step)
-                share = np.exp(alpha[fits, i] + step - total[fits]) * weights[which[fits]]
-                counts += np.bincount(ids, weights=share, minlength=len(counts))
+            for k, own in enumerate(logs):
+                weight = weights[which, k]
+                some = np.flatnonzero(weight > 0)
+                if len(some):
+                    chosen = arcs if len(some) == len(which) else self._only(arcs, some, len(which))
+                    counts[k] += self._expected(rows[some], chosen, weight[some], own)
         return counts
+
+    @staticmethod
+    def _only(arcs, some: np.ndarray, n: int):
+        """The arcs of some of the n rows, which are numbered anew."""
+        place = np.full(n, -1, np.int64)
+        place[some] = np.arange(len(some))
+        out = []
+        for j, i, fits, ids in arcs:
+            at = place[fits]
+            keep = at >= 0
+            if keep.any():
+                out.append((j, i, at[keep], ids[keep]))
+        return out
+
+    def _expected(self, rows: np.ndarray, arcs, weights: np.ndarray, logs: np.ndarray) -> np.ndarray:
+        shares = []
+        alpha = self._forward(rows, arcs, logs)
+        beta = np.full(alpha.shape, -np.inf)
+        beta[:, -1] = 0
+        total = alpha[:, -1]
+        for j, i, fits, ids in reversed(arcs):
+            step = logs[ids] + beta[fits, j]
+            beta[fits, i] = np.logaddexp(beta[fits, i], step)
+            shares.append((ids, np.exp(alpha[fits, i] + step - total[fits]) * weights[fits]))
+        ids, share = (np.concatenate(x) for x in zip(*shares, strict=True))
+        return np.bincount(ids, weights=share, minlength=len(logs))

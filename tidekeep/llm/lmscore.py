@@ -34,7 +34,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 24 << 20
 SLICE = 1 << 20
 CLASSES = 8
-ROUNDS = 2
+ROUNDS = 3
 DISCOUNT = 0.75
 # Weight of the vocabulary's own scores among the expected counts.
 PRIOR = 10.0
@@ -135,11 +135,12 @@ def _estimate(model: Model, counts: DataFrame) -> None:
             lattice, sums = Lattice(pieces), {}
             for batch in _gathered(batches):
                 words = [w.encode() for w in batch.column("word").to_pylist()]
-                for i, own in enumerate(logs):
-                    some = np.flatnonzero(batch.column(f"c{i}").to_numpy() > 0)
-                    if len(some):
-                        chosen = [words[j] for j in some]
-                        sums[i] = sums.get(i, 0) + lattice.expected(chosen, np.ones(len(chosen)), own)
+                used = np.stack([batch.column(f"c{i}").to_numpy() > 0 for i in range(len(logs))], axis=1)
+                some = np.flatnonzero(used.any(axis=1))
+                # One lattice of a word serves all classes that use it.
+                found = lattice.expected_each([words[j] for j in some], used[some].astype(float), logs)
+                for i, own in enumerate(found):
+                    sums[i] = sums.get(i, 0) + own
             for i, s in sums.items():
                 at = np.flatnonzero(s > 0)
                 kind = pa.array(np.full(len(at), i), pa.int32())
