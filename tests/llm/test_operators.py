@@ -300,6 +300,48 @@ def test_licences(spark):
         assert got[r["doc_id"]]["families"] == want
 
 
+def test_licences_within_long_lines(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    prose = " ".join(r["text"] for r in docs.orderBy("doc_id").collect() if len(re.findall("(?i)licen|reserved|copyright", r["text"] or "")) == 0)
+    prose = [w for w in prose.split() if w]
+    notices = {
+        "mit": "Released under the MIT License", "cc-by-nc": "Licensed under CC BY-NC 4.0", "cc-by-sa": "Licensed under CC BY-SA 4.0",
+        "apache": "Licensed under the Apache License, Version 2.0", "gpl": "licensed under the GNU General Public License, version 3",
+        "reserved": "All rights reserved",
+    }
+
+    def line(k, chars, *within):
+        rows, at = [], (k * 401) % (len(prose) // 2)
+        while sum(map(len, rows)) + len(rows) < chars:
+            rows.append(prose[(at + len(rows)) % len(prose)])
+        for i, t in enumerate(within):
+            rows.insert((k * 37 + (i + 1) * len(rows) // (len(within) + 1)) % len(rows), t + ".")
+        return " ".join(rows)
+
+    texts, want = [], []
+    for k in range(4):
+        for chars in (400, 3000, 20_000):
+            for f, t in notices.items():
+                texts.append(line(len(texts), chars, t))
+                want.append([f])
+    for a, b in [("mit", "reserved"), ("gpl", "apache"), ("cc-by-nc", "mit")]:
+        texts += [line(5, 20_000, notices[a], notices[b]), f"{notices[a]}. {notices[b]}.", line(7, 500, f"{notices[a]}. {notices[b]}")]
+        want += [sorted([a, b])] * 3
+    plain = [line(k, 20_000) for k in range(5)]
+    rows = [(10**6 + i, t) for i, t in enumerate([*texts, *plain])]
+    got = by_id(licenses.scan(docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))))
+    got = [got[10**6 + i] for i in range(len(rows))]
+    missed = [(i, w, g["families"]) for i, (w, g) in enumerate(zip(want, got, strict=False)) if g["families"].split(",") != w]
+    assert not missed
+    assert all(g["n_paragraphs"] == 1 and g["n_licences"] == len(w) for w, g in zip(want, got, strict=False))
+    assert not any(g["n_licences"] for g in got[len(texts) :])
+
+
+def test_runs_have_every_template_whole():
+    longest = max(len(re.findall("[a-z0-9]+", t.lower())) for f in licenses.TEMPLATES.values() for t in f)
+    assert licenses.OVERLAP >= longest + 2 * licenses.EDGE
+
+
 def test_licences_without_documents(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
