@@ -184,6 +184,22 @@ def test_near_duplicates(spark, monkeypatch, long_list, block):
     assert got == near_brute(list(enumerate(texts)), 3, 85)
 
 
+def test_near_duplicate_margin_follows_the_threshold():
+    rng = np.random.default_rng(4)
+    values = rng.permutation(np.unique(rng.integers(0, 2**63, 40_000, dtype=np.uint64)))
+    cut = len(values) // 10
+    a, b = values[:-cut], values[cut:]  # about 0.8 in common
+    sketch = [[np.sort(x)[: neardup.SKETCH]] for x in (a, b)]
+    n = [np.array([len(x)]) for x in (a, b)]
+    for t in (0.8, 0.85):
+        for est, margin in (neardup._pairwise(*sketch, *n, t), neardup._estimates(*sketch, *n, t)):
+            union = np.unique(np.concatenate([s[0] for s in sketch]))
+            union = np.count_nonzero(union <= min(s[0][-1] for s in sketch))
+            total = (len(a) + len(b)) / (1 + t)
+            want = 5 * np.sqrt(t * (1 - t) / union * (1 - union / total)) + 1 / union
+            assert np.allclose(np.ravel(margin), want) and abs(np.ravel(est)[0] - 0.8) < want
+
+
 def test_near_duplicates_odd_rows(spark):
     assert neardup.near_duplicates(empty(spark)).count() == 0
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, None), (2, "A b c d e f")]

@@ -104,8 +104,8 @@ def _lists(reps: DataFrame, t: float) -> DataFrame:
     return stored(kept.join(sizes, "value"), "lists")
 
 
-def _pairwise(a: list[np.ndarray], b: list[np.ndarray], na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each pair of sketches, the estimated similarity and the margin of the estimate (0 where it is exact)."""
+def _pairwise(a: list[np.ndarray], b: list[np.ndarray], na: np.ndarray, nb: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of sketches, the estimated similarity and the margin of an estimate at threshold t (0 where it is exact)."""
     est, margin = np.zeros(len(a)), np.zeros(len(a))
     for i, (x, y) in enumerate(zip(a, b, strict=True)):
         whole = na[i] <= SKETCH and nb[i] <= SKETCH
@@ -118,14 +118,14 @@ def _pairwise(a: list[np.ndarray], b: list[np.ndarray], na: np.ndarray, nb: np.n
         union = len(x) + len(y) - common
         est[i] = common / union
         if not whole:
-            total = max(union, (na[i] + nb[i]) / 1.85)
-            margin[i] = 5 * math.sqrt(0.1275 / union * (1 - union / total)) + 1 / union
+            total = max(union, (na[i] + nb[i]) / (1 + t))
+            margin[i] = 5 * math.sqrt(t * (1 - t) / union * (1 - union / total)) + 1 / union
     return est, margin
 
 
 def _judge(a, b, na, nb, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs linked for sure, and pairs to be verified."""
-    est, margin = _pairwise(a, b, na, nb)
+    est, margin = _pairwise(a, b, na, nb, percent / 100)
     exact = margin == 0
     return exact & (est >= percent / 100 - 1e-12), ~exact & (est + margin >= percent / 100)
 
@@ -187,7 +187,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _estimates(left, right, nl: np.ndarray, nr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _estimates(left, right, nl: np.ndarray, nr: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
     """`_pairwise` of every left with every right sketch. Values that two sketches share lie below both their bounds."""
     common = _overlaps(left, right).astype(float)
     last = np.uint64(2**64 - 1)
@@ -199,8 +199,8 @@ def _estimates(left, right, nl: np.ndarray, nr: np.ndarray) -> tuple[np.ndarray,
     other = np.where(bl[:, None] < br[None, :], other, np.array([len(s) for s in right])[None, :])
     union = below + other - common
     est = common / union
-    total = np.maximum(union, np.add.outer(nl, nr) / 1.85)
-    margin = 5 * np.sqrt(0.1275 / union * (1 - union / total)) + 1 / union
+    total = np.maximum(union, np.add.outer(nl, nr) / (1 + t))
+    margin = 5 * np.sqrt(t * (1 - t) / union * (1 - union / total)) + 1 / union
     margin[np.ix_(nl <= SKETCH, nr <= SKETCH)] = 0
     return est, margin
 
@@ -249,7 +249,7 @@ def _long_pairs(lists: DataFrame, reps: DataFrame, percent: int, labels: DataFra
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         out = {"a": [], "b": [], "sure": [], "est": []}
         if len(left) and len(right):
-            est, margin = _estimates([sk[k] for k in left], [sk[k] for k in right], n[left], n[right])
+            est, margin = _estimates([sk[k] for k in left], [sk[k] for k in right], n[left], n[right], percent / 100)
             exact = margin == 0
             hit = np.where(exact, est >= percent / 100 - 1e-12, est + margin >= percent / 100)
             hit &= label[left][:, None] != label[right][None, :]
