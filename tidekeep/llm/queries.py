@@ -174,3 +174,89 @@ def op6(spark, sf_dir):
     from .licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+PHRASE_SQL = """
+WITH pieces AS (
+    SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+runs AS (SELECT lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+words AS (SELECT lang, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i, w FROM runs),
+one AS (SELECT lang, x, count(*) AS f FROM words GROUP BY ALL),
+two AS (SELECT lang, x, w[i + 1] AS y, count(*) AS f FROM words WHERE len(w) > i GROUP BY ALL),
+three AS (SELECT lang, x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM words WHERE len(w) > i + 1 GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang),
+cut AS (
+    SELECT t.lang, [t.x, t.y] AS g, t.f AS a, p.f AS l, q.f AS r, 1 AS cut FROM two t JOIN one p ON p.lang = t.lang AND p.x = t.x
+    JOIN one q ON q.lang = t.lang AND q.x = t.y WHERE t.f >= 10
+    UNION ALL SELECT t.lang, [t.x, t.y, t.z], t.f, p.f, q.f, 1 FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.x
+    JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+    UNION ALL SELECT t.lang, [t.x, t.y, t.z], t.f, p.f, q.f, 2 FROM three t JOIN two p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y
+    JOIN one q ON q.lang = t.lang AND q.x = t.z),
+cuts AS (SELECT *, len(g) AS k, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cut),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+around AS (
+    SELECT lang, g, max(a) AS longer FROM (
+        SELECT lang, g[1:2] AS g, a FROM worst WHERE k = 3 UNION ALL SELECT lang, g[2:3], a FROM worst WHERE k = 3) GROUP BY ALL),
+kept AS (
+    SELECT w.lang, array_to_string(w.g, ' ') AS phrase, a, l, r, score FROM worst w LEFT JOIN around o
+    ON o.lang = w.lang AND o.g = w.g WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", PHRASE_SQL)
+def op11(spark, sf_dir):
+    from .phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+AUDIT_SQL = """
+WITH own AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low,
+        list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+    SELECT part, (CASE WHEN len(w) < 100 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END)
+        + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 4 ELSE 0 END)
+        + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN doc_id > low THEN 16 ELSE 0 END) AS mask,
+        coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM own LEFT JOIN marks USING (doc_id)),
+counted AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+    SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+sums AS (
+    SELECT part, filter_order, step, own,
+        sum(CASE WHEN mask & before = 0 AND mask & own = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & before <> 0 AND mask & own <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & before = 0 AND mask & own <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM counted, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM sums
+"""
+
+
+@query("op12_filter_interaction_audit", AUDIT_SQL)
+def op12(spark, sf_dir):
+    from .interaction import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_best_fit_packing")
+def op13(spark, sf_dir):
+    from .packing import digests
+
+    return digests(table(spark, sf_dir, "documents"))
