@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 
+# Moves that run at the same time; each is one metadata call.
+MOVERS = 16
+
+
+@dataclass(frozen=True)
+class DataFile:
+    """A data file of a table. folder: its partition folders as they are spelled on disk, "" for none."""
+
+    folder: str
+    name: str
+    bytes: int
+    changed: int
+
+    @property
+    def place(self) -> str:
+        return f"{self.folder}/{self.name}" if self.folder else self.name
+
+
+def plain_uri(uri: str) -> str:
+    """One spelling for `file:/x` and `file:///x`."""
+    return re.sub(r"^file:/+", "file:///", uri)
+
+
 class FileTree:
     """Renames and listings through Hadoop's file system; driver-side metadata only."""
 
@@ -59,10 +86,63 @@ class FileTree:
         found = fs.listStatus(target) if fs.exists(target) else []
         return [s.getLen() for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
 
+    def data_files(self, path: str) -> list[DataFile]:
+        """All data files of a table, the partition folders below it included, without hidden ones."""
+        fs, root = self._at(path)
+        found: list[DataFile] = []
+
+        def walk(folder, place: str) -> None:
+            for s in fs.listStatus(folder):
+                name = s.getPath().getName()
+                if name.startswith((".", "_")) and "=" not in name:
+                    continue
+                if s.isFile():
+                    found.append(DataFile(place, name, s.getLen(), s.getModificationTime()))
+                else:
+                    walk(s.getPath(), f"{place}/{name}" if place else name)
 
-# Marks in the names of folders beside a table that is being written.
-STAGED, REPLACED, FINISHED, WHOLE, ADDED = ".staged-", ".replaced-", ".finished-", "whole", "added"
-_SLASH = "%2F"
+        if fs.exists(root):
+            walk(root, "")
+        return found
+
+    def uri(self, path: str) -> str:
+        """The path with its scheme, escaped as addresses are: what Spark calls a file in `_metadata`."""
+        fs, target = self._at(path)
+        return plain_uri(fs.makeQualified(target).toUri().toString())
+
+    def write_text(self, path: str, text: str) -> None:
+        """A small file, complete when it is there: written under another name first."""
+        fs, target = self._at(path)
+        _, part = self._at(f"{path}.part")
+        out = fs.create(part, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not fs.rename(part, target):
+            raise OSError(f"could not write {path}")
+
+    def read_text(self, path: str) -> str:
+        fs, target = self._at(path)
+        source = fs.open(target)
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+
+    def in_parallel(self, act: Callable[..., None], calls: Sequence[tuple]) -> None:
+        """Calls that do not depend on each other, at most MOVERS at a time; all are tried, the first error is raised."""
+        if len(calls) < 2:
+            for call in calls:
+                act(*call)
+            return
+        with ThreadPoolExecutor(MOVERS) as pool:
+            done = [pool.submit(act, *call) for call in calls]
+        for call in done:
+            call.result()
+
+
+# Marks in the names of folders beside a table that is being written, and of what is inside them.
+STAGED, REPLACED, FINISHED, WHOLE = ".staged-", ".replaced-", ".finished-", "whole"
+PLAN, OLD, UNDONE = "plan-", "old", "undone"
 
 
 def staging_path(table: str) -> str:
@@ -82,35 +162,30 @@ def staging(tree: FileTree, table: str) -> Iterator[str]:
 def recover(tree: FileTree, table: str) -> None:
     """Undo, as a whole, what a run left behind that died while writing; drop what a finished one left.
 
-    Until a swap is finished its folder holds the old data and the names of what was added, so all of it is taken back.
+    Until a switch is finished its folder holds the old data and the plan of what moves where, so all of it is taken back. Dying
+    in here is harmless: the next call goes on.
     """
     parent, _, name = table.rstrip("/").rpartition("/")
-    for entry in tree.names(parent):
-        folder = f"{parent}/{entry}"
+    entries = tree.names(parent)
+    for entry in entries:
         if entry.startswith(f"{name}{REPLACED}"):
-            for added in tree.names(f"{folder}/{ADDED}"):
-                tree.remove(table if added == WHOLE else f"{table}/{added.replace(_SLASH, '/')}")
-            for kept in tree.names(folder):
-                if kept != ADDED:
-                    live = table if kept == WHOLE else f"{table}/{kept}"
-                    tree.remove(live)
-                    tree.move(f"{folder}/{kept}", live)
-            tree.remove(folder)
-        elif entry.startswith((f"{name}{STAGED}", f"{name}{FINISHED}")):
-            tree.remove(folder)
+            Swap(tree, table, f"{parent}/{entry}").undo()
+    for entry in entries:
+        if entry.startswith((f"{name}{STAGED}", f"{name}{FINISHED}")):
+            tree.remove(f"{parent}/{entry}")
 
 
 class Swap:
     """Moves new data into place and keeps the old aside until all of it has moved.
 
-    Leaving the block normally drops the old data; leaving it by an error puts it back. If the driver
-    itself dies, `recover` does so on the next run.
+    What is to move is written down before the first move, so moves of one switch run side by side. Leaving the block normally
+    drops the old data; leaving it by an error puts it back. If the driver itself dies, `recover` does so on the next run.
     """
 
-    def __init__(self, tree: FileTree, table: str):
+    def __init__(self, tree: FileTree, table: str, aside: str | None = None):
         self.tree, self.table = tree, table.rstrip("/")
-        self.aside = f"{self.table}{REPLACED}{uuid.uuid4().hex}"
-        self.done: list[tuple[str, str]] = []
+        self.aside = aside or f"{self.table}{REPLACED}{uuid.uuid4().hex}"
+        self.steps = 0
 
     def __enter__(self) -> Swap:
         return self
@@ -118,26 +193,56 @@ class Swap:
     def _name(self, path: str) -> str:
         return path.rstrip("/")[len(self.table) + 1 :] or WHOLE
 
+    def _live(self, name: str) -> str:
+        return self.table if name == WHOLE else f"{self.table}/{name}"
+
     def take_out(self, path: str) -> None:
-        if self.tree.exists(path):
-            kept = f"{self.aside}/{self._name(path)}"
-            self.tree.move(path, kept)
-            self.done.append((path, kept))
+        self.switch([path], [])
 
     def put_in(self, staged: str, path: str) -> None:
-        if not any(kept and p == path for p, kept in self.done):
-            self.tree.make(f"{self.aside}/{ADDED}/{self._name(path).replace('/', _SLASH)}")
-        self.tree.move(staged, path)
-        self.done.append((path, ""))
+        self.switch([], [(staged, path)])
+
+    def switch(self, out: Iterable[str], into: Sequence[tuple[str, str]]) -> None:
+        """Folders or files that go, where they are there, and (staged, live) ones that come. First all go, then all come."""
+        missing = [staged for staged, _ in into if not self.tree.exists(staged)]
+        if missing:
+            raise FileNotFoundError(missing[0])
+        out = [path for path in out if self.tree.exists(path)]
+        if not out and not into:
+            return
+        step, self.steps = self.steps, self.steps + 1
+        plan = {"out": [self._name(p) for p in out], "in": [[staged, self._name(p)] for staged, p in into]}
+        self.tree.make(self.aside)
+        self.tree.write_text(f"{self.aside}/{PLAN}{step:06d}", json.dumps(plan))
+        self.tree.in_parallel(self.tree.move, [(p, f"{self.aside}/{OLD}/{step}-{i}") for i, p in enumerate(out)])
+        self.tree.in_parallel(self.tree.move, list(into))
+
+    def undo(self) -> None:
+        """Everything back where it was, the last step first; what came is set aside before what went returns."""
+
+        def withdraw(staged: str, name: str, kept: str) -> None:
+            live = self._live(name)
+            if not self.tree.exists(staged) and not self.tree.exists(kept) and self.tree.exists(live):
+                self.tree.move(live, kept)
+
+        def bring_back(name: str, old: str) -> None:
+            live = self._live(name)
+            if self.tree.exists(old):
+                self.tree.remove(live)
+                self.tree.move(old, live)
+
+        plans = sorted((n for n in self.tree.names(self.aside) if n.startswith(PLAN) and n[len(PLAN) :].isdigit()), reverse=True)
+        for entry in plans:
+            step = int(entry[len(PLAN) :])
+            plan = json.loads(self.tree.read_text(f"{self.aside}/{entry}"))
+            come = [(staged, name, f"{self.aside}/{UNDONE}/{step}-{i}") for i, (staged, name) in enumerate(plan["in"])]
+            self.tree.in_parallel(withdraw, come)
+            self.tree.in_parallel(bring_back, [(n, f"{self.aside}/{OLD}/{step}-{i}") for i, n in enumerate(plan["out"])])
+        self.tree.remove(self.aside)
 
     def __exit__(self, kind, error, trace) -> None:
         if kind is not None:
-            for path, kept in reversed(self.done):
-                if kept:
-                    self.tree.move(kept, path)
-                else:
-                    self.tree.remove(path)
-            self.tree.remove(self.aside)
+            self.undo()
         elif self.tree.exists(self.aside):
             # One rename says that the swap is finished; from here on nothing is taken back.
             finished = self.aside.replace(f"{self.table}{REPLACED}", f"{self.table}{FINISHED}")

@@ -235,7 +235,7 @@ def k8(spark, sf_dir):
     sink.write_full(union_all(earlier, renewed), status)
     as_of = datetime(2000, 7, 12, 4, 30)
     schema = export.export_snapshot(rows, cfg, as_of).schema
-    export.export(rows, cfg, as_of, lambda df: sink.export_rows(df, target, 5), status)
+    export.export(rows, cfg, as_of, lambda df: sink.export_rows(df, target), status)
     sent = read_landing(spark, target, schema)
     totals = sent.agg(F.count(F.lit(1)).alias("exported"), F.sum("order_key").alias("key_sum"))
     totals = totals.withColumn("task_name", F.lit("orders"))
@@ -319,19 +319,41 @@ def k12(spark, sf_dir):
 
 @query(
     "k13_replicate",
-    f"""SELECT * FROM ({EVENT_DAYS}) WHERE partition_date = 20240110 OR partition_date IN (20240111, 20240112)
-        AND ts > TIMESTAMP '2024-01-11 02:00:00' AND ts < TIMESTAMP '2024-01-12 22:00:00'""",
+    f"""SELECT event_id, event_type, ts, CASE WHEN partition_date IN (20240111, 20240112) AND ts > TIMESTAMP '2024-01-11 02:00:00'
+            AND ts < TIMESTAMP '2024-01-12 22:00:00' THEN value + 1000 ELSE value END AS value, partition_date
+        FROM ({EVENT_DAYS}) WHERE partition_date IN (20240110, 20240111)
+            OR partition_date = 20240112 AND ts < TIMESTAMP '2024-01-12 22:00:00'""",
 )
 def k13(spark, sf_dir):
-    source, target = scratch_path(spark, "origin"), scratch_path(spark, "mirror")
-    sink.append_partitions(_events_by_day(spark, sf_dir), source)
+    """Two days mirrored, then a corrected source replicated between two times: the rest of those days stays."""
+    source, corrected, target = (scratch_path(spark, n) for n in ("origin", "corrected", "mirror"))
+    rows = _events_by_day(spark, sf_dir)
+    sink.append_partitions(rows, source)
+    sink.append_partitions(rows.withColumn("value", F.col("value") + 1000), corrected)
     sink.replicate_partitions(spark, source, target, [20240110, 20240111])
     sink.replicate_partitions(
-        spark, source, target, [20240111, 20240112], "ts", datetime(2024, 1, 11, 2), datetime(2024, 1, 12, 22)
+        spark, corrected, target, [20240111, 20240112], "ts", datetime(2024, 1, 11, 2), datetime(2024, 1, 12, 22)
     )
     return read_table(spark, target)
 
 
+@query(
+    "k13_mirror",
+    f"""SELECT event_id, event_type, ts, CASE WHEN partition_date = 20240105 THEN value + 1000 ELSE value END AS value,
+        partition_date FROM ({EVENT_DAYS}) WHERE partition_date <> 20240107""",
+)
+def k13_mirror(spark, sf_dir):
+    """A mirror made again after one day of the source was corrected and another dropped."""
+    source, target = scratch_path(spark, "live"), scratch_path(spark, "mirrored")
+    rows = _events_by_day(spark, sf_dir)
+    sink.append_partitions(rows, source)
+    sink.replicate_partitions(spark, source, target)
+    day = F.col("partition_date") == 20240105
+    sink.replace_partitions(rows.where(day).withColumn("value", F.col("value") + 1000), source, [20240105, 20240107])
+    sink.replicate_partitions(spark, source, target)
+    return read_table(spark, target)
+
+
 @query(
     "k14_run_sql_task",
     """SELECT event_type, count(*) AS events, '2024-01-08 00:00:00' AS since, 1705276800000 AS until_millis FROM events

@@ -283,7 +283,7 @@ def w7(spark, sf_dir):
 def w8(spark, sf_dir):
     path = scratch_path(spark, "export")
     customers = table(spark, sf_dir, "customer")
-    sink.export_rows(customers, path, 5)
+    sink.export_rows(customers, path)
     sink.export_rows(customers.where("c_acctbal > 0"), path, 5)
     return scans.read_landing(spark, path, customers.schema)
 
@@ -383,6 +383,23 @@ def w15(spark, sf_dir):
     return scans.read_table(spark, path)
 
 
+@query(
+    "w15_compact_text_partitions",
+    """SELECT event_id, event_type, value, CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN 'a:b' WHEN 'error' THEN '02'
+        WHEN 'signup' THEN '01' ELSE 'x y/%' END AS part FROM events""",
+)
+def w15_text(spark, sf_dir):
+    """Partition values that read as numbers, need escaping, or are absent: each folder becomes one file without losing a row."""
+    kind = F.col("event_type")
+    part = F.when(kind == "view", None).when(kind == "click", "a:b").when(kind == "error", "02").when(kind == "signup", "01")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value", part.otherwise("x y/%").alias("part"))
+    path = scratch_path(spark, "text_parts")
+    for k in range(3):
+        sink.append_partitions(rows.where(F.col("event_id") % 3 == k), path, "part")
+    sink.compact(spark, path)
+    return scans.read_table(spark, path, schema=rows.schema)
+
+
 @query(
     "w16_retain_latest",
     """SELECT event_id, user_id, event_type, ts FROM (SELECT *, row_number() OVER (
