@@ -26,7 +26,7 @@ from .windows import windows
 LEAST, TOP, COVER, SCALE = 10, 2000, 50, 1_000_000
 # Signs that end a piece, and what parts words inside one.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
-WINDOW = 4 << 20
+WINDOW = 1 << 20
 KEYS_PER_BLOCK, MOST_BLOCKS = 1 << 16, 64
 # The first wave asks for this many times `top` of the best-scored pairs, each later one for so many times more.
 FIRST, MORE = 2, 8
