@@ -87,7 +87,7 @@ def test_matching_rows_equal_the_joined_rows(spark):
 
 def test_sequential_ids_are_dense_and_ordered(spark):
     data = [(g, n) for g in "cab" for n in range(g.encode()[0] - 94)]
-    out = a.sequential_ids(spark.createDataFrame(data, "g string, n int").repartition(6), "g", ["n"])
+    out = a.sequential_ids(spark.createDataFrame(data, "g string, n int").repartition(6), ["g", "n"])
     assert rows(out, "id", "g", "n") == sorted(((i + 1, g, n) for i, (g, n) in enumerate(sorted(data))), key=repr)
 
 
@@ -175,3 +175,96 @@ def test_parameters_are_values_not_text(spark):
     sqltask.register_function(spark, "shout", "w STRING", "STRING", "upper(w)")
     assert spark.sql("SELECT shout('a') AS s").first().s == "A"
     assert spark.sql("SELECT :v AS v", args={"v": "x'; drop table t; --"}).first().v == "x'; drop table t; --"
+
+
+def test_numbering_spreads_a_crowded_group(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    n = 40_000
+    df = spark.range(0, n, 1, 16).select(F.when(F.col("id") % 5 == 0, F.col("id")).otherwise(-1).alias("g"), F.lit("x").alias("same"))
+    out = a.sequential_ids(df, ["g"])
+    found = out.agg(F.count("*"), F.min("id"), F.max("id"), F.count_distinct("id")).first()
+    assert tuple(found) == (n, 1, n, n)
+    order = out.groupBy("g").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
+    assert order.where("hi - lo + 1 <> n").isEmpty(), "rows of a group are numbered in a row"
+    ordered = [r[0] for r in order.orderBy("lo").select("g").collect()]
+    assert ordered == sorted(ordered)
+    crowded = out.where("g = -1").select(F.input_file_name()).distinct().count()
+    assert crowded > 2, "no task sorts and numbers the crowded group alone"
+    assert a.sequential_ids(df.where("g < -1"), ["g"]).isEmpty()
+
+
+def test_many_registered_tables_run_in_bounded_plans(spark):
+    path = scratch_path(spark, "many_checks")
+    rows_of = [spark.createDataFrame([(i, 20240101)] * (1 + i % 2), "k int, partition_date int") for i in range(200)]
+    checks = [verify.CheckedTable("g", f"t{i}", df, ("k",), enabled=i != 1) for i, df in enumerate(rows_of)]
+    sizes, whole = [], verify.union_all
+
+    def watched(*parts):
+        sizes.append(len(parts))
+        return whole(*parts)
+
+    verify.union_all = watched
+    try:
+        assert verify.run_duplicate_checks(checks, datetime(2024, 2, 1), path) == 13
+    finally:
+        verify.union_all = whole
+    assert max(sizes) <= verify.TABLES_PER_PLAN
+    found = verify.read_check_results(spark, path)
+    assert sorted(r["table_name"] for r in found.collect()) == sorted(f"t{i}" for i in range(3, 200, 2))
+    assert verify.run_duplicate_checks(checks[:4], datetime(2024, 2, 1), path) == 1
+    assert rows(verify.read_check_results(spark, path), "table_name", "occurrences", "check_day") == [("t3", 2, 20240201)]
+
+
+def test_checks_of_one_table_share_its_scan(spark):
+    path = scratch_path(spark, "scanned")
+    data = [(1, "a", None, 20240101), (1, "b", None, 20240101), (2, "b", 5, 20240101), (1, "a", 5, 20230101)]
+    append_partitions(spark.createDataFrame(data, "x int, y string, z int, partition_date int"), path)
+    df = read_table(spark, path)
+    checks = [verify.CheckedTable("g", "t", df, keys) for keys in (("x",), ("y",), ("z",), ("x", "y"))]
+    out = verify.verify_duplicates(checks, datetime(2024, 6, 1))
+    assert rows(out, "primary_key", "primary_value", "occurrences") == [("x", "[x=1]", 2), ("y", "[y=b]", 2)]
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_counts_in_batches(spark):
+    path, day = scratch_path(spark, "count_checks"), datetime(2024, 1, 10)
+    two = spark.createDataFrame([(day,), (day,)], "at timestamp_ntz")
+    one = two.limit(1)
+    tasks = [verify.CountedTask(TaskConfig("g", f"t{i}"), two, one if i == 2 else two, "at") for i in range(5)]
+    assert verify.run_count_checks(tasks, day, day + timedelta(days=1), path, per_plan=2) == 3
+    assert rows(verify.read_check_results(spark, path, verify.COUNT_SCHEMA)) == [("g", "t2", 2, 1, 20240110)]
+
+
+def test_the_registry_names_what_is_enabled(spark):
+    kind = "id int, table_name string, group_name string, is_disable int"
+    registry = spark.createDataFrame([(1, "a", "g", 0), (2, "b", "g", 1), (3, "c", "g", None)], kind)
+    assert verify.enabled_names(registry) == {("g", "a")}
+
+
+def test_export_puts_a_status_table_back_that_a_dead_run_left_aside(spark):
+    from tidekeep.plans import export
+    from tidekeep.sinks.files import FileTree, Swap
+
+    path, sent = scratch_path(spark, "status"), []
+    cfg = TaskConfig("g", "t", select_columns=("v",), full_load=True)
+    write_full(export.task_status(spark, TaskConfig("g", "other"), "FINISHED", datetime(2024, 1, 1)), path)
+    Swap(FileTree(spark), path).take_out(path)
+    df = spark.createDataFrame([(1, "x")], "v int, ods_update_time string")
+    export.export(df, cfg, datetime(2024, 1, 2), lambda d: sent.extend(d.collect()), path)
+    assert rows(read_table(spark, path), "task_name", "status") == [("other", "FINISHED"), ("t", "FINISHED")]
+    assert [tuple(r) for r in sent] == [(1,)]
+
+
+def test_repair_of_a_partitioned_report(spark):
+    log = [(1, "orders", "2", datetime(2024, 1, 5), 0, 20240105)]
+    kind = "seq_no int, table_name string, id_column_value string, yw_update_time timestamp_ntz, process_status int, partition_date int"
+    warehouse, report, logged = (scratch_path(spark, n) for n in ("w", "r", "l"))
+    table = spark.createDataFrame([(1, 202401), (2, 202401), (2, 202402), (3, 202403)], "k int, partition_date int")
+    for path in (warehouse, report):
+        append_partitions(table, path)
+    append_partitions(spark.createDataFrame(log, kind), logged)
+    assert repair.delete_repair_run(spark, warehouse, report, logged, "k", "orders")
+    for path in (warehouse, report):
+        assert rows(read_table(spark, path)) == [(1, 202401), (3, 202403)]
+    assert rows(read_table(spark, logged), "process_status") == [(1,)]
+    assert not repair.delete_repair_run(spark, warehouse, report, logged, "k", "orders")

@@ -211,3 +211,119 @@ def test_jdbc_sliced_reader_uses_one_predicate_per_reader():
         "at >= '2024-01-01 00:00:00' AND at < '2024-01-01 00:00:00.750000'",
         "at >= '2024-01-01 00:00:00.750000' AND at <= '2024-01-01 00:00:01.500000'",
     ]
+
+
+def test_jdbc_literals_follow_type_and_database():
+    moment = datetime(2024, 1, 1, 2)
+    assert jdbc.literal(moment, "oracle") == "TO_TIMESTAMP('2024-01-01 02:00:00.000000', 'YYYY-MM-DD HH24:MI:SS.FF6')"
+    assert jdbc.literal(moment, "db2") == "TIMESTAMP('2024-01-01 02:00:00')"
+    assert jdbc.literal(moment.date(), "oracle") == "TO_DATE('2024-01-01', 'YYYY-MM-DD')"
+    assert jdbc.literal(7, "oracle") == "7" and jdbc.literal("o'x") == "'o''x'"
+    assert jdbc.dialect_of("jdbc:oracle:thin:@h") == "oracle" and jdbc.dialect_of("jdbc:unheard:x") == "mysql"
+
+
+@pytest.mark.parametrize(
+    ("lo", "hi", "n", "kind", "cuts"),
+    [
+        ("20240101", "20240109", 4, "str", ["20240101", "20240103", "20240105", "20240107", "20240109"]),
+        ("20240130", "20240201", 2, "str", ["20240130", "20240131", "20240201"]),
+        ("20240101", "20240102", 5, "str", ["20240101", "20240102"]),
+        (0, 10, 3, "timestamp", [0, 3, 6, 10]),
+        (5, 6, 9, "timestamp", [5, 6]),
+    ],
+)
+def test_slices_of_texts_and_numbers(lo, hi, n, kind, cuts):
+    assert jdbc.slice_bounds(lo, hi, n, kind) == cuts
+    held = [eval(p.replace("c ", "v ").replace("AND", "and")) for v in cuts for p in jdbc.slice_predicates("c", cuts)]
+    assert sum(held) == len(cuts), "every boundary is read once"
+
+
+class Database:
+    """Stands in for a session whose JDBC reader finds frames by name, and notes the predicates it was given."""
+
+    def __init__(self, tables):
+        self.tables, self.calls = tables, []
+
+    @property
+    def read(self):
+        return self
+
+    def jdbc(self, url, table, properties=None, predicates=None):
+        self.calls.append((table, predicates))
+        df = self.tables[table]
+        if predicates is None:
+            return df
+        parts = [df.where(p) for p in predicates]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.union(part)
+        return out
+
+
+def test_a_window_of_text_time_is_read_in_slices(spark):
+    df = spark.createDataFrame([(i, f"2024010{1 + i % 2}") for i in range(10)], "v int, day string")
+    base = Database({"t": df})
+    cfg = TaskConfig(select_columns=("v",), sync_time_column="day", time_type="str", filters=("v < 9",))
+    out = jdbc.extract_jdbc_sliced(base, "jdbc:oracle:x", "t", cfg, datetime(2024, 1, 1), datetime(2024, 1, 2), 4)
+    assert sorted(r[0] for r in out.collect()) == [0, 2, 4, 6, 8]
+    two = TaskConfig(select_columns=("v",), sync_time_column="day", time_type="str")
+    out = jdbc.extract_jdbc_sliced(base, "jdbc:oracle:x", "t", two, datetime(2024, 1, 1), datetime(2024, 1, 2), 4, split_column="v")
+    assert sorted(r[0] for r in out.collect()) == [0, 2, 4, 6, 8]
+    assert base.calls[-1] == ("t", ["v >= 0 AND v < 2", "v >= 2 AND v < 4", "v >= 4 AND v < 6", "v >= 6 AND v <= 8"])
+
+
+def test_a_window_with_history_is_read_by_one_reader(spark):
+    kind = "v int, at timestamp_ntz"
+    day = datetime(2024, 1, 1)
+    live = spark.createDataFrame([(1, day), (2, day + timedelta(hours=3))], kind)
+    moved = spark.createDataFrame([(3, day + timedelta(hours=1))], kind)
+    cfg = TaskConfig(select_columns=("v",), sync_time_column="at")
+    for flagged, expected, sliced in (((), [1, 2], True), ((20240101,), [1, 2, 3], False)):
+        base = Database({"t": live, "t_his": moved})
+        out = jdbc.extract_jdbc_sliced(
+            base, "jdbc:mysql:x", "t", cfg, day, day + timedelta(days=1), 2, history_table="t_his", flagged_days=flagged
+        )
+        assert sorted(r[0] for r in out.collect()) == expected
+        assert any(p for _, p in base.calls) == sliced
+    split = extract.extract_partitioned(live, cfg, day, day + timedelta(days=1), 2)
+    assert sorted(map(tuple, split.collect())) == [(1, 0), (2, 1)]
+    whole = extract.extract_partitioned(live, cfg, day, day + timedelta(days=1), 2, moved, [20240101])
+    assert sorted(map(tuple, whole.collect())) == [(1, 0), (2, 0), (3, 0)]
+
+
+def test_the_writer_limits_connections_and_not_the_tasks_before_it():
+    class Frame:
+        def __init__(self):
+            self.calls = []
+
+        @property
+        def write(self):
+            return self
+
+        def __getattr__(self, name):
+            def call(*args, **named):
+                self.calls.append((name, *args))
+                return self
+
+            return call
+
+    df = Frame()
+    jdbc.write_jdbc(df, "jdbc:x", "t", 5, column_types="v int")
+    assert [c for c in df.calls if c[0] != "jdbc"] == [
+        ("hint", "rebalance"), ("mode", "overwrite"), ("option", "truncate", "true"), ("option", "numPartitions", "5"),
+        ("option", "createTableColumnTypes", "v int"),
+    ]
+    assert not any(c[0] in ("repartition", "coalesce") for c in df.calls)
+
+
+def test_task_suffixes_are_a_setting(spark):
+    df = spark.createDataFrame([("r", "orders", 1), ("r", "orders_thl", 2)], "db_name string, table_name string, v int")
+    assert [r["v"] for r in project.route(df, "r", "orders-log", ("-log",)).collect()] == [1]
+    assert [r["v"] for r in project.route(df, "r", "orders_thl", ()).collect()] == [2]
+    assert _one(spark, project.table_of_task(F.lit("a-log"), ("-log", "-x"))) == "a"
+
+
+def test_number_types_that_spark_cannot_declare():
+    assert types.warehouse_type("number(5,-2)", "oracle") == "decimal(7,0)"
+    assert types.warehouse_type("number(2,5)", "oracle") == "decimal(5,5)"
+    assert types.warehouse_type("number(9,2)", "oracle") == "decimal(9,2)"

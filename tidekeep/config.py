@@ -59,6 +59,8 @@ class TaskConfig:
     lookback_months: int = LOOKBACK_MONTHS
     export_days: int = EXPORT_DAYS
     type_overrides: Mapping[str, str] = field(default_factory=dict)
+    # What the trigger of a change-log task ends with; None means the usual ones.
+    log_suffixes: tuple[str, ...] | None = None
 
 
 def shift_months(when: datetime, months: int) -> datetime:

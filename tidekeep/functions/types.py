@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -105,9 +106,18 @@ def _by_rule(rules: tuple[tuple[str, str], ...], source_type: str) -> str:
     raise ValueError(f"no rule for source type {source_type!r}")
 
 
+def _spelled(name: str) -> str:
+    """A decimal as Spark declares it: digits rounded before the point become whole ones, a scale beyond the digits widens."""
+    found = re.fullmatch(r"decimal\(\s*(\d+)\s*,\s*(-?\d+)\s*\)", name)
+    if not found:
+        return name
+    digits, scale = int(found[1]), int(found[2])
+    return f"decimal({min(max(digits - min(scale, 0), scale), 38)},{min(max(scale, 0), 38)})"
+
+
 def warehouse_type(source_type: str, database: str) -> str:
     name = _by_rule(WAREHOUSE_RULES[database], source_type)
-    return WIDE if name == "decimal" else name
+    return WIDE if name == "decimal" else _spelled(name)
 
 
 def report_type(source_type: str, database: str) -> str:
@@ -116,7 +126,7 @@ def report_type(source_type: str, database: str) -> str:
 
 def report_spark_type(source_type: str, database: str) -> str:
     name = report_type(source_type, database)
-    return REPORT_TO_SPARK.get(name, name.replace("numeric", "decimal"))
+    return REPORT_TO_SPARK.get(name, _spelled(name.replace("numeric", "decimal")))
 
 
 def cast_types(df: DataFrame, source_types: Mapping[str, str], database: str) -> DataFrame:

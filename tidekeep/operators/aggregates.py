@@ -20,9 +20,14 @@ from ..config import (
 )
 from ..functions.dates import age_seconds, time_literal
 from ..functions.text import key_label, threshold_text
+from ..session import scratch_path
 from .joins import enrich, latest_by_join
 
 
+# How the scheduler's names tell tasks apart, unless a caller says otherwise.
+CLEAN_TASKS, EXPORT_GROUPS, COMMON_GROUP, FINAL_GROUPS = "%cln", "%hive", "dc_common", "%_hive"
+
+
 def check_days(as_of: datetime, days: int, trace: int) -> tuple[datetime, datetime]:
     """First and last moment of the checked days, `trace` days back; days + 1 calendar days."""
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
@@ -134,14 +139,21 @@ def latest_failures(log: DataFrame, as_of: datetime) -> DataFrame:
     return newest.where("task_status = 'INTERRUPTED'").select("group_name", "scheduler_name").distinct()
 
 
-def run_summary(log: DataFrame, as_of: datetime) -> DataFrame:
-    """The day in one row: finished imports, cleans and exports, and tasks left interrupted."""
+def run_summary(
+    log: DataFrame,
+    as_of: datetime,
+    clean_like: str = CLEAN_TASKS,
+    export_like: str = EXPORT_GROUPS,
+    common_like: str = COMMON_GROUP,
+) -> DataFrame:
+    """The day in one row: finished imports, cleans and exports, and tasks left interrupted. The patterns tell them apart:
+    cleans by their scheduler, exports by their group, and a group whose runs count as none of the three."""
     group, scheduler = F.col("group_name"), F.col("scheduler_name")
     task = F.concat(scheduler, group)
-    cleaning, exporting = scheduler.like("%cln"), group.like("%hive")
+    cleaning, exporting = scheduler.like(clean_like), group.like(export_like)
     finished = _since_midnight(log, as_of).where("task_status = 'FINISHED'")
     done = finished.agg(
-        count_if_distinct(~exporting & ~group.like("dc_common") & ~cleaning, task).alias("import_success"),
+        count_if_distinct(~exporting & ~group.like(common_like) & ~cleaning, task).alias("import_success"),
         count_if_distinct(~exporting & cleaning, task).alias("remove_success"),
         count_if_distinct(exporting & ~cleaning, task).alias("export_success"),
     )
@@ -155,6 +167,14 @@ def max_seq(log: DataFrame) -> DataFrame:
     return log.where("dml_type = 0").agg(F.max("seq_no").alias("max_seq_no"))
 
 
+def newest_delete(log: DataFrame) -> DataFrame:
+    """The newest delete of a log, one row or none: its sequence number and its partition."""
+    place = F.col(PARTITION_COLUMN) if PARTITION_COLUMN in log.columns else F.lit(None).cast("int")
+    last = F.max(F.struct("seq_no", place.alias(PARTITION_COLUMN))).alias("last")
+    found = log.where("dml_type = 0 and seq_no is not null").agg(last).where("last is not null")
+    return found.select("last.seq_no", f"last.{PARTITION_COLUMN}")
+
+
 def pending_delete_ranges(log: DataFrame, time_column: str = "yw_update_time") -> DataFrame:
     """Time range of the unprocessed deletes of each table."""
     return (
@@ -164,25 +184,39 @@ def pending_delete_ranges(log: DataFrame, time_column: str = "yw_update_time") -
     )
 
 
-def sequential_ids(df: DataFrame, bucket: str, order: Sequence[str], name: str = "id") -> DataFrame:
-    """Number the rows 1..n by (bucket, order) without sorting them in one task.
+def sequential_ids(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
+    """Number the rows 1..n in the given order, however many share a value.
 
-    Rows are numbered inside their bucket; bucket sizes, one small row each, give the offsets.
+    Rows are dealt to tasks by ranges of the order and sorted there; rows that agree in it are told apart by their other columns,
+    and equal rows by chance, so a crowded value is spread over tasks as well. The sorted rows are kept in the shared folder,
+    since the numbers rest on where each row lies: a task's rows are numbered from the rows before it, one sum per task.
     """
-    local = df.withColumn(name, F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
-    sizes = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(bucket, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    joined = local.join(offsets, bucket)
-    return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__before")
-
-
-def final_status(log: DataFrame, targets: DataFrame, as_of: datetime) -> DataFrame:
+    spark = df.sparkSession
+    rest = [c for c in df.columns if c not in order]
+    keys = [*[F.col(c) for c in order], *([F.xxhash64(*rest)] if rest else []), F.rand(7)]
+    named = {f"__k{i}": k for i, k in enumerate(keys)}
+    ranged = df.withColumns(named).repartitionByRange(*named).sortWithinPartitions(*named).drop(*named)
+    # The upper bits of this number are the task's, the lower ones the row's place in it.
+    ranged = ranged.withColumn("__at", F.monotonically_increasing_id())
+    path = scratch_path(spark, "numbered")
+    ranged.write.parquet(path)
+    kept = spark.read.schema(ranged.schema).parquet(path)
+    kept = kept.withColumn("__task", F.shiftright("__at", 33))
+    sizes = kept.groupBy("__task").agg(F.count(F.lit(1)).alias("__n"))
+    # One row per task, so one window over all of them is small.
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = kept.join(offsets, "__task").withColumn(name, F.col("__before") + place + 1)
+    return numbered.select(*df.columns, name)
+
+
+def final_status(log: DataFrame, targets: DataFrame, as_of: datetime, group_like: str = FINAL_GROUPS) -> DataFrame:
     """Last finished export of each task today, with its target table and a running id."""
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
     done = (
         log.where(
-            F.col("group_name").like("%_hive")
+            F.col("group_name").like(group_like)
             & (F.col("task_status") == "FINISHED")
             & (F.col("create_time") > time_literal(log, "create_time", midnight))
             & (F.col("create_time") <= time_literal(log, "create_time", as_of))
@@ -191,7 +225,7 @@ def final_status(log: DataFrame, targets: DataFrame, as_of: datetime) -> DataFra
         .agg(F.max("sync_end_time").alias("sync_end_time"), F.max("create_time").alias("create_time"))
     )
     named = enrich(done, targets, ["scheduler_name", "group_name"])
-    return sequential_ids(named, "group_name", ["scheduler_name"]).select(
+    return sequential_ids(named, ["group_name", "scheduler_name"]).select(
         "id", "target_table", F.lit(1).alias("status"), "sync_end_time", "create_time",
         F.lit(time_text(as_of)).alias("refresh_time"),
     )

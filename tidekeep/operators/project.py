@@ -22,7 +22,7 @@ from ..config import (
 from ..functions.dates import audit_time, day_int_from_text, month_int, time_literal
 from ..functions.text import has_prefix, strip_suffix
 
-# The suffixes of a change-log task's name.
+# The usual suffixes of a change-log task's name; a task may have its own.
 LOG_SUFFIXES = ("_yg_thl", "_thl")
 
 # The aliases configured columns and filters are qualified by, per stage.
@@ -68,17 +68,17 @@ def cdc_window(df: DataFrame, time_column: str, begin: datetime, end: datetime)
     )
 
 
-def route(df: DataFrame, db: str, task: str) -> DataFrame:
-    """Log rows of one database and table; the task may carry a log suffix."""
+def route(df: DataFrame, db: str, task: str, suffixes: Sequence[str] = LOG_SUFFIXES) -> DataFrame:
+    """Log rows of one database and table; the task's name may carry a log suffix."""
     table = task
-    for suffix in LOG_SUFFIXES:
+    for suffix in sorted(suffixes, key=len, reverse=True):
         table = table.replace(suffix, "")
     return df.where((F.col("db_name") == db) & (F.col("table_name") == table))
 
 
-def table_of_task(c: Column) -> Column:
+def table_of_task(c: Column, suffixes: Sequence[str] = LOG_SUFFIXES) -> Column:
     """The table a log task's name stands for."""
-    return strip_suffix(c, LOG_SUFFIXES)
+    return strip_suffix(c, suffixes)
 
 
 def drop_sentinels(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..config import PARTITION_COLUMN, TaskConfig, day_of, end_day, shift_months
 from ..functions.dates import day_int
 from ..functions.text import strip_suffix
 from ..operators.joins import without
-from ..operators.project import CLEAN_ALIAS, apply_filters, cdc_window, project, route
+from ..operators.project import CLEAN_ALIAS, LOG_SUFFIXES, apply_filters, cdc_window, project, route
 from ..operators.setops import union_all, untouched
 from ..sinks.tables import overwrite_partitions
 
@@ -21,7 +21,8 @@ HISTORY_SUFFIX = "_his"
 def cdc_demux(log: DataFrame, cfg: TaskConfig, begin: datetime, end: datetime) -> DataFrame:
     """One table's rows of the shared log; the window does not apply to a full load."""
     rows = log if cfg.full_load else cdc_window(log, cfg.sync_time_column, begin, end)
-    rows = route(apply_filters(rows, cfg.filters, CLEAN_ALIAS), cfg.group, cfg.trigger)
+    suffixes = LOG_SUFFIXES if cfg.log_suffixes is None else cfg.log_suffixes
+    rows = route(apply_filters(rows, cfg.filters, CLEAN_ALIAS), cfg.group, cfg.trigger, suffixes)
     return project(rows, cfg.select_columns, CLEAN_ALIAS)
 
 

@@ -26,14 +26,25 @@ from ..config import (
     months_between,
     shift_months,
 )
-from ..operators.joins import anti_by_delta_and_log, delete_in, delta_minus_deletes, id_values, key_texts, log_range
-from ..operators.aggregates import max_seq
+from ..functions.text import composite_key
+from ..operators.aggregates import newest_delete
+from ..operators.joins import (
+    KEY_TEXT,
+    anti_by_delta_and_log,
+    delete_in,
+    delta_minus_deletes,
+    id_values,
+    key_texts,
+    log_range,
+    within,
+)
 from ..operators.project import CLEAN_ALIAS, apply_filters, drop_sentinels, in_lookback, project, with_audit, with_month
 from ..operators.ranking import latest_per_key
 from ..operators.setops import union_all
 from ..sinks.files import FileTree, recover
 from ..sinks.tables import replace_partitions, write_full
 from ..sources.scans import read_partitions, read_table
+from ..streaming.positions import POSITION_SCHEMA, Position, position_row, read_position, save_position
 
 
 def _shape(rows: DataFrame, cfg: TaskConfig, as_of: datetime | None) -> DataFrame:
@@ -150,6 +161,36 @@ class IncrementalClean:
     position: int
 
 
+@dataclass(frozen=True)
+class _Changes:
+    """One incremental window. keys: texts of the keys that go, as `__key`; inserted: the landed rows that come."""
+
+    keys: DataFrame
+    inserted: DataFrame
+    oldest: int
+    position: Position
+
+
+def _changes(
+    delta: DataFrame, log: DataFrame | None, cfg: TaskConfig, position: Position, begin: datetime, end: datetime
+) -> _Changes:
+    landed = read_partitions(delta, day_of(begin), end_day(end))
+    keys = key_texts(apply_filters(landed, cfg.filters, CLEAN_ALIAS), cfg.primary_keys)
+    inserted, newest = landed, position
+    if log is not None:
+        if position.log_day is not None:
+            log = log.where(F.col(PARTITION_COLUMN) >= position.log_day)
+        found = newest_delete(log).first()
+        if found is not None and found[0] < 0 and position.seq_no > found[0]:
+            raise ValueError(f"log position went back from {position.seq_no} to {found[0]}")
+        if found is not None and found[0] >= position.seq_no:
+            newest = Position(*found)
+        keys = keys.union(id_values(log_range(log, position.seq_no, newest.seq_no)))
+        inserted = delta_minus_deletes(landed, log, cfg.primary_keys, position.seq_no, newest.seq_no)
+    added = project(apply_filters(inserted, cfg.filters, CLEAN_ALIAS), cfg.select_columns, CLEAN_ALIAS)
+    return _Changes(keys, added, day_of(shift_months(begin, -cfg.lookback_months)), newest)
+
+
 def clean_incremental(
     target: DataFrame,
     delta: DataFrame,
@@ -164,20 +205,52 @@ def clean_incremental(
     The log is read from the saved position to its newest delete, both included. Without a log, and in a log without
     deletes, the position stays. The new position is one number, the only thing the driver sees.
     """
-    landed = read_partitions(delta, day_of(begin), end_day(end))
-    keys = key_texts(apply_filters(landed, cfg.filters, CLEAN_ALIAS), cfg.primary_keys)
-    inserted, newest = landed, position
-    if log is not None:
-        newest = max_seq(log).first()[0]
-        if newest is not None and newest < 0 and position > newest:
-            raise ValueError(f"log position went back from {position} to {newest}")
-        newest = position if newest is None else max(position, newest)
-        keys = keys.union(id_values(log_range(log, position, newest)))
-        inserted = delta_minus_deletes(landed, log, cfg.primary_keys, position, newest)
-    oldest = day_of(shift_months(begin, -cfg.lookback_months))
-    kept = delete_in(target, keys, cfg.primary_keys, oldest)
-    added = project(apply_filters(inserted, cfg.filters, CLEAN_ALIAS), cfg.select_columns, CLEAN_ALIAS)
-    return IncrementalClean(union_all(kept, added), newest)
+    change = _changes(delta, log, cfg, Position(position), begin, end)
+    kept = delete_in(target, change.keys, cfg.primary_keys, change.oldest)
+    return IncrementalClean(union_all(kept, change.inserted), change.position.seq_no)
+
+
+def run_clean_incremental(
+    spark: SparkSession,
+    path: str,
+    positions_path: str,
+    delta: DataFrame,
+    log: DataFrame | None,
+    cfg: TaskConfig,
+    begin: datetime,
+    end: datetime,
+    as_of: datetime,
+    schema: T.StructType | None = None,
+) -> Position:
+    """Run one window of the incremental clean on a stored, day-partitioned table, and save the log position.
+
+    The system and table of the position are the configuration's group and target table (or trigger). Only partitions that hold
+    a deleted key or get a landed row are written: which ones is found from the keys and the partition column. The log is read
+    from the partition of the saved position on, so its partitions must follow its sequence numbers. The table is switched
+    first and the position saved last. A run that dies in between is repeated with the old position, and does no harm: the
+    window's rows are deleted by their keys before they are inserted again, so landed rows must not lie before the look-back.
+    """
+    name = cfg.target_table or cfg.trigger
+    for place in (path, positions_path):
+        recover(FileTree(spark), place)
+    state = read_table(spark, positions_path, schema=T.StructType.fromDDL(POSITION_SCHEMA))
+    change = _changes(delta, log, cfg, read_position(state, cfg.group, name), begin, end)
+    target = read_table(spark, path, schema=schema or change.inserted.schema)
+    place = F.col(PARTITION_COLUMN)
+    scope = target.where(place >= change.oldest)
+    hit = scope.select(*cfg.primary_keys, place).withColumn(KEY_TEXT, composite_key(*cfg.primary_keys))
+    hit = within(hit, change.keys, [KEY_TEXT]).select(place)
+    # One number per partition reaches the driver.
+    places = [r[0] for r in hit.union(change.inserted.select(place)).distinct().collect()]
+    early = [p for p in places if p is None or p < change.oldest]
+    if early:
+        raise ValueError(f"landed rows in partitions {early}, before the look-back that starts at {change.oldest}")
+    if places:
+        kept = delete_in(target.where(place.isin(places)), change.keys, cfg.primary_keys, change.oldest)
+        replace_partitions(union_all(kept, change.inserted), path, places, beyond="refuse")
+    row = position_row(spark, cfg.group, name, change.position, as_of)
+    write_full(save_position(state, row), positions_path)
+    return change.position
 
 
 def clean_full(src: DataFrame, cfg: TaskConfig) -> DataFrame:

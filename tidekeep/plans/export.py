@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import TaskConfig, time_text
 from ..operators.project import EXPORT_ALIAS, apply_filters, export_filter, in_export_span, project
+from ..sinks.files import FileTree, recover
 from ..sinks.tables import upsert, write_full
 from ..sources.scans import read_table
 
@@ -57,4 +58,5 @@ def export(
         raise
     finally:
         changes = task_status(spark, cfg, status, as_of)
+        recover(FileTree(spark), status_path)  # before the read: a run that died may have left the table aside
         write_full(upsert(read_table(spark, status_path), changes, ["group_name", "task_name"]), status_path)

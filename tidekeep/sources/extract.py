@@ -6,13 +6,14 @@ literals of the column's own type, so Spark pushes them to the database or the f
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import TaskConfig, day_of, validate_window
+from ..config import PARTITION_COLUMN, TaskConfig, day_of, validate_window
 from ..functions.dates import time_literal
 from ..functions.types import apply_type_overrides
 from ..operators.project import apply_filters, project
@@ -72,26 +73,72 @@ def extract_with_history(
     return rows.union(moved)
 
 
+def backfilled_rows(history: DataFrame, state: DataFrame, table: str) -> DataFrame:
+    """Rows of a day-partitioned history table on the table's backfill days.
+
+    A semi-join on the partition column against the few days of one table: Spark reads only those directories.
+    """
+    days = state.where(F.col("table_name") == table).select(F.col("backfill_day").alias("__day"))
+    return history.join(days, F.col(PARTITION_COLUMN) == F.col("__day"), "left_semi")
+
+
+def extract_with_backfill(
+    live: DataFrame,
+    history: DataFrame,
+    state: DataFrame,
+    table: str,
+    cfg: TaskConfig,
+    begin: datetime,
+    end: datetime,
+) -> DataFrame:
+    """The window from the live table, and its rows in the history table on days that the stored state flags.
+
+    As `extract_with_history`, with the days taken from the state as data: no list of days passes through the driver.
+    """
+    rows = extract_incremental(live, cfg, begin, end)
+    moved = backfilled_rows(history, state, table).where(window_predicate(history, cfg, begin, end))
+    return rows.union(_shape(moved, cfg.history_columns or cfg.select_columns, cfg))
+
+
 def boundaries(df: DataFrame, column: str) -> DataFrame:
     """Smallest and largest value of the split column, one row."""
     return df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
 
 
-def extract_partitioned(src: DataFrame, cfg: TaskConfig, begin: datetime, end: datetime, readers: int) -> DataFrame:
-    """The window, each row tagged with which of the equal slices of the time range it falls in.
+def slice_position(df: DataFrame, column: str, time_type: str) -> Callable[[Column], Column]:
+    """What a split column is cut by: times by microseconds, yyyyMMdd texts by days, numbers by value."""
+    if time_type == "str":
+        return lambda c: F.unix_date(F.to_date(F.substring(c, 1, 8), "yyyyMMdd"))
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return lambda c: c
+    return lambda c: F.unix_micros(c.cast("timestamp"))
+
+
+def extract_partitioned(
+    src: DataFrame,
+    cfg: TaskConfig,
+    begin: datetime,
+    end: datetime,
+    readers: int,
+    history: DataFrame | None = None,
+    flagged_days: Collection[int] = (),
+) -> DataFrame:
+    """The window, each row tagged with the slice, and so the reader, it falls to.
 
-    The one-row boundary query is the only thing that reaches the driver.
+    The one-row boundary query is the only thing that reaches the driver. A window that the history table takes part in is read
+    by one reader.
     """
+    if history is not None and day_of(begin) in flagged_days:
+        whole = extract_with_history(src, history, cfg, flagged_days, begin, end)
+        return whole.withColumn("slice_no", F.lit(0))
     rows = src.where(window_predicate(src, cfg, begin, end))
     rows = apply_filters(rows, cfg.filters)
-    lo, hi = boundaries(rows, cfg.sync_time_column).select(
-        F.unix_micros(F.col("lo").cast("timestamp")), F.unix_micros(F.col("hi").cast("timestamp"))
-    ).first()
-    at = F.unix_micros(F.col(cfg.sync_time_column).cast("timestamp"))
+    place = slice_position(src, cfg.sync_time_column, cfg.time_type)
+    lo, hi = boundaries(rows, cfg.sync_time_column).select(place(F.col("lo")), place(F.col("hi"))).first()
     if lo is None or lo == hi:
         slice_no = F.lit(0)
     else:
-        position = ((at - F.lit(lo)).cast("double") * readers / float(hi - lo)).cast("int")
+        position = ((place(F.col(cfg.sync_time_column)) - F.lit(lo)).cast("double") * readers / float(hi - lo)).cast("int")
         slice_no = F.least(position, F.lit(readers - 1))
     return _shape(rows.withColumn("slice_no", slice_no), (*cfg.select_columns, "slice_no"), cfg)
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tidekeep import SyncType, TaskConfig
 from tidekeep.functions.text import ends_with
-from tidekeep.operators.aggregates import duplicate_keys
+from tidekeep.config import end_day
+from tidekeep.operators.aggregates import duplicate_keys, newest_delete
 from tidekeep.operators.project import cdc_window
 from tidekeep.operators.setops import union_all
 from tidekeep.plans import cdc as logs
 from tidekeep.plans import clean, export, repair, sqltask, verify
 from tidekeep.session import scratch_path
 from tidekeep.sinks import tables as sink
+from tidekeep.sinks.files import FileTree
+from tidekeep.sources import extract
 from tidekeep.sources.scans import read_landing, read_table
 from tidekeep.streaming import demux, positions
 
@@ -119,7 +124,22 @@ def k1_stream(spark, sf_dir):
     path, progress = scratch_path(spark, "thl_stream"), scratch_path(spark, "progress")
     for _ in range(2):
         demux.route_new_rows(rows, path, progress)
-    return read_table(spark, path, schema=rows.schema)
+    return demux.read_routed(spark, path, rows.schema)
+
+
+@query("k1_cdc_demux_landed", with_feeds("cdc") + "SELECT *, 2 AS batches, 2 AS most_files FROM cdc")
+def k1_landed(spark, sf_dir):
+    """Files that land between runs, and a batch that is tried again: every row once, one file per batch, table and day."""
+    landed, path, progress = (scratch_path(spark, n) for n in ("landed_log", "routed", "routed_progress"))
+    rows = cdc(spark, sf_dir)
+    for odd in (0, 1):
+        rows.where(F.col("seq_no") % 2 == odd).write.mode("append").parquet(landed)
+        demux.route_new_rows(spark.readStream.schema(rows.schema).parquet(landed), path, progress)
+        demux.write_batch(rows.where(F.col("seq_no") % 2 == odd), odd, path)
+    files = FileTree(spark).data_files(path)
+    batches = len({f.folder.rpartition("/")[2] for f in files})
+    most = max(Counter(f.folder.rpartition("/")[0] for f in files).values(), default=0)
+    return demux.read_routed(spark, path, rows.schema).withColumns({"batches": F.lit(batches), "most_files": F.lit(most)})
 
 
 @query("k2_clean_rewrite", with_feeds("ods", "landing", "thl") + f", {merged_sql('ods')} SELECT * FROM merged")
@@ -178,6 +198,56 @@ def k5(spark, sf_dir):
     return clean.clean_incremental(target, delta, log, cfg, position, BEGIN, END).table
 
 
+def incremental_step(n: int, table: str, before: str, lo: int, last: int, oldest: int) -> str:
+    """One window in SQL: after<n> from a table and a position, up to and including the day `last`."""
+    return f"""log{n} AS (SELECT * FROM thl WHERE partition_date <= {last}),
+    pos{n} AS (SELECT greatest(({before}), (SELECT max(seq_no) FROM log{n} WHERE dml_type = 0)) AS p),
+    ids{n} AS (SELECT id_column_value AS id FROM log{n} WHERE seq_no BETWEEN ({before}) AND (SELECT p FROM pos{n})),
+    fresh{n} AS (SELECT * FROM landing WHERE partition_date BETWEEN {lo} AND {last}),
+    gone{n} AS (SELECT CAST(order_key AS VARCHAR) AS id FROM fresh{n} WHERE amount > 1200 UNION SELECT id FROM ids{n}),
+    after{n} AS (SELECT * FROM {table} WHERE NOT (partition_date >= {oldest}
+            AND CAST(order_key AS VARCHAR) IN (SELECT id FROM gone{n}))
+        UNION ALL SELECT order_key, party_key, status, amount, update_time, NULL, partition_date FROM fresh{n}
+        WHERE amount > 1200 AND CAST(order_key AS VARCHAR) NOT IN (SELECT id FROM ids{n}))"""
+
+
+@query(
+    "k5_run_incremental",
+    with_feeds("ods_daily", "landing", "thl")
+    + f""", {incremental_step(1, "ods_daily", DELETES_BEFORE, 19981101, 19981130, 19971101)},
+    {incremental_step(2, "after1", "SELECT p FROM pos1", 19981201, 19981230, 19971201)}
+    SELECT *, (SELECT p FROM pos2) AS position FROM after2""",
+)
+def k5_run(spark, sf_dir):
+    """Two windows on a stored table, the second one run twice: the table, and the position they leave."""
+    path, saved = scratch_path(spark, "incremental"), scratch_path(spark, "positions")
+    sink.append_partitions(ods_daily(spark, sf_dir), path)
+    log = thl(spark, sf_dir)
+    start = newest_delete(log.where("capture_time < timestamp_ntz'1998-11-01'")).first()
+    start = positions.Position(*start) if start else positions.Position()
+    sink.write_full(positions.position_row(spark, "retail", "orders", start, BEGIN), saved)
+    cfg = TaskConfig(
+        group="retail",
+        target_table="orders",
+        primary_keys=CLEAN.primary_keys,
+        select_columns=(*CLEAN.select_columns, "partition_date"),
+        filters=CLEAN.filters,
+        sync_type=SyncType.ACID,
+    )
+    december = datetime(1998, 12, 1)
+    before_second = read_table(spark, saved)
+    for begin, end, repeated in ((BEGIN, december, False), (december, END, False), (december, END, True)):
+        if repeated:  # as if the run had died before it saved its position
+            sink.write_full(before_second, saved)
+        else:
+            before_second = spark.createDataFrame(read_table(spark, saved).collect(), positions.POSITION_SCHEMA)
+        known = log.where(F.col("partition_date") <= end_day(end))
+        position = clean.run_clean_incremental(
+            spark, path, saved, landed(spark, sf_dir), known, cfg, begin, end, STAMP
+        )
+    return read_table(spark, path).withColumn("position", F.lit(position.seq_no))
+
+
 @query(
     "k6_clean_full",
     "SELECT c_custkey AS party_key, c_mktsegment AS segment, c_acctbal AS balance FROM customer WHERE c_acctbal > 0",
@@ -244,6 +314,96 @@ def k8(spark, sf_dir):
     return joined.select("group_name", "task_name", "status", *counts)
 
 
+@query(
+    "k8_export_month_table",
+    with_feeds("ods")
+    + """SELECT order_key, status, amount, partition_date FROM ods WHERE ods_update_time <> '999999'
+        AND partition_date BETWEEN 200006 AND 200007 AND amount > 1000""",
+)
+def k8_months(spark, sf_dir):
+    """A stored month table that an overwriting clean maintains, exported by its months."""
+    path, target, status = (scratch_path(spark, n) for n in ("months", "month_report", "month_status"))
+    sink.append_partitions(ods(spark, sf_dir), path)
+    cfg = TaskConfig(
+        group="retail",
+        trigger="orders",
+        select_columns=("order_key", "status", "amount", "t2.partition_date"),
+        filters=("and t2.amount > 1000",),
+        sync_type=SyncType.OVERWRITE,
+    )
+    return exported(spark, read_table(spark, path), cfg, datetime(2000, 7, 12, 4, 30), target, status)
+
+
+@query(
+    "k8_export_change_log",
+    with_feeds("thl")
+    + """SELECT seq_no, dml_type, id_column_value, capture_time, partition_date FROM thl
+        WHERE partition_date BETWEEN 19980501 AND 19980610""",
+)
+def k8_log(spark, sf_dir):
+    """A change log, which has no placeholder rows and no audit column to tell them by."""
+    cfg = TaskConfig(
+        group="retail",
+        trigger="orders_thl",
+        select_columns=("seq_no", "dml_type", "id_column_value", "capture_time", "partition_date"),
+    )
+    target, status = scratch_path(spark, "log_report"), scratch_path(spark, "log_status")
+    return exported(spark, thl(spark, sf_dir), cfg, datetime(1998, 6, 10, 3), target, status, is_log=True)
+
+
+def exported(spark, rows, cfg, as_of, target, status, is_log=False):
+    """What an export delivered, if its status says that it finished."""
+    first = export.task_status(spark, cfg, "INTERRUPTED", as_of)
+    sink.write_full(first, status)
+    schema = export.export_snapshot(rows, cfg, as_of, is_log).schema
+    export.export(rows, cfg, as_of, lambda df: sink.export_rows(df, target), status, is_log)
+    finished = read_table(spark, status).where("status = 'FINISHED'").select(F.col("task_name").alias("__task"))
+    sent = read_landing(spark, target, schema).withColumn("__task", F.lit(cfg.trigger))
+    return sent.join(finished, "__task", "left_semi").drop("__task")
+
+
+@query(
+    "k1_half_day_demux",
+    with_feeds("cdc")
+    + """SELECT seq_no, table_name, partition_date FROM cdc WHERE db_name = 'retail' AND table_name = 'purchase'
+        AND capture_time >= TIMESTAMP '2024-01-08' AND capture_time < TIMESTAMP '2024-01-10'""",
+)
+def k1_half_days(spark, sf_dir):
+    """Windows that begin and end inside a day: the days they touch are routed whole, so none loses its other half."""
+    cfg = TaskConfig(
+        group="retail",
+        trigger="purchase-log",
+        log_suffixes=("-log",),
+        sync_time_column="capture_time",
+        select_columns=("seq_no", "table_name", "partition_date"),
+    )
+    path, log = scratch_path(spark, "half_days"), cdc(spark, sf_dir)
+    for begin, end in (((2024, 1, 8, 6), (2024, 1, 8, 18)), ((2024, 1, 8, 18), (2024, 1, 9, 6)), ((2024, 1, 9, 6), (2024, 1, 9, 7))):
+        logs.run_cdc_demux(log, cfg, datetime(*begin), datetime(*end), path)
+    return read_table(spark, path, schema=logs.cdc_demux(log, cfg, BEGIN, END).schema)
+
+
+@query(
+    "m3_late_rows",
+    with_feeds("ods", "landing", "thl")
+    + f""", {merged_sql('ods', 199809)}, beyond AS (SELECT DISTINCT partition_date FROM merged WHERE partition_date NOT BETWEEN 199809
+        AND 199812)
+    SELECT * FROM ods WHERE partition_date NOT BETWEEN 199809 AND 199812 AND NOT (
+            partition_date IN (SELECT partition_date FROM beyond) AND (
+                CAST(order_key AS VARCHAR) IN (SELECT id_column_value FROM thl WHERE partition_date BETWEEN 19981101 AND 19981231)
+                OR order_key IN (SELECT order_key FROM landing WHERE partition_date BETWEEN 19981101 AND 19981231)))
+    UNION ALL SELECT * FROM merged""",
+)
+def m3_late(spark, sf_dir):
+    """A clean with a short look-back of rows that fall into other months, twice, by the type that drops and writes again."""
+    path = scratch_path(spark, "late")
+    sink.append_partitions(ods(spark, sf_dir), path)
+    cfg = replace(CLEAN, lookback_months=2, sync_type=SyncType.REWRITE)
+    for _ in range(2):
+        clean.run_clean(spark, path, landed(spark, sf_dir), thl(spark, sf_dir), cfg, BEGIN, END, STAMP)
+    return read_table(spark, path)
+
+
 @query(
     "k9_verify_sync",
     with_feeds("counted_source", "counted_target")
@@ -271,6 +431,39 @@ def k10(spark, sf_dir):
     return verify.verify_duplicates(checked, datetime(2001, 8, 1))
 
 
+@query(
+    "k10_registered_checks",
+    with_feeds("lines", "landing")
+    + """SELECT 'retail' AS group_name, 'lines' AS table_name, 'order_key,line_no' AS primary_key,
+        '[order_key=' || order_key || '][line_no=' || line_no || ']' AS primary_value, count(*) AS occurrences,
+        20010801 AS check_day FROM lines WHERE partition_date >= 20000801 GROUP BY order_key, line_no HAVING count(*) > 1
+    UNION ALL SELECT 'retail', 'lines', 'part_key,order_key', '[part_key=' || part_key || '][order_key=' || order_key || ']',
+        count(*), 20010801 FROM lines WHERE partition_date >= 20000801 GROUP BY part_key, order_key HAVING count(*) > 1
+    UNION ALL SELECT 'retail', 'landing', 'order_key', '[order_key=' || order_key || ']', count(*), 20010801
+        FROM landing WHERE partition_date >= 20000801 GROUP BY order_key HAVING count(*) > 1""",
+)
+def k10_registered(spark, sf_dir):
+    """Registered checks, one of them disabled and two of one table, a table per plan, run twice on a day."""
+    registry = spark.createDataFrame(
+        [(1, "lines", "retail", 0), (2, "landing", "retail", 0), (3, "thl", "retail", 1)],
+        "id int, table_name string, group_name string, is_disable int",
+    )
+    on, path = verify.enabled_names(registry), scratch_path(spark, "duplicates")
+    own = lines(spark, sf_dir)
+    checks = [
+        verify.CheckedTable("retail", name, rows, keys, ("retail", name) in on)
+        for name, rows, keys in (
+            ("lines", own, ("order_key", "line_no")),
+            ("lines", own, ("part_key", "order_key")),
+            ("landing", landing(spark, sf_dir), ("order_key",)),
+            ("thl", thl(spark, sf_dir), ("id_column_value",)),
+        )
+    ]
+    for _ in range(2):
+        verify.run_duplicate_checks(checks, datetime(2001, 8, 1), path, per_plan=1)
+    return verify.read_check_results(spark, path)
+
+
 @query(
     "k11_delete_repair_run",
     with_feeds("ods", "thl", "pending")
@@ -317,6 +510,46 @@ def k12(spark, sf_dir):
     )
 
 
+@query(
+    "k12_backfilled_extract",
+    with_feeds("cdc")
+    + """, found AS (SELECT DISTINCT regexp_replace(table_name, '_his$', '') AS table_name,
+            CAST(strftime(dml_event_time - INTERVAL 1 SECOND, '%Y%m%d') AS INTEGER) AS backfill_day
+        FROM cdc WHERE dml_type <> 0 AND partition_date BETWEEN 20240105 AND 20240119),
+    known AS (SELECT DISTINCT event_type AS table_name, 20240103 AS backfill_day FROM events),
+    state AS (SELECT * FROM found UNION SELECT * FROM known)
+    SELECT event_id, event_type, ts, value, 'live' AS origin FROM events
+        WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-13' AND value > 5
+    UNION ALL SELECT event_id, event_type, ts, value, 'history' FROM events
+        WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-13' AND event_type = 'error'
+        AND CAST(strftime(ts, '%Y%m%d') AS INTEGER) IN (SELECT backfill_day FROM state WHERE table_name = 'error')
+    UNION ALL SELECT event_id, event_type, ts, value, 'backfill' FROM events WHERE event_type = 'error'
+        AND CAST(strftime(ts, '%Y%m%d') AS INTEGER) IN (SELECT backfill_day FROM state WHERE table_name = 'error')""",
+)
+def k12_extract(spark, sf_dir):
+    """From the log to the extract: days found, merged into the stored state, and the history read they call for."""
+    log, as_of = cdc(spark, sf_dir), datetime(2024, 2, 1)
+    events = table(spark, sf_dir, "events")
+    state_path, history_path = scratch_path(spark, "backfill_state"), scratch_path(spark, "history")
+    known = events.select(F.col("event_type").alias("table_name"), F.lit(20240103).alias("backfill_day")).distinct()
+    forgotten = known.withColumn("backfill_day", F.lit(20221231))
+    sink.write_full(union_all(known, forgotten), state_path)
+    found = logs.backfill_days(log, as_of, datetime(2024, 1, 5), datetime(2024, 1, 20))
+    sink.write_full(logs.merge_backfill(read_table(spark, state_path), found, as_of), state_path)
+    sink.append_partitions(_events_by_day(spark, sf_dir).where("event_type = 'error'"), history_path)
+    state, history = read_table(spark, state_path), read_table(spark, history_path)
+    cfg = TaskConfig(
+        select_columns=("event_id", "event_type", "ts", "value", "'live' as origin"),
+        history_columns=("event_id", "event_type", "ts", "value", "'history' as origin"),
+        sync_time_column="ts",
+        filters=("value > 5",),
+    )
+    day = datetime(2024, 1, 12), datetime(2024, 1, 13)
+    extracted = extract.extract_with_backfill(events, history, state, "error", cfg, *day)
+    again = extract.backfilled_rows(history, state, "error")
+    return extracted.union(again.select("event_id", "event_type", "ts", "value", F.lit("backfill").alias("origin")))
+
+
 @query(
     "k13_replicate",
     f"""SELECT event_id, event_type, ts, CASE WHEN partition_date IN (20240111, 20240112) AND ts > TIMESTAMP '2024-01-11 02:00:00'
@@ -407,8 +640,6 @@ def m1(spark, sf_dir):
     FROM after GROUP BY order_key HAVING count(*) > 1""",
 )
 def m2(spark, sf_dir):
-    from dataclasses import replace
-
     path = scratch_path(spark, "short_lookback")
     sink.append_partitions(ods(spark, sf_dir), path)
     cfg = replace(CLEAN, lookback_months=2)

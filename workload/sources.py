@@ -91,6 +91,22 @@ def r5(spark, sf_dir):
     )
 
 
+@query(
+    "r5_extract_partitioned_text",
+    """WITH w AS (SELECT event_id, strftime(ts, '%Y%m%d') AS day FROM events
+        WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'),
+    n AS (SELECT event_id, datediff('day', DATE '1970-01-01', strptime(day, '%Y%m%d')::DATE) AS d FROM w),
+    b AS (SELECT min(d) AS lo, max(d) AS hi FROM n)
+    SELECT event_id, least(CAST(floor(CAST(d - lo AS DOUBLE) * 4 / CAST(hi - lo AS DOUBLE)) AS INTEGER), 3) AS slice_no
+    FROM n, b""",
+)
+def r5_text(spark, sf_dir):
+    """The time column as yyyyMMdd text: slices are cut between days."""
+    events = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyyMMdd").alias("day"))
+    cfg = TaskConfig(select_columns=("event_id",), sync_time_column="day", time_type="str")
+    return extract.extract_partitioned(events, cfg, datetime(2024, 1, 5), datetime(2024, 1, 25), 4)
+
+
 @query(
     "r6_extract_with_history",
     """SELECT event_id, event_type, ts, value FROM events WHERE ts >= TIMESTAMP '2024-01-10'
