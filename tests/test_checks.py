@@ -188,8 +188,8 @@ def test_numbering_spreads_a_crowded_group(spark, conf):
     assert order.where("hi - lo + 1 <> n").isEmpty(), "rows of a group are numbered in a row"
     ordered = [r[0] for r in order.orderBy("lo").select("g").collect()]
     assert ordered == sorted(ordered)
-    crowded = out.where("g = -1").select(F.input_file_name()).distinct().count()
-    assert crowded > 2, "no task sorts and numbers the crowded group alone"
+    files = {r[0] for r in out.where("g = -1").select(F.input_file_name()).collect()}
+    assert len(files) > 2, "no task sorts and numbers the crowded group alone"
     assert a.sequential_ids(df.where("g < -1"), ["g"]).isEmpty()
 
 

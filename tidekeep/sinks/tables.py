@@ -29,7 +29,7 @@ from ..operators.joins import without
 from ..operators.ranking import top_k_per_group
 from ..sources.scans import read_landing, read_table
 from .copies import copy_files, reachable
-from .files import DataFile, FileTree, Swap, plain_uri, recover, staging
+from .files import DataFile, FileTree, Swap, recover, staging
 
 # Tables with these name endings are short-lived and not worth compacting.
 SHORT_LIVED = ("_stg", "_tmp", "_temp", "_cln")

@@ -127,11 +127,15 @@ def k1_stream(spark, sf_dir):
     return demux.read_routed(spark, path, rows.schema)
 
 
-@query("k1_cdc_demux_landed", with_feeds("cdc") + "SELECT *, 2 AS batches, 2 AS most_files FROM cdc")
+@query(
+    "k1_cdc_demux_landed",
+    with_feeds("cdc")
+    + "SELECT * REPLACE (partition_date // 100 AS partition_date), 2 AS batches, 2 AS most_files FROM cdc",
+)
 def k1_landed(spark, sf_dir):
     """Files that land between runs, and a batch that is tried again: every row once, one file per batch, table and day."""
     landed, path, progress = (scratch_path(spark, n) for n in ("landed_log", "routed", "routed_progress"))
-    rows = cdc(spark, sf_dir)
+    rows = cdc(spark, sf_dir).withColumn("partition_date", F.floor(F.col("partition_date") / 100).cast("int"))
     for odd in (0, 1):
         rows.where(F.col("seq_no") % 2 == odd).write.mode("append").parquet(landed)
         demux.route_new_rows(spark.readStream.schema(rows.schema).parquet(landed), path, progress)
@@ -207,21 +211,23 @@ def incremental_step(n: int, table: str, before: str, lo: int, last: int, oldest
     gone{n} AS (SELECT CAST(order_key AS VARCHAR) AS id FROM fresh{n} WHERE amount > 1200 UNION SELECT id FROM ids{n}),
     after{n} AS (SELECT * FROM {table} WHERE NOT (partition_date >= {oldest}
             AND CAST(order_key AS VARCHAR) IN (SELECT id FROM gone{n}))
-        UNION ALL SELECT order_key, party_key, status, amount, update_time, NULL, partition_date FROM fresh{n}
+        UNION ALL SELECT order_key, party_key, status, amount, update_time, NULL, partition_date // 100 * 100 + 1 FROM fresh{n}
         WHERE amount > 1200 AND CAST(order_key AS VARCHAR) NOT IN (SELECT id FROM ids{n}))"""
 
 
 @query(
     "k5_run_incremental",
     with_feeds("ods_daily", "landing", "thl")
-    + f""", {incremental_step(1, "ods_daily", DELETES_BEFORE, 19981101, 19981130, 19971101)},
+    + f""", stored AS (SELECT * REPLACE (partition_date // 100 * 100 + 1 AS partition_date) FROM ods_daily),
+    {incremental_step(1, "stored", DELETES_BEFORE, 19981101, 19981130, 19971101)},
     {incremental_step(2, "after1", "SELECT p FROM pos1", 19981201, 19981230, 19971201)}
     SELECT *, (SELECT p FROM pos2) AS position FROM after2""",
 )
 def k5_run(spark, sf_dir):
-    """Two windows on a stored table, the second one run twice: the table, and the position they leave."""
+    """Two windows on a table stored by the first day of each month, the second run twice: the table, and the position."""
     path, saved = scratch_path(spark, "incremental"), scratch_path(spark, "positions")
-    sink.append_partitions(ods_daily(spark, sf_dir), path)
+    first_day = (F.floor(F.col("partition_date") / 100) * 100 + 1).cast("int")
+    sink.append_partitions(ods_daily(spark, sf_dir).withColumn("partition_date", first_day), path)
     log = thl(spark, sf_dir)
     start = newest_delete(log.where("capture_time < timestamp_ntz'1998-11-01'")).first()
     start = positions.Position(*start) if start else positions.Position()
@@ -230,7 +236,7 @@ def k5_run(spark, sf_dir):
         group="retail",
         target_table="orders",
         primary_keys=CLEAN.primary_keys,
-        select_columns=(*CLEAN.select_columns, "partition_date"),
+        select_columns=(*CLEAN.select_columns, "cast(floor(src_t.partition_date / 100) * 100 + 1 as int) as partition_date"),
         filters=CLEAN.filters,
         sync_type=SyncType.ACID,
     )
