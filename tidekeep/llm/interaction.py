@@ -43,7 +43,8 @@ def text_failures(text: Column) -> Column:
 
 
 def first_ids(docs: DataFrame, hashes: DataFrame, blocks: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Texts that occur more than once: __hash, __text, __first (smallest id). docs: __id, __text, __hash; hashes: __hash of all.
+    """Texts that the filter does not clear: __hash, __text, __first (smallest id), __copies. docs: __id, __text, __hash; hashes:
+    __hash of all. All texts of a hash that occurs twice are among them.
 
     A text that the filter clears is never shuffled while the blocks can be broadcast.
     """
@@ -56,8 +57,7 @@ def first_ids(docs: DataFrame, hashes: DataFrame, blocks: int, broadcast_bytes:
         asked = hashes.distinct().withColumn("block", block_of(key, blocks))
         kept = asked.join(filter_blocks, "block").where(reached(key, F.col("words"))).select("__hash")
         doubtful = docs.join(kept, "__hash", "left_semi")
-    texts = doubtful.groupBy("__hash", "__text").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__copies"))
-    return texts.where("__copies > 1").drop("__copies")
+    return doubtful.groupBy("__hash", "__text").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__copies"))
 
 
 def masks(docs: DataFrame, labels: DataFrame, docs_per_block: int = DOCS_PER_BLOCK, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -72,13 +72,16 @@ def masks(docs: DataFrame, labels: DataFrame, docs_per_block: int = DOCS_PER_BLO
     repeats = stored(
         first_ids(read.select("__id", "__text", "__hash"), flagged.select("__hash"), blocks, broadcast_bytes), "repeats"
     )
-    by_hash = repeats.groupBy("__hash").agg(F.count(F.lit(1)).alias("__texts"), F.min("__first").alias("__first"))
+    by_hash = repeats.groupBy("__hash").agg(
+        F.count(F.lit(1)).alias("__texts"), F.min("__first").alias("__first"), F.max("__copies").alias("__copies")
+    )
+    by_hash = by_hash.where("__copies > 1").drop("__copies")
     later = F.coalesce(F.col("__id") > F.col("__first"), F.lit(False))
     whole = F.col("mask") + F.when(later, _bit("E")).otherwise(0)
     shared = by_hash.where("__texts > 1")
     if shared.isEmpty():
         out = flagged.join(by_hash, "__hash", "left")
-    else:  # two repeated texts of one hash: their documents are matched by text
+    else:  # different texts of one hash: their documents are matched by text
         plain = flagged.join(shared, "__hash", "left_anti").join(by_hash, "__hash", "left")
         own = read.withColumn("mask", text_failures(F.col("__text"))).join(shared.select("__hash"), "__hash", "left_semi")
         out = plain.select("__id", "part", "mask", "__first").unionByName(
