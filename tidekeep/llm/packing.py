@@ -22,7 +22,7 @@ from tidekeep.session import scratch_path
 SIZE = 1024
 END = 2
 # Pieces dealt to a group on average.
-GROUP = 8192
+GROUP = 16384
 # A further round must have emptied this share of the open sequences in the one before.
 WORTH = 0.002
 _encoders: dict[str, Encoder] = {}
@@ -209,17 +209,20 @@ def pack_group(items: np.ndarray, lengths: np.ndarray, held: np.ndarray, size: i
 
     A sequence is named by the smallest piece in it.
     """
-    if len(held) and held[0] < 0:
-        start = best_fit(list(zip(lengths.tolist(), items.tolist())), size)
-    else:
+    starts = [best_fit(list(zip(lengths.tolist(), items.tolist())), size)]
+    if len(held) and held[0] >= 0:
         by_bin: dict[int, dict[int, list[int]]] = {}
         for item, length, k in sorted(zip(items.tolist(), lengths.tolist(), held.tolist())):
             by_bin.setdefault(k, {}).setdefault(length, []).append(item)
-        start = list(by_bin.values())
-    bins = Bins(size)
-    for own in start:
-        bins.add(own)
-    bins.improve()
+        starts.insert(0, list(by_bin.values()))
+    tried = []
+    for start in starts:  # as it came, and packed anew: the fewer sequences win, then the greater sum of squares
+        bins = Bins(size)
+        for own in start:
+            bins.add(own)
+        bins.improve()
+        tried.append(bins)
+    bins = min(tried, key=lambda b: (sum(f > 0 for f in b.fill), -sum(f * f for f in b.fill)))
     place = {}
     for own, fill in zip(bins.items, bins.fill):
         flat = sorted((item, length) for length, its in own.items() for item in its)
