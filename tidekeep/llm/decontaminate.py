@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import released, small_batches, stored
 from .fmindex import FMIndex
 from .tokens import NOT_ALNUM, Words, slices, utf8, words_of
 
@@ -70,7 +70,7 @@ def _search(words: Words, phrases: _Phrases) -> tuple[np.ndarray, list[np.ndarra
         return hit, found
     known, symbols = np.unique(words.keys(), return_inverse=True)
     place = np.arange(len(words)) + words.owners()
-    text = np.full(len(words) + texts, len(known) + 1, np.int64)
+    text = np.full(len(words) + texts, len(known) + 1, np.int32)
     text[place] = symbols + 1
     index = FMIndex(text, len(known) + 1)
     at = np.minimum(np.searchsorted(known, phrases.keys), len(known) - 1)
@@ -173,7 +173,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
             if held:
                 yield from _shard(pa.Table.from_batches(held), sent.value).to_batches()
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(released(run), schema)
         if k < passes - 1:
             out = stored(out, "marked")
     return out
@@ -213,7 +213,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "text", pa.array(texts, batch.schema.field("text").type))
 
-    left = marked.where("n_hit = 0 or n_hit < n_words").mapInArrow(cut, marked.schema)
+    left = marked.where("n_hit = 0 or n_hit < n_words").mapInArrow(released(cut), marked.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

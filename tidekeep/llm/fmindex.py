@@ -16,7 +16,7 @@ class _Bits:
         part = np.packbits(bits, bitorder="little")
         packed[: len(part)] = part
         self.words = packed.view(np.uint64)
-        self.before = np.zeros(len(self.words) + 1, np.int64)
+        self.before = np.zeros(len(self.words) + 1, np.int32)
         np.cumsum(np.bitwise_count(self.words), out=self.before[1:])
 
     def ones(self, at: np.ndarray) -> np.ndarray:
@@ -64,20 +64,20 @@ class WaveletTree:
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """Start of each suffix in order, by prefix doubling; each round sorts only the suffixes that are still tied."""
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols, kind="stable").astype(np.int32)
     new = np.ones(n, bool)
     new[1:] = symbols[order[1:]] != symbols[order[:-1]]
-    rank = np.empty(n, np.int64)
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rank = np.empty(n, np.int32)
+    group = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), np.int32(0)))
     rank[order] = group
-    tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+    tied = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
     span = 1
     while len(tied):
         at = order[tied]
         ahead = at + span
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         # Places stay within their group, so one sort by (group, next rank) puts every tied group in order.
-        key = group[tied] * (n + 1) + second
+        key = group[tied].astype(np.int64) * (n + 1) + second
         by = np.argsort(key)
         key, at = key[by], at[by]
         order[tied] = at
@@ -92,10 +92,10 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
 
 
 class FMIndex:
-    """Counts and finds runs of words in a shard. symbols: one per word, from 1; 0 is kept for the end."""
+    """Counts and finds runs of words in a shard of under 2^31. symbols: one per word, from 1; 0 is kept for the end."""
 
     def __init__(self, symbols: np.ndarray, size: int):
-        text = np.append(symbols, 0)
+        text = np.append(symbols, 0).astype(np.int32)
         order = suffix_order(text)
         self.starts = np.zeros(size + 2, np.int64)
         np.cumsum(np.bincount(text, minlength=size + 1), out=self.starts[1:])
