@@ -2,7 +2,7 @@
 
 Every whole text gives a fixed vector of statistics (lengths, character classes, repetition, line shape), transformed so that
 shares and counts are closer to normal. Each class of the labelled rows has a mean and a covariance, shrunk towards the pooled
-covariance and towards its diagonal. The score is the posterior of class 1: the difference of the two log densities, from
+covariance and towards its diagonal, as much as serves rows of the training folds that the fit has not seen. The score is the posterior of class 1: the difference of the two log densities, from
 Mahalanobis distances by Cholesky factors that are computed once and sent along.
 
 The moments are sums over all labelled rows, so training needs no sample. Null and empty texts have the statistics of a text
@@ -17,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import released, small_batches, stored
 from .tokens import SPACES, Words, shingles, slices, utf8
 
-TO_POOLED = 0.1
-TO_DIAGONAL = 0.3
+# How far covariances may be shrunk, to the pooled one and to the diagonal; which pair is used, folds of the training rows say.
+SHRINKAGE = [(pooled, diagonal) for pooled in (0.05, 0.1, 0.3, 0.6) for diagonal in (0.05, 0.3, 0.6, 0.9)]
+FOLDS = 4
 THRESHOLD = 0.7
 _EPS = 1e-3
 # Weight, in words, bytes and lines, of a usual value that steadies the shares of short texts.
@@ -133,44 +134,57 @@ def features(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "x"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id long, x array<double>")
+    return slim.mapInArrow(released(run), "doc_id long, x array<double>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack(column.to_numpy(zero_copy_only=False)) if len(column) else np.zeros((0, 1))
 
 
-def moments(labelled: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
-    """Per label: rows, sum of x, sum of the outer products. labelled: label, x."""
+Sums = dict[int, tuple[float, np.ndarray, np.ndarray]]
+
+
+def moments(labelled: DataFrame) -> dict[int, Sums]:
+    """Per fold and label: rows, sum of x, sum of the outer products. labelled: label, fold, x."""
 
     def run(batches):
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            x, y = _matrix(batch.column("x")), batch.column("label").to_numpy()
-            for label in np.unique(y):
-                part = np.hstack([np.ones((int((y == label).sum()), 1)), x[y == label]])
-                sums[int(label)] = sums.get(int(label), 0) + part.T @ part
-        for label, s in sums.items():
+            x, y, f = _matrix(batch.column("x")), batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+            for label, part in set(zip(y.tolist(), f.tolist(), strict=True)):
+                own = x[(y == label) & (f == part)]
+                own = np.hstack([np.ones((len(own), 1)), own])
+                sums[label, part] = sums.get((label, part), 0) + own.T @ own
+        for (label, part), s in sums.items():
             at = pa.array(np.arange(s.size), pa.int32())
-            label = pa.array(np.full(s.size, label), pa.int32())
-            yield pa.RecordBatch.from_arrays([label, at, pa.array(s.ravel())], ["label", "at", "s"])
-
-    total = labelled.mapInArrow(run, "label int, at int, s double").groupBy("label", "at").agg(F.sum("s").alias("s"))
-    by_label: dict[int, dict[int, float]] = {}
-    for label, at, s in total.collect():  # one row per label and pair of statistics
-        by_label.setdefault(label, {})[at] = s
-    out = {}
-    for label, sums in by_label.items():
+            label, part = (pa.array(np.full(s.size, v), pa.int32()) for v in (label, part))
+            yield pa.RecordBatch.from_arrays([label, part, at, pa.array(s.ravel())], ["label", "fold", "at", "s"])
+
+    total = labelled.select("label", "fold", "x").mapInArrow(released(run), "label int, fold int, at int, s double")
+    total = total.groupBy("label", "fold", "at").agg(F.sum("s").alias("s"))
+    found: dict[tuple[int, int], dict[int, float]] = {}
+    for label, part, at, s in total.collect():  # one row per label, fold and pair of statistics
+        found.setdefault((part, label), {})[at] = s
+    out: dict[int, Sums] = {}
+    for (part, label), sums in found.items():
         d = round(len(sums) ** 0.5)
         s = np.array([sums[i] for i in range(len(sums))]).reshape(d, d)
-        out[label] = float(s[0, 0]), s[0, 1:], s[1:, 1:]
+        out.setdefault(part, {})[label] = float(s[0, 0]), s[0, 1:], s[1:, 1:]
+    return out
+
+
+def _added(parts: list[Sums]) -> Sums:
+    out: Sums = {}
+    for sums in parts:
+        for label, own in sums.items():
+            out[label] = tuple(a + b for a, b in zip(out[label], own, strict=True)) if label in out else own
     return out
 
 
 class Discriminant:
     """Quadratic discriminant of labels 0 and 1."""
 
-    def __init__(self, sums: dict[int, tuple[float, np.ndarray, np.ndarray]]):
+    def __init__(self, sums: Sums, to_pooled: float = 0.3, to_diagonal: float = 0.3):
         self.n = {k: sums[k][0] if k in sums else 0.0 for k in (0, 1)}
         self.prior = (self.n[1] + 1) / (self.n[0] + self.n[1] + 2)
         self.parts = None
@@ -182,8 +196,8 @@ class Discriminant:
         pooled += np.eye(len(pooled)) * (1e-6 + 1e-3 * np.trace(pooled) / len(pooled))
         self.parts = []
         for k in (0, 1):
-            own = (1 - TO_POOLED) * scatter[k] / self.n[k] + TO_POOLED * pooled
-            own = (1 - TO_DIAGONAL) * own + TO_DIAGONAL * np.diag(np.diag(own))
+            own = (1 - to_pooled) * scatter[k] / self.n[k] + to_pooled * pooled
+            own = (1 - to_diagonal) * own + to_diagonal * np.diag(np.diag(own))
             factor = np.linalg.cholesky(own)
             self.parts.append((mean[k], np.linalg.inv(factor), np.log(np.diag(factor)).sum(), self.n[k]))
 
@@ -214,10 +228,39 @@ def fold(of: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % of, F.lit(0))
 
 
+def _unseen_loss(labelled: DataFrame, folds: dict[int, Sums]) -> np.ndarray:
+    """Log loss of each shrinkage over all rows, each row scored by the fit of the other folds."""
+    models = {
+        part: [Discriminant(_added([s for f, s in folds.items() if f != part]), *pair) for pair in SHRINKAGE] for part in folds
+    }
+
+    def run(batches):
+        loss = np.zeros(len(SHRINKAGE))
+        for batch in batches:
+            x, y, f = _matrix(batch.column("x")), batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+            for part in np.unique(f):
+                here = f == part
+                for k, model in enumerate(models[int(part)]):
+                    loss[k] += np.logaddexp(0, np.where(y[here] == 1, -1, 1) * model.log_odds(x[here])).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(loss)), pa.int32()), pa.array(loss)], ["k", "loss"])
+
+    rows = labelled.select("label", "fold", "x").mapInArrow(released(run), "k int, loss double")
+    out = np.zeros(len(SHRINKAGE))
+    for row in rows.groupBy("k").agg(F.sum("loss").alias("loss")).collect():
+        out[row["k"]] = row["loss"]
+    return out
+
+
 def fit(x: DataFrame, labels: DataFrame, label: str, held: F.Column) -> Discriminant:
-    """The discriminant of the labelled rows that are not held out."""
+    """The discriminant of the labelled rows that are not held out, shrunk as serves folds of these rows best."""
     known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    return Discriminant(moments(x.where(~held).join(known, "doc_id").select("label", "x")))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    labelled = stored(x.where(~held).join(known, "doc_id").select("label", part, "x"), "labelled")
+    folds = moments(labelled)
+    whole = _added(list(folds.values()))
+    if len(folds) < 2 or Discriminant(whole).parts is None:
+        return Discriminant(whole)
+    return Discriminant(whole, *SHRINKAGE[int(np.argmin(_unseen_loss(labelled, folds)))])
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -244,4 +287,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 keep = 1 / (1 + np.exp(-np.clip(model.log_odds(statistics(part.column("text"))), -700, 700))) >= THRESHOLD
                 yield part.filter(pa.array(keep))
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(released(run), docs.schema)
