@@ -9,8 +9,9 @@ domain totals: each step moves a document along its posterior and cuts at 0. The
 Each round is one job that returns one number per domain; a document's rate is a function of its posterior and the rounds'
 steps, so nothing per document is kept between rounds.
 
-The classifier is fitted on at most `FIT_ROWS` labelled documents (those with the smallest hashes of their ids) and on the
-`VOCABULARY` most frequent of their words; posteriors, totals and rates cover all documents. Null and empty texts have no
+The classifier is fitted on about `FIT_ROWS` labelled documents at most (by a hash of their ids, under a threshold that follows
+from their number) and on the `VOCABULARY` most frequent of their words; posteriors, totals and rates cover all documents. A
+domain that has a target but no row to learn from cannot be aimed at: it is named in a warning, and the others share its part. Null and empty texts have no
 tokens and the posterior of a text without known words. Without labelled rows there is one domain and every rate is 1, and
 with a single domain the posterior is 1. Repeated rows each get a rate. Columns of documents named like the results are
 replaced.
@@ -19,6 +20,7 @@ replaced.
 from __future__ import annotations
 
 import re
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import small_batches, stored
+from .common import released, small_batches, stored
 from .tokens import SPACES, Words, slices, utf8, words_of
 
 FIT_ROWS = 20_000
@@ -102,18 +104,21 @@ class Membership:
     """Posteriors over domains from the words of a text."""
 
     def __init__(self, docs: DataFrame, domains: DataFrame):
-        small = domains.orderBy(F.xxhash64("doc_id"), "domain").limit(FIT_ROWS)
-        small = stored(small, "labelled")
+        domains = stored(domains, "domains")
+        n = domains.count()
+        if n > FIT_ROWS:
+            domains = domains.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit((FIT_ROWS << 30) // n))
+        small = stored(domains, "labelled")
         self.domains = [r["domain"] for r in small.select("domain").distinct().orderBy("domain").collect()]
         self.model = Scorer([], np.zeros((0, 1)), np.zeros(1))
         if len(self.domains) < 2:
             return
         names = F.array(*[F.lit(d) for d in self.domains])
-        # At most FIT_ROWS ids travel to the tasks.
+        # About FIT_ROWS ids travel to the tasks at most.
         rows = docs.select(F.col("doc_id").cast("long"), self._text(docs).alias("text"))
         rows = rows.join(F.broadcast(small), "doc_id")
         rows = rows.select("text", (F.array_position(names, F.col("domain")) - 1).cast("double").alias("label"))
-        rows = stored(rows.mapInArrow(_term_lists, "terms array<string>, label double"), "fit")
+        rows = stored(rows.mapInArrow(released(_term_lists), "terms array<string>, label double"), "fit")
         try:
             vector = CountVectorizer(inputCol="terms", outputCol="x", vocabSize=VOCABULARY, minDF=2.0, binary=True).fit(rows)
         except Exception as error:  # no word is in two labelled texts
@@ -160,7 +165,7 @@ class Membership:
                     )
 
         added = [StructField("n_tokens", LongType()), StructField("posterior", ArrayType(DoubleType()))]
-        return out.mapInArrow(run, StructType([*out.schema.fields, *added]))
+        return out.mapInArrow(released(run), StructType([*out.schema.fields, *added]))
 
 
 def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -212,16 +217,26 @@ def fit_rates(members: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
     return steps
 
 
-def mix(docs: DataFrame, domains: DataFrame, shares: dict[str, float], tokens: int | None = None) -> tuple[DataFrame, list[str]]:
+def mix(
+    docs: DataFrame,
+    domains: DataFrame,
+    shares: dict[str, float],
+    tokens: int | None = None,
+    examples: DataFrame | None = None,
+) -> tuple[DataFrame, list[str]]:
     """docs with n_tokens, posterior, rate and copies, and the domains in the posterior's order.
 
-    shares: target share of tokens by domain; domains that are not named get 0, and the shares are scaled to 1. tokens: the
+    shares: target share of tokens by domain; domains that are not named get 0, and the shares are scaled to 1. examples: the
+    documents that the labels are of, if not docs. tokens: the
     total to reach, that of docs if not given. copies is the rate rounded up or down by a hash of the document, so that its
     mean over documents is the rate.
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("n_tokens", "posterior", "rate", "copies")
-    member = Membership(docs, domains)
+    member = Membership(docs if examples is None else examples, domains)
+    absent = sorted(d for d, share in shares.items() if share > 0 and d not in member.domains)
+    if absent:
+        warnings.warn(f"no labelled document of {', '.join(absent)}: the other domains share these targets", stacklevel=2)
     # Written once: texts are tokenised in one pass, whatever number of rounds follows.
     whole = stored(member.posteriors(docs), "members")
     slim = whole.select("n_tokens", "posterior")
