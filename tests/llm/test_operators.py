@@ -615,3 +615,51 @@ def test_pipeline_keeps_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()), key=repr)
     assert got == sorted([(1, text), (None, text), (5, rows[5][1]), (6, None), (7, "")], key=repr)
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+
+    text, other = "a b c d e f g h i j k l m n o p", "quite other words stand in this row of the same id"
+    rows = [(4, text), (4, other), (4, other), (9, other), (2, text + " q r s t u v w x y z and more besides")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    texts = [t for _, t in got]
+    assert sorted(texts) == sorted([text, other, rows[4][1]]) and (2, rows[4][1]) in got and (4, text) in got
+
+
+def test_pipeline_passes_empty_tables_and_null_texts(spark):
+    import corpus_pipeline
+
+    docs = table(spark, SF, "documents")
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, None, "en", "s", 0), (2, "", "en", "s", 0)], docs.schema)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        stage(spark, odd, SF).collect()
+
+
+def test_targets_without_a_domain_are_named(spark):
+    domains = spark.createDataFrame([(i, "x" if i < 4 else "y") for i in range(8)], "doc_id long, domain string")
+    docs = make(spark, [f"{'apple pear' if i < 4 else 'iron steel'} {i}" for i in range(8)])
+    with pytest.warns(UserWarning, match="no labelled document of z"):
+        mixing.mix(docs, domains, {"x": 0.5, "y": 0.25, "z": 0.25})
+
+
+def test_shrinkage_is_chosen_on_training_folds(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 1, (60, 3)), rng.normal(0.8, 2, (60, 3))])
+    rows = [(int(i >= 60), int(i % 4), [float(v) for v in x[i]]) for i in range(120)]
+    labelled = spark.createDataFrame(rows, "label int, fold int, x array<double>").repartition(3)
+    folds = quality.moments(labelled)
+    assert set(folds) == {0, 1, 2, 3}
+    whole = quality._added(list(folds.values()))
+    assert whole[0][0] == 60 and np.allclose(whole[1][1], x[60:].sum(axis=0)) and np.allclose(whole[1][2], x[60:].T @ x[60:])
+    loss = quality._unseen_loss(labelled, folds)
+    want = np.zeros(len(quality.SHRINKAGE))
+    for k, pair in enumerate(quality.SHRINKAGE):
+        for f in range(4):
+            model = quality.Discriminant(quality._added([s for g, s in folds.items() if g != f]), *pair)
+            for label, part, v in rows:
+                if part == f:
+                    want[k] += np.logaddexp(0, (-1 if label else 1) * model.log_odds(np.array([v]))[0])
+    assert np.allclose(loss, want)
