@@ -6,11 +6,14 @@ documents are linked if the Jaccard similarity of their full sets reaches the th
 1. Documents with equal sets form a class at once; its smallest id represents it from here on.
 2. Inverted lists hold the smallest `LISTED` values of each representative, rarest first, and only as many of them as two
    linked documents need in order to meet in one list. Values held by one document only are never listed.
-3. Short lists give their pairs directly. Long lists are cut into blocks; one task compares two blocks in memory. It passes on
-   a spanning forest of what it finds, so a list never emits all its pairs. A second pass takes up the pairs that the links
-   of the first have left in different components, so no link between components is lost.
+3. Short lists give their pairs directly. Of long lists that hold the same documents one is kept. They are cut into blocks, and
+   tasks pass on spanning forests of what they find, so a list never emits all its pairs. First each block is compared with
+   itself; then, in lists that the links so far leave in several components, all blocks with each other, but only documents of
+   different components.
 4. The overlap of two sketches below their common bound estimates the similarity. Sketches that hold whole sets give it
-   exactly; other pairs whose estimate is not far below the threshold are verified on the full sets.
+   exactly; other pairs whose estimate is not far below the threshold are verified on the full sets. Between components this is
+   done where the blocks are compared: the documents with such pairs, not the pairs, are passed on, and their full sets are
+   compared block by block.
 
 Choosing the listed values and the estimate's margin loses a link with a probability below 1e-6 per pair.
 
@@ -31,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import components, small_batches, stored
+from .common import components, released, small_batches, stored
 from .tokens import SPACES, shingles, slices, words_of
 
 SKETCH = 256
 LISTED = 64
 LONG_LIST = 16
 BLOCK = 1024
+# Bytes of full sets in a block, about.
+BLOCK_BYTES = 24 << 20
 # Ids sent to every executor at most; more are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
 
@@ -221,78 +226,148 @@ class _Forest:
         return x != y
 
 
-def _long_pairs(lists: DataFrame, reps: DataFrame, percent: int, labels: DataFrame | None) -> DataFrame:
-    """Pairs of the long lists. With labels, only those of different components, all of them; else forests of each block pair."""
+def _long_lists(lists: DataFrame) -> DataFrame:
+    """value, doc_id: the long lists, one of those that hold the same documents."""
     rows = lists.where(F.col("size") > LONG_LIST)
-    forest = labels is None
-    if not forest:
-        rows = rows.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-        rows = rows.withColumn("label", F.coalesce("component", "doc_id")).drop("component")
-        mixed = rows.groupBy("value").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed")
-        rows = rows.join(mixed.select("value"), "value")
-    else:
-        rows = rows.withColumn("label", F.col("doc_id"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    rows = rows.join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(
-        "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "label",
-        "n_shingles", "sketch",
+    members = rows.groupBy("value").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+        F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("h"), F.bit_xor(F.xxhash64(F.lit("list"), "doc_id")).alias("x"),
     )
+    kept = members.groupBy("n", "lo", "hi", "h", "x").agg(F.min("value").alias("value")).select("value")
+    return stored(rows.join(kept, "value").select("value", "doc_id", "size"), "long_lists")
+
+
+def _blocks(rows: DataFrame, blocks: F.Column, diagonal: bool) -> DataFrame:
+    """rows dealt to blocks of their list, and to all pairs of blocks i <= j, or to i = j only."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+    if diagonal:
+        return rows.withColumns({"i": F.col("own"), "j": F.col("own")})
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows of lists with several components, with the component of each document as label."""
+    rows = rows.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    rows = rows.withColumn("label", F.coalesce("component", "doc_id")).drop("component")
+    mixed = rows.groupBy("value").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed")
+    return rows.join(mixed.select("value"), "value")
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and labels of a pair of blocks, and the rows of either side."""
+    ids, label, own = (table.column(c).to_numpy() for c in ("doc_id", "label", "own"))
+    return ids, label, np.flatnonzero(own == table.column("i")[0].as_py()), np.flatnonzero(own == table.column("j")[0].as_py())
+
+
+def _apart(ids: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> np.ndarray:
+    """Pairs of different labels, each once."""
+    pairs = label[left][:, None] != label[right][None, :]
+    return pairs & ((ids[left][:, None] < ids[right][None, :]) if same else (ids[left][:, None] != ids[right][None, :]))
+
+
+def _pairs_table(rows: list[tuple[int, int, bool, float]]) -> pa.Table:
+    a, b, sure, est = zip(*rows) if rows else ((), (), (), ())
+    return pa.table(
+        {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sure": pa.array(sure, pa.bool_()), "est": pa.array(est, pa.float64())}
+    )
+
+
+def _block_pairs(rows: DataFrame, reps: DataFrame, percent: int, diagonal: bool) -> DataFrame:
+    """a, b, sure. rows: value, doc_id, size, label.
+
+    Inside blocks: forests of the sure pairs, and of those to be verified. Between components (not diagonal): a forest of the
+    sure pairs, and each document with a pair to be verified once, as a pair with itself.
+    """
+    rows = _blocks(rows, F.ceil(F.col("size") / BLOCK).cast("int"), diagonal)
+    rows = rows.join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    rows = rows.select("value", "i", "j", "own", "doc_id", "label", "n_shingles", "sketch")
 
     def run(table: pa.Table) -> pa.Table:
-        ids, label = table.column("doc_id").to_numpy(), table.column("label").to_numpy()
-        n, own = table.column("n_shingles").to_numpy(), table.column("own").to_numpy()
-        sk = _u64(table.column("sketch").to_pylist())
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out = {"a": [], "b": [], "sure": [], "est": []}
+        ids, label, left, right = _sides(table)
+        n, sk = table.column("n_shingles").to_numpy(), _u64(table.column("sketch").to_pylist())
+        out: list[tuple[int, int, bool, float]] = []
         if len(left) and len(right):
             est, margin = _estimates([sk[k] for k in left], [sk[k] for k in right], n[left], n[right], percent / 100)
             exact = margin == 0
             hit = np.where(exact, est >= percent / 100 - 1e-12, est + margin >= percent / 100)
-            hit &= label[left][:, None] != label[right][None, :]
-            hit &= (ids[left][:, None] < ids[right][None, :]) if i == j else (ids[left][:, None] != ids[right][None, :])
+            hit &= _apart(ids, label, left, right, table.column("i")[0] == table.column("j")[0])
             x, y = np.nonzero(hit)
             est, exact = est[x, y], exact[x, y]
             x, y = left[x], right[y]
-            order = np.lexsort((-est, ~exact))
-            known, asked = _Forest(), _Forest()
-            for k in order:
+            known, asked, doubtful = _Forest(), _Forest(), set()
+            for k in np.lexsort((-est, ~exact)):
                 p, q = int(label[x[k]]), int(label[y[k]])
                 if exact[k]:
                     if not known.join(p, q):
                         continue
                     asked.join(p, q)
-                elif forest and not asked.join(p, q) or known.root(p) == known.root(q):
+                elif diagonal and not asked.join(p, q) or known.root(p) == known.root(q):
+                    continue
+                elif not diagonal:
+                    doubtful.update((int(ids[x[k]]), int(ids[y[k]])))
                     continue
                 p, q = int(ids[x[k]]), int(ids[y[k]])
-                for name, value in zip(out, (min(p, q), max(p, q), bool(exact[k]), float(est[k])), strict=True):
-                    out[name].append(value)
-        types = {"a": pa.int64(), "b": pa.int64(), "sure": pa.bool_(), "est": pa.float64()}
-        return pa.table({name: pa.array(value, types[name]) for name, value in out.items()})
+                out.append((min(p, q), max(p, q), bool(exact[k]), float(est[k])))
+            out += [(d, d, False, 0.0) for d in sorted(doubtful)]
+        return _pairs_table(out)
 
     found = rows.groupBy("value", "i", "j").applyInArrow(run, _PAIRS)
     return found.groupBy("a", "b").agg(F.max("sure").alias("sure"), F.max("est").alias("est"))
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs a, b whose full sets reach the threshold."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+def _whole_pairs(rows: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """a, b: forests of the links between components, from full sets. rows: value, doc_id, label; whole: doc_id, whole."""
+    rows = rows.join(whole, "doc_id")
+    sizes = rows.groupBy("value").agg(F.count("*").alias("n"), F.sum(F.length("whole")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    rows = _blocks(rows.join(sizes.select("value", blocks.alias("blocks")), "value"), F.col("blocks"), False)
+    rows = rows.select("value", "i", "j", "own", "doc_id", "label", "whole")
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, label, left, right = _sides(table)
+        out = []
+        if len(left) and len(right):
+            sets = _u64(table.column("whole").to_pylist())
+            n = np.array([len(s) for s in sets])
+            common = _overlaps([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
+            union = np.add.outer(n[left], n[right]) - common
+            hit = (100 * common >= percent * union) & _apart(ids, label, left, right, table.column("i")[0] == table.column("j")[0])
+            forest = _Forest()
+            for x, y in zip(*np.nonzero(hit)):
+                p, q = int(left[x]), int(right[y])
+                if forest.join(int(label[p]), int(label[q])):
+                    out.append((min(int(ids[p]), int(ids[q])), max(int(ids[p]), int(ids[q])), True, 1.0))
+        return _pairs_table(out)
+
+    return rows.groupBy("value", "i", "j").applyInArrow(run, _PAIRS).select("a", "b").distinct()
+
+
+def _whole_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """doc_id and whole, the full set as 64-bit values in order, of the documents with these distinct ids."""
     n = ids.count()
-    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(
-        F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id"
-    )
+    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id")
 
     def sets(batches):
         for batch in batches:
             for part, values, at in _sets(batch, size):
                 found = [values[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+                digests = pa.array([hashlib.sha1(s).digest() for s in found], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "whole"]
+                    [part.column("doc_id"), digests, pa.array(found, pa.binary())], ["doc_id", "set_key", "whole"]
                 )
 
+    # Of rows that share an id the set that stands for it elsewhere, too.
+    whole = chosen.mapInArrow(released(sets), "doc_id long, set_key binary, whole binary").where("length(whole) > 0")
+    one = whole.groupBy("doc_id").agg(F.min(F.struct("set_key", "whole")).alias("w"))
+    return stored(one.select("doc_id", "w.whole"), "sets")
+
+
+def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs a, b whose full sets reach the threshold."""
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    side = _whole_sets(docs, ids, size)
+
     def same(batches):
         for x in batches:
             keep = []
@@ -301,8 +376,6 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = chosen.mapInArrow(sets, "doc_id long, whole binary").dropDuplicates(["doc_id"])
-    side = stored(side, "sets")
     pairs = pairs.select("a", "b").join(side.toDF("a", "wa"), "a").join(side.toDF("b", "wb"), "b")
     return pairs.mapInArrow(same, "a long, b long")
 
@@ -329,10 +402,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     tied = tied.join(classes, "set_key").where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     lists = _lists(reps, percent / 100)
     links = _settle(docs, _short_pairs(lists, reps, percent), size, percent, "short")
-    links = links.unionByName(_settle(docs, _long_pairs(lists, reps, percent, None), size, percent, "long"))
-    labels = components(links)
-    more = _settle(docs, _long_pairs(lists, reps, percent, labels), size, percent, "rest")
-    heads = components(links.unionByName(more).unionByName(tied))
+    long = _long_lists(lists)
+    inside = _block_pairs(long.withColumn("label", F.col("doc_id")), reps, percent, True)
+    links = links.unionByName(_settle(docs, inside, size, percent, "inside"))
+    across = stored(_block_pairs(_labelled(long, components(links)), reps, percent, False), "across")
+    links = links.unionByName(across.where("sure").select("a", "b"))
+    doubtful = stored(across.where("not sure").select(F.col("a").alias("doc_id")), "doubtful")
+    if not doubtful.isEmpty():
+        rows = _labelled(long.join(doubtful, "doc_id", "left_semi"), components(links))
+        links = links.unionByName(stored(_whole_pairs(rows, _whole_sets(docs, doubtful, size), percent), "whole"))
+    heads = components(links.unionByName(tied))
     out = all_sets.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     start = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id"))
     out = out.withColumn("rep", start).join(heads.withColumnRenamed("node", "rep"), "rep", "left")
