@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidekeep.llm import chat, decontaminate, fingerprint, licenses, lmscore, mixing, neardup, pii, quality, warc
-from tidekeep.llm.common import components
+from tidekeep.llm.common import components, stored
 from tidekeep.llm.fmindex import FMIndex
 from tidekeep.llm.lattice import Lattice, load_pieces
 from tidekeep.llm.queries import table
@@ -208,6 +208,43 @@ def test_near_duplicates_odd_rows(spark):
     assert got == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (None, 1, False), (None, None, False)], key=repr)
 
 
+def test_near_duplicates_at_the_threshold_emit_no_pairs(spark, monkeypatch):
+    """A group whose pairs mostly lie just around the threshold, in several blocks: whole links, and rows in proportion."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(500)]
+    texts = []
+    for d in range(240):
+        own = list(base)
+        for i in np.flatnonzero(rng.random(len(own)) < 0.0145):
+            own[i] = f"x{d}_{i}"
+        texts.append(" ".join(own))
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    up = list(range(len(texts)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    links = 0
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        common = len(sets[a] & sets[b])
+        if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+            links += 1
+            p, q = root(a), root(b)
+            up[max(p, q)] = min(p, q)
+    assert 0.05 < links / (240 * 239 / 2) < 0.95
+    made = []
+    for name in ("_block_pairs", "_whole_pairs"):
+        monkeypatch.setattr(
+            neardup, name, lambda *args, run=getattr(neardup, name): (made.append(stored(run(*args), "made")) or made[-1])
+        )
+    monkeypatch.setattr(neardup, "BLOCK", 50)
+    got = by_id(neardup.near_duplicates(make(spark, texts), size=3, percent=85))
+    assert [got[i]["component_id"] for i in range(len(texts))] == [root(i) for i in range(len(texts))]
+    assert len(made) >= 2 and all(df.count() < 30 * len(texts) for df in made)
+
+
 # ---- 3 fingerprints
 
 
