@@ -5,9 +5,12 @@ card and social security numbers, phone numbers, and names after a title. A surr
 
 - numbers keep their separators, length and country code, cards their first digit and, if it was right, a right check digit;
 - secrets, IBANs and the local part of addresses keep the class of every character, addresses get a reserved domain;
-- given names keep the gender of their title, and names their script; the title stays.
+- given names keep the gender of the titles they stand after in the corpus, and names their script; titles and particles stay;
+- initials of the Latin alphabet are shifted by the key.
 
-Equal entities have equal surrogates in all documents, also where one is written in two ways (separators, a country code, the
+A name after a title has up to four parts, with hyphens, apostrophes, initials and particles (`Mr. Jean-Luc O'Neil`, `Frau A. von
+Weber`); the last one is the surname. Its given names and surname are replaced wherever else they stand as whole words in the
+same document. Equal entities have equal surrogates in all documents, also where one is written in two ways (separators, a country code, the
 case of an address, a surname with and without given name). Different entities of a kind have different surrogates, none of
 which is itself an entity of the corpus: colliding candidates are drawn again, the smallest entity keeping its draw. Where the
 draws of a short format are used up, the surrogate is made longer, and an IP address takes the long form. The distinct entities are one table, checked by grouping and anti-joins; nothing is gathered per document but its own entities.
@@ -18,6 +21,8 @@ columns are kept. n_chars, where there is one, follows the text. Repeated rows g
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +35,8 @@ FIXED = 8
 
 _TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Господин"]}
 _ANY = ["Dr", "Prof"]
+# Between the parts of a name, left as they are.
+_PARTICLES = "van von der den de del di da du la le ter bin".split()
 _GIVEN = {
     "f latin": ["Anna", "Clara", "Elena", "Ida", "Julia", "Laura", "Maria", "Nina", "Olivia", "Sofia", "Thea", "Vera"],
     "m latin": ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Hugo", "Leon", "Martin", "Oscar", "Paul", "Simon"],
@@ -37,12 +44,20 @@ _GIVEN = {
     "f cyrillic": ["Анна", "Вера", "Елена", "Ирина", "Мария", "Нина", "Ольга", "Софья"],
     "m cyrillic": ["Андрей", "Борис", "Виктор", "Иван", "Олег", "Павел", "Роман", "Сергей"],
     "a cyrillic": ["Валя", "Женя", "Саша", "Слава"],
+    "f greek": ["Άννα", "Ελένη", "Ιωάννα", "Μαρία", "Σοφία", "Χριστίνα"],
+    "m greek": ["Ανδρέας", "Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Πέτρος"],
+    "a greek": ["Άλεξ", "Ντένη", "Πάτι"],
 }
 _SYLLABLES = {
     "latin": "ba den el fer gar hol in kor lan mer nor os pel ran sten tor ul ver win zen".split(),
     "cyrillic": "ба вер гор дан зар ков лен мир нов ран сол тур".split(),
+    "greek": "βα γορ δαν ζαρ κον λεν μιρ νορ ραν σολ τορ".split(),
 }
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_NAME = r"\p{Lu}[\p{L}\p{M}]+(?:-[\p{L}\p{M}]+|['\x{2019}]\p{Lu}[\p{L}\p{M}]+)*"
+_NAME = rf"(?:\p{{Lu}}['\x{{2019}}]{_NAME}|{_NAME})"
+_PART = rf"(?:{_NAME}|\p{{Lu}}\.)"
+_BETWEEN = rf"[ \x{{A0}}](?:(?:{'|'.join(_PARTICLES)})[ \x{{A0}}]){{0,2}}"
 _PATTERNS = [
     r"(?<![\w.+%-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.?(?<=\.[A-Za-z]{2,24})",
     r"(?<=(?i:token|secret|api_key|apikey|password|passwd|pwd)[\x22']?\s{0,3}[=:]\s{0,3}[\x22']?)(?=[+/_.-]*+[A-Za-z0-9])[A-Za-z0-9+/_.-]{8,}",
@@ -54,7 +69,7 @@ _PATTERNS = [
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     r"(?<![\w+.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)",
     r"(?<![\w+.])\+\d{8,15}(?!\w)",
-    rf"(?<!\w)(?:{'|'.join([*_TITLES['f'], *_TITLES['m'], *_ANY])})\.?[ \x{{A0}}]\p{{Lu}}\p{{L}}+(?:[ \x{{A0}}]\p{{Lu}}\p{{L}}+)?",
+    rf"(?<!\w)(?:{'|'.join([*_TITLES['f'], *_TITLES['m'], *_ANY])})\.?(?:{_BETWEEN}{_PART}){{0,3}}{_BETWEEN}{_NAME}",
 ]
 ENTITY = "|".join(f"(?:{p})" for p in _PATTERNS)
 
@@ -82,27 +97,46 @@ def _kind(raw: Column) -> Column:
     )
 
 
+def _words() -> str:
+    """The words of a raw name after its title."""
+    return "filter(split(substring(regexp_replace(raw, '^[^ \\u00A0]+', ''), 2), '[ \\u00A0]'), w -> w <> '')"
+
+
 def _parts() -> Column:
-    """kind and norm of what a raw entity names: one part, or the given name and the surname."""
-    words = "filter(split(substring(regexp_replace(raw, '^[^ \\u00A0]+', ''), 2), '[ \\u00A0]'), w -> w <> '')"
-    script = "if(raw rlike '\\\\p{IsCyrillic}', 'cyrillic', 'latin')"
+    """kind, norm and gender of what a raw entity names: one part, or the given names and the surname."""
+    words = _words()
+    script = "CASE WHEN raw rlike '\\\\p{IsCyrillic}' THEN 'cyrillic' WHEN raw rlike '\\\\p{IsGreek}' THEN 'greek' ELSE 'latin' END"
     title = "regexp_replace(split(raw, '[ \\u00A0]')[0], '[.]', '')"
     women, men = (", ".join(f"'{t}'" for t in _TITLES[g]) for g in ("f", "m"))
     gender = f"CASE WHEN {title} IN ({women}) THEN 'f' WHEN {title} IN ({men}) THEN 'm' ELSE 'a' END"
+    kept = ", ".join(f"'{p}'" for p in _PARTICLES)
+    no_gender = "cast(NULL AS string) AS gender"
     return F.expr(
         f"""CASE kind
         WHEN 'name' THEN transform({words}, (w, i) -> struct(
-            if(i = 0 AND size({words}) > 1, concat('given ', {gender}, ' ', {script}), concat('surname ', {script})) AS kind,
-            lower(w) AS norm))
+            CASE WHEN w rlike '^.[.]$' THEN 'initial' WHEN w IN ({kept}) THEN 'particle'
+                WHEN i < size({words}) - 1 THEN concat('given ', {script}) ELSE concat('surname ', {script}) END AS kind,
+            if(w rlike '^.[.]$', w, lower(w)) AS norm, {gender} AS gender))
         WHEN 'phone' THEN array(struct(kind AS kind, regexp_replace(regexp_replace(raw, '^[+][0-9]{{1,3}}(?=[ (.-])', ''),
-            '[^0-9]', '') AS norm))
-        WHEN 'mail' THEN array(struct(kind AS kind, lower(raw) AS norm))
-        WHEN 'ip6' THEN array(struct(kind AS kind, lower(raw) AS norm))
-        WHEN 'iban' THEN array(struct(kind AS kind, replace(raw, ' ', '') AS norm))
-        WHEN 'card' THEN array(struct(kind AS kind, regexp_replace(raw, '[^0-9]', '') AS norm))
-        WHEN 'ssn' THEN array(struct(kind AS kind, regexp_replace(raw, '[^0-9]', '') AS norm))
-        ELSE array(struct(kind AS kind, raw AS norm)) END"""
+            '[^0-9]', '') AS norm, {no_gender}))
+        WHEN 'mail' THEN array(struct(kind AS kind, lower(raw) AS norm, {no_gender}))
+        WHEN 'ip6' THEN array(struct(kind AS kind, lower(raw) AS norm, {no_gender}))
+        WHEN 'iban' THEN array(struct(kind AS kind, replace(raw, ' ', '') AS norm, {no_gender}))
+        WHEN 'card' THEN array(struct(kind AS kind, regexp_replace(raw, '[^0-9]', '') AS norm, {no_gender}))
+        WHEN 'ssn' THEN array(struct(kind AS kind, regexp_replace(raw, '[^0-9]', '') AS norm, {no_gender}))
+        ELSE array(struct(kind AS kind, raw AS norm, {no_gender})) END"""
+    )
+
+
+def _entities(raws: DataFrame) -> DataFrame:
+    """kind, norm and drawn, the kind with the gender that the titles before a given name agree on; distinct by kind and norm."""
+    parts = raws.select(F.explode("parts").alias("p")).select("p.*").where("kind NOT IN ('initial', 'particle')")
+    told = parts.groupBy("kind", "norm").agg(
+        F.max(F.col("gender") == "f").alias("f"), F.max(F.col("gender") == "m").alias("m")
     )
+    gender = F.when(F.col("f") & ~F.col("m"), "f").when(F.col("m") & ~F.col("f"), "m").otherwise("a")
+    drawn = F.when(F.col("kind").startswith("given "), F.concat(F.lit("given "), gender, F.substring("kind", 6, 99)))
+    return told.select("kind", "norm", F.coalesce(drawn, F.col("kind")).alias("drawn"))
 
 
 def _luhn(digits: str) -> str:
@@ -168,8 +202,10 @@ def _candidate(key: str, attempt: int) -> Column:
         WHEN kind = 'secret' AND norm rlike '^[0-9a-f]+$' THEN concat({hexes}, {longer})
         WHEN kind = 'secret' THEN concat({shape("norm")}, {longer})
         WHEN kind LIKE 'given % latin' THEN concat({given}, {extra["latin"]})
+        WHEN kind LIKE 'given % greek' THEN concat({given}, {extra["greek"]})
         WHEN kind LIKE 'given %' THEN concat({given}, {extra["cyrillic"]})
         WHEN kind = 'surname latin' THEN {name["latin"]}
+        WHEN kind = 'surname greek' THEN {name["greek"]}
         ELSE {name["cyrillic"]} END"""
     # The stream is bound to h once.
     return F.expr(f"transform(array({stream}), h -> {body})[0]")
@@ -178,12 +214,14 @@ def _candidate(key: str, attempt: int) -> Column:
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """kind, norm and surrogate. entities: distinct kind and norm."""
     entities = stored(entities, "entities")
+    # No name is drawn that is a name of the corpus, given or not.
+    place = F.when(F.col("kind").rlike("^(given|surname) "), "name").otherwise(F.col("kind")).alias("place")
+    real = stored(entities.select(place, F.lower("norm").alias("shown")).distinct(), "real")
     left, done = entities, None
     for attempt in range(ATTEMPTS):
         drawn = left.withColumn("surrogate", _candidate(key, attempt))
         drawn = drawn.withColumn("shown", F.lower("surrogate"))
-        real = entities.select("kind", F.lower("norm").alias("shown")).distinct()
-        free = drawn.join(real, ["kind", "shown"], "left_anti")
+        free = drawn.withColumn("place", place).join(real, ["place", "shown"], "left_anti").drop("place")
         if done is not None:
             free = free.join(done.select("kind", F.lower("surrogate").alias("shown")), ["kind", "shown"], "left_anti")
         won = free.groupBy("kind", "shown").agg(F.min(F.struct("norm", "surrogate")).alias("w"))
@@ -206,10 +244,19 @@ def _overlay(raw: str, digits: str, skip: str) -> str:
     )
 
 
-def _replacements(raws: DataFrame, known: DataFrame) -> DataFrame:
-    """raw and its replacement. raws: distinct raw with kind and parts."""
+def _shifted(key: str) -> str:
+    """An initial of the Latin alphabet moved on by a number that the key gives."""
+    move = 1 + int(hashlib.sha256(f"{key}|initial".encode()).hexdigest(), 16) % 25
+    return f"if(norm rlike '^[A-Z]', concat(chr(65 + (ascii(norm) - 65 + {move}) % 26), '.'), norm)"
+
+
+def _replacements(raws: DataFrame, known: DataFrame, key: str = KEY) -> DataFrame:
+    """raw, its replacement, and for names the words that stand for them, each with its surrogate. raws: distinct raw with kind
+    and parts."""
     parts = raws.select("raw", "kind", F.posexplode("parts").alias("at", "part"))
-    parts = parts.select("raw", F.col("kind").alias("type"), "at", "part.kind", "part.norm").join(known, ["kind", "norm"])
+    parts = parts.select("raw", F.col("kind").alias("type"), "at", "part.kind", "part.norm")
+    fixed = F.expr(f"CASE kind WHEN 'initial' THEN {_shifted(key)} WHEN 'particle' THEN norm END")
+    parts = parts.join(known, ["kind", "norm"], "left").withColumn("surrogate", F.coalesce("surrogate", fixed))
     whole = parts.groupBy("raw", "type").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("s"))
     code = "if(raw rlike '^[+][0-9]{1,3}[ (.-]', length(regexp_extract(raw, '^[+][0-9]{1,3}', 0)), 0)"
     text = F.expr(
@@ -220,7 +267,13 @@ def _replacements(raws: DataFrame, known: DataFrame) -> DataFrame:
         WHEN type IN ('card', 'ssn', 'iban') THEN {_overlay("raw", "s[0].surrogate", "0")}
         ELSE s[0].surrogate END"""
     )
-    return whole.select("raw", text.alias("replacement"))
+    # Words of one sign, initials and particles stand for nobody.
+    words = F.expr(
+        f"""if(type = 'name', filter(zip_with({_words()}, s, (w, x) -> struct(w AS word, x.surrogate AS surrogate)),
+            p -> length(p.word) > 2 AND p.word <> p.surrogate AND p.word rlike '^[\\\\p{{Lu}}]'),
+            cast(array() AS array<struct<word: string, surrogate: string>>))"""
+    )
+    return whole.select("raw", text.alias("replacement"), words.alias("words"))
 
 
 def anonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -239,12 +292,22 @@ def anonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     at = stored(texts.select("__key", F.posexplode("__found").alias("at", "raw")), "occurrences")
     raws = at.select("raw").distinct().withColumn("kind", _kind(F.col("raw"))).withColumn("parts", _parts())
     raws = stored(raws, "raws")
-    known = surrogates(raws.select(F.explode("parts").alias("p")).select("p.kind", "p.norm").distinct(), key)
-    swaps = at.join(_replacements(raws, known), "raw").groupBy("__key")
-    swaps = swaps.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "replacement"))), lambda x: x["replacement"]).alias("__new"))
-    gaps = F.split("text", ENTITY, -1)
-    built = F.array_join(F.zip_with(gaps, F.col("__new"), lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
-    changed = found.join(swaps, "__key").withColumn("text", built)
+    entities = stored(_entities(raws), "drawn")
+    drawn = surrogates(entities.select(F.col("drawn").alias("kind"), "norm"), key)
+    known = entities.join(drawn.withColumnRenamed("kind", "drawn"), ["drawn", "norm"]).drop("drawn")
+    swaps = at.join(_replacements(raws, known, key), "raw").groupBy("__key")
+    swaps = swaps.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "replacement"))), lambda x: x["replacement"]).alias("__new"),
+        F.array_distinct(F.flatten(F.collect_list("words"))).alias("__words"),
+    )
+    # A name found after a title goes wherever else it stands in the document.
+    gap = (
+        "aggregate(__words, g, (t, w) -> regexp_replace(t, concat('(?<![\\\\p{L}\\\\p{M}])', w.word, "
+        "'(?![\\\\p{L}\\\\p{M}])'), w.surrogate))"
+    )
+    new = f"zip_with(split(text, __pattern, -1), __new, (g, r) -> concat({gap}, coalesce(r, '')))"
+    changed = found.join(swaps, "__key").withColumn("__pattern", F.lit(ENTITY))
+    changed = changed.withColumn("text", F.array_join(F.expr(new), "")).drop("__pattern")
     changed = changed.withColumn("n_entities", F.size("__found").cast("long"))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
