@@ -139,6 +139,34 @@ def test_pii_has_no_python_in_its_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan and pii.anonymise(empty(spark)).count() == 0
 
 
+def test_pii_names_of_any_shape_and_wherever_they_stand(spark):
+    texts = [
+        "Mr. John Smith came. Smith left, and Smithson stayed with John.",
+        "Mr. Jean-Luc Picard saw Mrs. Anna O'Neil. O'Neil and Jean-Luc waved.",
+        "Mr. J. Smith wrote to Mr. John Ronald Tolkien; Ronald read it.",
+        "Dr. Anna Weber met Frau Anna Weber and Herr A. von der Weber.",
+        "Dr. Γιώργος Παππάς and Госпожа Анна Иванова. Παππάς spoke.",
+        "The smith and john went on. Mr. Speaker.",
+        "Mr. Smith's hat, Mr. John's coat",
+    ]
+    got = {i: r["text"] for i, r in by_id(pii.anonymise(make(spark, texts))).items()}
+    for gone in ("Smith ", "John", "Picard", "Jean", "Luc", "O'Neil", "Neil", "Tolkien", "Ronald", "Weber", "Παππάς", "Γιώργος", "Анна"):
+        assert all(gone not in got[i] for i in range(5)), gone
+    assert "Smithson stayed" in got[0] and got[5].startswith("The smith and john went on. Mr. ")
+    smith = re.match(r"Mr\. (\w+) (\w+) came\. (\w+) left, and Smithson stayed with (\w+)\.", got[0]).groups()
+    assert smith[1] == smith[2] and smith[0] == smith[3]
+    first, second, third, fourth = re.match(r"Mr\. (\w+) (?:\w+) saw Mrs\. (\w+) (\w+)\. (\w+) and \w+ waved\.", got[1]).groups()
+    assert third == fourth and got[1].endswith(f"and {first} waved.")
+    letter, surname, given, middle, last, again = re.match(
+        r"Mr\. (\w)\. (\w+) wrote to Mr\. (\w+) (\w+) (\w+); (\w+) read it\.", got[2]
+    ).groups()
+    assert letter != "J" and surname == smith[1] and given == smith[0] and middle == again and last not in (given, middle)
+    one, two, three, four, five = re.match(r"Dr\. (\w+) (\w+) met Frau (\w+) (\w+) and Herr (?:\w)\. von der (\w+)\.", got[3]).groups()
+    assert one == three == second and two == four == five, "one person under two titles"
+    assert re.search(r"Dr\. [\u0370-\u03ff\u1f00-\u1fff]+ ([\u0370-\u03ff]+) and .* \1 spoke", got[4])
+    assert got[6] == f"Mr. {smith[1]}'s hat, Mr. {got[6].split('Mr. ')[2].split(chr(39))[0]}'s coat"
+
+
 # ---- 2 near-duplicates
 
 
