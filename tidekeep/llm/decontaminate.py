@@ -5,7 +5,8 @@ built, every benchmark window runs backwards through it at once, and the occurre
 and merged into spans per document. Nothing is shuffled, and a task holds one shard.
 
 A window is `size` consecutive words of an item; an item of fewer words, but not none, is one window. Words are runs of
-letters, digits and characters beyond ASCII, with A-Z in lower case. Windows do not cross documents. They travel to the tasks
+letters, digits and characters beyond ASCII, with A-Z in lower case. Windows do not cross documents. Words are searched by 64-bit
+keys, and what is found is compared byte by byte. Windows travel to the tasks
 at most `WINDOWS` (window, item) pairs at a time: a larger benchmark takes as many passes as it needs.
 
 Null, empty and wordless texts have no words and no hits. Repeated documents are each searched; repeated items count once by
@@ -28,8 +29,13 @@ SHARD_BYTES = 3 << 20
 FOUND = "n_words long, n_hit long, spans array<struct<start:long,stop:long>>, items array<long>"
 
 
+def _joined(words: Words, here: slice) -> bytes:
+    """The bytes of consecutive words, joined by blanks."""
+    return b" ".join(words.data[a:b].tobytes() for a, b in zip(words.starts[here], words.ends[here], strict=True))
+
+
 def windows(benchmark: DataFrame, size: int) -> DataFrame:
-    """Distinct pairs of window (keys of its words, 8 bytes each) and item_id."""
+    """Distinct windows (keys of their words, 8 bytes each), their words joined by blanks, and item_id."""
 
     def run(batches):
         for batch in batches:
@@ -38,27 +44,32 @@ def windows(benchmark: DataFrame, size: int) -> DataFrame:
                 keys, ids, seen = words.keys(), part.column("item_id"), {}
                 for k, (at, n) in enumerate(zip(words.first[:-1], words.counts, strict=True)):
                     for i in range(max(0, n - size) + 1 if n else 0):
-                        seen[keys[at + i : at + min(n, i + size)].tobytes(), k] = None
+                        here = slice(at + i, at + min(n, i + size))
+                        seen[keys[here].tobytes(), _joined(words, here), k] = None
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, _ in seen], pa.binary()), ids.take(pa.array([k for _, k in seen], pa.int64()))],
-                    ["window", "item_id"],
-                )
+                    [
+                        pa.array([w for w, _, _ in seen], pa.binary()), pa.array([p for _, p, _ in seen], pa.binary()),
+                        ids.take(pa.array([k for _, _, k in seen], pa.int64())),
+                    ],
+                    ["window", "phrase", "item_id"],
+                )
 
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    return items.mapInArrow(run, "window binary, item_id long").distinct()
+    return items.mapInArrow(run, "window binary, phrase binary, item_id long").distinct()
 
 
 class _Phrases:
     def __init__(self, rows: list, size: int):
-        by_window: dict[bytes, list[int]] = {}
-        for window, item in rows:
-            ids = by_window.setdefault(bytes(window), [])
+        by_window: dict[tuple[bytes, bytes], list[int]] = {}
+        for window, phrase, item in rows:
+            ids = by_window.setdefault((bytes(window), bytes(phrase)), [])
             if item is not None:
                 ids.append(item)
-        self.lengths = np.array([len(w) // 8 for w in by_window], np.int64)
+        self.lengths = np.array([len(w) // 8 for w, _ in by_window], np.int64)
         self.keys = np.zeros((len(by_window), size), np.uint64)
-        for k, w in enumerate(by_window):
+        for k, (w, _) in enumerate(by_window):
             self.keys[k, : len(w) // 8] = np.frombuffer(w, np.uint64)
+        self.phrases = [p for _, p in by_window]
         self.items = [np.array(ids, np.int64) for ids in by_window.values()]
 
 
@@ -81,6 +92,14 @@ def _search(words: Words, phrases: _Phrases) -> tuple[np.ndarray, list[np.ndarra
     which = np.repeat(asked, counts)
     rows = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
     where = index.locate(rows)
+    # Words were found by their keys; what counts is their bytes.
+    begin = where - np.searchsorted(words.first + np.arange(texts + 1), where, "right") + 1
+    same = [
+        _joined(words, slice(b, b + n)) == phrases.phrases[k]
+        for b, n, k in zip(begin.tolist(), phrases.lengths[which].tolist(), which.tolist(), strict=True)
+    ]
+    same = np.array(same, bool)
+    where, which = where[same], which[same]
     edge = np.zeros(len(text) + 1, np.int64)
     np.add.at(edge, where, 1)
     np.add.at(edge, where + phrases.lengths[which], -1)
@@ -158,7 +177,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     out = docs.drop("n_words", "n_hit", "spans", "items").withColumn("text", F.col("text").cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + ", " + FOUND
     for k in range(passes):
-        part = pairs.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(passes)) == k).collect()
+        part = pairs.where(F.pmod(F.xxhash64("window", "phrase", "item_id"), F.lit(passes)) == k).collect()
         sent = spark.sparkContext.broadcast(_Phrases(part, size))
 
         def run(batches, sent=sent):
