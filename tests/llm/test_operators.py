@@ -16,6 +16,7 @@ from tidekeep.llm.common import components, stored
 from tidekeep.llm.fmindex import FMIndex
 from tidekeep.llm.lattice import Lattice, load_pieces
 from tidekeep.llm.queries import table
+from tidekeep.llm.tokens import NOT_ALNUM, words_of
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, label int, n_tokens string, items string"
@@ -654,6 +655,20 @@ def test_decontamination(spark, monkeypatch, limit):
     assert decontaminate.mark(empty(spark), bench).count() == 0 and decontaminate.mark(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_words_of_one_key_are_told_apart_by_their_bytes(spark):
+    twin = ["a"]
+    for _ in range(11):
+        twin = [x for c in twin for x in ("ab" if c == "a" else "ba")]
+    one = "".join(twin)
+    other = one.translate(str.maketrans("ab", "ba"))
+    column = pa.array([one, other])
+    assert len(set(words_of(column, NOT_ALNUM).keys().tolist())) == 1, "the case this test is about"
+    docs = make(spark, [f"x {one} y", f"x {other} y", f"{other} {one}"])
+    bench = spark.createDataFrame([(1, one), (2, other + " y")], "item_id long, text string")
+    got = by_id(decontaminate.mark(docs, bench))
+    assert [(got[i]["n_hit"], got[i]["items"]) for i in range(3)] == [(1, [1]), (2, [2]), (1, [1])]
+
+
 # ---- the pipeline
 
 
