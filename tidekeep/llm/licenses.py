@@ -2,8 +2,9 @@
 
 A multinomial logistic regression over words and word pairs is trained on notices of each family, alone, in phrases around
 them and within paragraphs of the corpus, and on paragraphs that hold none (the unknown class). Part of the examples is kept
-back to fit a temperature, so that the probabilities are calibrated. Lines of more than `RUN` words are scored in runs that
-overlap by more than the longest template, so a notice is found wherever it is in a line. Every line of every text is scored.
+back to fit a temperature, so that the probabilities are calibrated. A paragraph is a line; lines of at most `WRAPPED` signs that
+follow each other are one, as wrapped text stands in files, until a sentence ends with its line or a line is blank or of signs only. Paragraphs of more than `RUN` words are scored in runs that
+overlap by more than the longest template, so a notice is found wherever it is in one. Every line of every text is scored.
 
 A run that is likelier a notice than not is compared with the templates: a family fits if one of its templates shares `SHARED`
 of its word pairs with the run. Of those that fit the likeliest is confirmed if it reaches `LEAST` beside the unknown class and
@@ -11,7 +12,7 @@ the families that do not fit. The words before and after its template are then s
 further notice is confirmed. What touches the cut end of a run is left to the neighbouring run, which has it whole. A paragraph
 counts once for each of its families.
 
-Training uses the paragraphs of the `FIT_DOCS` documents with the smallest hashes of their ids; those that hold a template are
+Training uses the paragraphs of the `FIT_DOCS` documents with the smallest hashes of id and text; those that hold a template are
 left out of the unknown class. Null and empty texts have no paragraphs. A document of one long line is one paragraph. Repeated
 rows each get a row; on an empty table the result is empty. Other columns are not looked at.
 """
@@ -31,6 +32,8 @@ from .common import stored
 
 FIT_DOCS = 500
 CONTEXTS = 12
+# Signs of a line, at most, that may be part of a wrapped paragraph.
+WRAPPED = 100
 # Runs of which each notice gets CONTEXTS: many different ones, so that common words speak for no class.
 POOL = 96
 # Words of a run, and how many of them the next run has too: the longest template and EDGE words on either side of it.
@@ -106,8 +109,14 @@ STRANGERS = [
 
 
 def paragraphs(text: Column) -> Column:
-    """The lines of a text that hold more than blanks."""
-    lines = F.split(F.coalesce(text.cast("string"), F.lit("")), "[\\n\\r]+")
+    """The paragraphs of a text that hold more than blanks: its lines, wrapped ones joined."""
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    short = rf"[^\n\r]{{1,{WRAPPED}}}"
+    # A line with a letter or digit that ends here, not with a sentence, before another such line.
+    joined = F.regexp_replace(
+        whole, rf"(?m)^(?=[^\n\r]*[\p{{L}}\p{{N}}])({short})(?<![.!?:;])(?:\r\n|\n|\r)(?=[^\n\r]*[\p{{L}}\p{{N}}])(?={short}$)", "$1 "
+    )
+    lines = F.split(joined, "[\\n\\r]+")
     return F.filter(lines, lambda x: F.trim(x) != "")
 
 
@@ -175,7 +184,9 @@ class Classifier:
     def __init__(self, docs: DataFrame):
         spark = docs.sparkSession
         self.families = [UNKNOWN, *TEMPLATES]
-        few = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "text").limit(FIT_DOCS)
+        hashed = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text")
+        chosen = F.broadcast(hashed.select("h").distinct().orderBy("h").limit(FIT_DOCS))
+        few = hashed.join(chosen, "h").groupBy("h").agg(F.first("text").alias("text"))
         lines = few.select(F.explode(paragraphs(F.col("text"))).alias("line"))
         own = _terms(lines.select(F.explode(runs(F.col("line"))).alias("run")).select("run.text"))
         best = reduce(F.greatest, [_likeness(F.col("pairs"), f) for f in TEMPLATES])
