@@ -669,6 +669,31 @@ def test_words_of_one_key_are_told_apart_by_their_bytes(spark):
     assert [(got[i]["n_hit"], got[i]["items"]) for i in range(3)] == [(1, [1]), (2, [2]), (1, [1])]
 
 
+def test_wrapped_licence_notices(spark):
+    notices = {
+        "mit": "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated "
+        "documentation\nfiles (the \"Software\"), to deal in the Software without\nrestriction, including the rights to use and copy.",
+        "bsd": "# Redistribution and use in source and binary forms,\n# with or without modification, are permitted provided\n"
+        "# that the following conditions are met:\n#\n# 1. Redistributions of source code must retain the notice.",
+        "gpl": " * This program is free software; you can redistribute\r\n * it and/or modify it under the terms of the GNU\r\n"
+        " * General Public License as published by the Free\r\n * Software Foundation.",
+        "lgpl": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General\n"
+        "Public License as published by the Free Software\nFoundation; either version 2.1 of the License.",
+    }
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    first = 1 + docs.agg(F.max("doc_id")).first()[0]
+    plain = "The river ran low that\nsummer and the mill stood\nidle until the rain came.\n\nNobody minded the wait."
+    rows = [(first + i, f"{plain}\n\n{t}\n\n{plain}") for i, t in enumerate([*notices.values(), "nothing here"])]
+    got = by_id(licenses.scan(docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert [got[first + i]["families"] for i in range(5)] == [*notices, ""]
+    cut = spark.createDataFrame([(plain,), ("a\r\nb\n \nc\n***\nd\n" + "e" * 101 + "\nf",), (None,)], "t string")
+    cut = [r[0] for r in cut.select(licenses.paragraphs(F.col("t"))).collect()]
+    assert cut == [
+        ["The river ran low that summer and the mill stood idle until the rain came.", "Nobody minded the wait."],
+        ["a b", "c", "***", "d", "e" * 101, "f"], [],
+    ]
+
+
 # ---- the pipeline
 
 
