@@ -106,3 +106,19 @@ def test_union_fills_absent_columns(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     b = spark.createDataFrame([(2,)], "k int")
     assert rows(setops.union_all(a, b)) == [(1, "x"), (2, None)]
+
+
+def test_whole_number_keys_are_matched_as_numbers(spark):
+    """Texts that only look like the number match nothing, as they would not as text."""
+    odd = ["1", "02", " 3", "+4", "5.0", "x", None, "-6", "9223372036854775808"]
+    log = spark.createDataFrame([(t,) for t in odd], "id_column_value string")
+    for kind in ("int", "bigint", "smallint", "string"):
+        target = spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 5, -6, None)], "n int").select(F.col("n").cast(kind).alias("k"))
+        kept = [r["k"] for r in joins.anti_by_id_value(target, log, ["k"]).collect()]
+        assert sorted(map(str, kept)) == ["2", "3", "4", "5", "None"]
+        both = joins.anti_by_delta_and_log(target, target.where("k in (2, 3)"), log, ["k"])
+        assert sorted(str(r["k"]) for r in both.collect()) == ["4", "5", "None"]
+        gone = joins.delete_exists(target, log, "k", keep_deleted=True)
+        assert sorted(str(r["k"]) for r in gone.collect()) == ["-6", "1"]
+    plan = joins.anti_by_id_value(target.select(F.col("k").cast("int")), log, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(k" in plan and "bigint" in plan

@@ -14,8 +14,9 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import PARTITION_COLUMN, TaskConfig
 from ..functions.dates import time_literal
@@ -26,7 +27,7 @@ from ..functions.text import composite_key
 SPREAD = 16
 _SLOT = "__slot"
 
-# The key as text, on either side of a join. Helper columns start with two underscores so that they
+# The key as text or number, on either side of a join. Helper columns start with two underscores so that they
 # never hide a column of the table.
 KEY_TEXT = "__key"
 
@@ -56,36 +57,56 @@ def id_values(log: DataFrame) -> DataFrame:
     return log.select(F.col("id_column_value").cast("string").alias(KEY_TEXT))
 
 
+def is_number(target: DataFrame, pks: Sequence[str]) -> bool:
+    """Whether a key is one whole number, which is matched as such instead of as text."""
+    return len(pks) == 1 and isinstance(target.schema[pks[0]].dataType, T.IntegralType)
+
+
+def match_key(target: DataFrame, pks: Sequence[str]) -> Column:
+    """What a table's key is matched by: its text, or the number that it is."""
+    return F.col(pks[0]).cast("bigint") if is_number(target, pks) else composite_key(*pks)
+
+
+def ids_as(ids: DataFrame, target: DataFrame, pks: Sequence[str]) -> DataFrame:
+    """Key texts in the form of `match_key`. A text that is not how a number is written matches none."""
+    if not is_number(target, pks):
+        return ids
+    number = F.col(KEY_TEXT).try_cast("bigint")
+    return ids.select(F.when(number.cast("string") == F.col(KEY_TEXT), number).alias(KEY_TEXT))
+
+
 def anti_by_id_value(target: DataFrame, log: DataFrame, pks: Sequence[str]) -> DataFrame:
     """Target rows whose key text is not the id of a log row."""
-    return without(target.withColumn(KEY_TEXT, composite_key(*pks)), id_values(log), [KEY_TEXT]).drop(KEY_TEXT)
+    ids = ids_as(id_values(log), target, pks)
+    return without(target.withColumn(KEY_TEXT, match_key(target, pks)), ids, [KEY_TEXT]).drop(KEY_TEXT)
 
 
 def anti_by_delta_and_log(target: DataFrame, delta: DataFrame, log: DataFrame | None, pks: Sequence[str]) -> DataFrame:
     """`anti_by_keys` and `anti_by_id_value` in one pass, so the target is shuffled once.
 
-    Both sides meet on the key text. Delta keys must also agree column by column, because values
+    Both sides meet on the key text, or on the number that the key is. Delta keys must also agree column by column, because values
     with commas could make two different keys read alike; log rows carry only the text.
     """
     parts = {k: f"__key_{i}" for i, k in enumerate(pks)}
     kinds = {k: target.schema[k].dataType for k in pks}
     marks = delta.select(*[F.col(k).cast(kinds[k]).alias(part) for k, part in parts.items()]).na.drop()
-    marks = marks.withColumn("__mark", composite_key(*parts.values()))
+    marks = marks.withColumn("__mark", match_key(marks, list(parts.values())))
     if log is not None:
         blanks = [F.lit(None).cast(kinds[k]).alias(part) for k, part in parts.items()]
-        marks = marks.unionByName(id_values(log).na.drop().select(*blanks, F.col(KEY_TEXT).alias("__mark")))
+        ids = ids_as(id_values(log), target, pks).na.drop()
+        marks = marks.unionByName(ids.select(*blanks, F.col(KEY_TEXT).alias("__mark")))
     marks = marks.withColumn(_SLOT, F.spark_partition_id() % SPREAD).distinct().drop(_SLOT)
     condition = F.col(KEY_TEXT) == F.col("__mark")
     if len(pks) > 1:
         from_log = F.col(parts[pks[0]]).isNull()
         same = reduce(and_, [F.col(k) == F.col(part) for k, part in parts.items()])
         condition = condition & (from_log | same)
-    return target.withColumn(KEY_TEXT, composite_key(*pks)).join(marks, condition, "left_anti").drop(KEY_TEXT)
+    return target.withColumn(KEY_TEXT, match_key(target, pks)).join(marks, condition, "left_anti").drop(KEY_TEXT)
 
 
 def delete_in(target: DataFrame, keys: DataFrame, pks: Sequence[str], lo: int, hi: int | None = None) -> DataFrame:
     """Drop rows of partitions from lo (to hi) whose key text is among `keys.__key`; others are untouched."""
-    marked = target.withColumn(KEY_TEXT, composite_key(*pks))
+    marked, keys = target.withColumn(KEY_TEXT, match_key(target, pks)), ids_as(keys, target, pks)
     scope = F.col(PARTITION_COLUMN) >= lo
     if hi is not None:
         scope = scope & (F.col(PARTITION_COLUMN) <= hi)
@@ -168,9 +189,9 @@ def logged_deletes(
 
 def delete_exists(target: DataFrame, deletes: DataFrame, pk: str, keep_deleted: bool = False) -> DataFrame:
     """Target rows without a matching delete, or the deleted rows themselves."""
-    marked = target.withColumn(KEY_TEXT, F.col(pk).cast("string"))
+    key = match_key(target, [pk]) if is_number(target, [pk]) else F.col(pk).cast("string")
     pick = within if keep_deleted else without
-    return pick(marked, id_values(deletes), [KEY_TEXT]).drop(KEY_TEXT)
+    return pick(target.withColumn(KEY_TEXT, key), ids_as(id_values(deletes), target, [pk]), [KEY_TEXT]).drop(KEY_TEXT)
 
 
 def logged_days(log: DataFrame, table: str, lo_day: int, hi_day: int) -> DataFrame:

@@ -26,7 +26,6 @@ from ..config import (
     months_between,
     shift_months,
 )
-from ..functions.text import composite_key
 from ..operators.aggregates import newest_delete
 from ..operators.joins import (
     KEY_TEXT,
@@ -34,8 +33,10 @@ from ..operators.joins import (
     delete_in,
     delta_minus_deletes,
     id_values,
+    ids_as,
     key_texts,
     log_range,
+    match_key,
     within,
 )
 from ..operators.project import CLEAN_ALIAS, apply_filters, drop_sentinels, in_lookback, project, with_audit, with_month
@@ -238,8 +239,8 @@ def run_clean_incremental(
     target = read_table(spark, path, schema=schema or change.inserted.schema)
     place = F.col(PARTITION_COLUMN)
     scope = target.where(place >= change.oldest)
-    hit = scope.select(*cfg.primary_keys, place).withColumn(KEY_TEXT, composite_key(*cfg.primary_keys))
-    hit = within(hit, change.keys, [KEY_TEXT]).select(place)
+    hit = scope.select(*cfg.primary_keys, place).withColumn(KEY_TEXT, match_key(target, cfg.primary_keys))
+    hit = within(hit, ids_as(change.keys, target, cfg.primary_keys), [KEY_TEXT]).select(place)
     # One number per partition reaches the driver.
     places = [r[0] for r in hit.union(change.inserted.select(place)).distinct().collect()]
     early = [p for p in places if p is None or p < change.oldest]

@@ -141,7 +141,7 @@ def _run_in_batches(parts: Sequence[Callable[[], DataFrame]], path: str, as_of:
         rows = union_all(*[part() for part in batch])
         spark = rows.sparkSession
         placed = rows.withColumns({CHECK_DAY: F.lit(day), CHECK_BATCH: F.lit(number)})
-        writer = placed.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = placed.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         # A batch that found nothing leaves an empty partition behind, so the old one is removed first.
         FileTree(spark).remove(f"{path}/{CHECK_DAY}={day}/{CHECK_BATCH}={number}")
         writer.partitionBy(CHECK_DAY, CHECK_BATCH).parquet(path)

@@ -87,23 +87,31 @@ class FileTree:
         return [s.getLen() for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
 
     def data_files(self, path: str) -> list[DataFile]:
-        """All data files of a table, the partition folders below it included, without hidden ones."""
+        """All data files of a table, the partition folders below it included, without hidden ones. Folders of a level are listed
+        side by side."""
         fs, root = self._at(path)
-        found: list[DataFile] = []
+        if not fs.exists(root):
+            return []
 
-        def walk(folder, place: str) -> None:
-            for s in fs.listStatus(folder):
+        def listed(folder) -> tuple[list[DataFile], list]:
+            found, below, (where, place) = [], [], folder
+            for s in fs.listStatus(where):
                 name = s.getPath().getName()
                 if name.startswith((".", "_")) and "=" not in name:
                     continue
                 if s.isFile():
                     found.append(DataFile(place, name, s.getLen(), s.getModificationTime()))
                 else:
-                    walk(s.getPath(), f"{place}/{name}" if place else name)
+                    below.append((s.getPath(), f"{place}/{name}" if place else name))
+            return found, below
 
-        if fs.exists(root):
-            walk(root, "")
-        return found
+        files, level = [], [(root, "")]
+        with ThreadPoolExecutor(MOVERS) as pool:
+            while level:
+                parts = list(pool.map(listed, level))
+                files += [f for found, _ in parts for f in found]
+                level = [folder for _, below in parts for folder in below]
+        return files
 
     def uri(self, path: str) -> str:
         """The path with its scheme, escaped as addresses are: what Spark calls a file in `_metadata`."""
