@@ -2,7 +2,7 @@
 
 Rows without an id pass every filter they can be judged by; of those with equal texts one stays. Rows that share an id are
 documents of their own where their texts differ: only near-duplicates give way to each other. An empty table passes
-all stages. The mix is fitted on the labelled source documents, and aims at the domains that the first stage keeps. The last stage adds n_tokens,
+all stages. The mix is fitted on the labelled source documents of the domains that the first stage keeps, and aims at these. The last stage adds n_tokens,
 rate and copies: how often a document is to be read. Documents dealt no copy leave the mix.
 """
 
@@ -20,6 +20,8 @@ from tidekeep.llm.quality import keep_good
 
 # Numbers rows where the near-duplicates are sought.
 ROW = "__row"
+# Domains that the first stage keeps: those of quality 1.
+GOOD = "1/"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +71,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the rate and the number of copies that bring the mix to its target shares."""
     domains = labelled_domains(_table(spark, sf_dir, "labels"), ["quality", "toxic"])
-    left = {name: share for name, share in TARGETS.items() if name.startswith("1/")}
+    domains = domains.where(F.col("domain").startswith(GOOD))
+    left = {name: share for name, share in TARGETS.items() if name.startswith(GOOD)}
     out, _ = mix(docs, domains, left, examples=_table(spark, sf_dir, "documents"))
     return out.where("copies > 0").select(*docs.columns, "n_tokens", "rate", "copies")
 
