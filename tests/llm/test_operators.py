@@ -305,6 +305,37 @@ def test_span_equality_and_extension():
     assert str(fingerprint.Fingerprint.parse(str(f))) == str(f)
 
 
+def test_powers_are_made_once_for_texts_of_any_length(monkeypatch):
+    made, table_of = [], fingerprint._table
+
+    def counted(*args):
+        made.append(args)
+        return table_of(*args)
+
+    monkeypatch.setattr(fingerprint, "_table", counted)
+    for n in (5, 40_000, 5, 100_000, 5, 20_000, 5):
+        fingerprint.fingerprint("ab " * n)
+    assert len(made) <= 4
+
+
+def test_spans_of_texts_longer_than_a_block():
+    rng = np.random.default_rng(8)
+    text = "".join(map(chr, rng.integers(32, 0x3000, 100_000)))
+    x = fingerprint.Prefix(text)
+
+    def want(part):
+        return tuple(sum((ord(c) + 1) * pow(b, i, p) for i, c in enumerate(part)) % p for b, p in zip(fingerprint.BASES, fingerprint.PRIMES, strict=True))
+
+    spans = x.spans(fingerprint.SPAN)
+    assert len(spans) == len(text) - fingerprint.SPAN + 1
+    for edge in (0, 1 << 14, 1 << 15, 1 << 16, 3 << 15, len(text) - fingerprint.SPAN):
+        for at in range(max(0, edge - fingerprint.SPAN), min(edge + 2, len(spans))):
+            part = text[at : at + fingerprint.SPAN]
+            assert x.span(at, fingerprint.SPAN) == want(part)
+            assert spans[at] == fingerprint.Prefix(part).spans(fingerprint.SPAN)[0]
+    assert x.span(30_000, 50_000) == want(text[30_000:80_000])
+
+
 # ---- 4 conversations
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,8 @@ KEPT = 64
 RANGE_BYTES = 4 << 20
 MOST_RANGES = 10_000
 
-_powers: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+INVERSES = tuple(pow(b, -1, p) for b, p in zip(BASES, PRIMES, strict=True))
+BLOCK = 1 << 15
 
 
 def _table(base: int, p: int, n: int) -> np.ndarray:
@@ -47,13 +49,23 @@ def _table(base: int, p: int, n: int) -> np.ndarray:
     return out
 
 
-def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each base and of its inverse, modulo its prime."""
-    size = 1 << max(14, n.bit_length())
-    if size not in _powers:
-        _powers.clear()
-        _powers[size] = [(_table(b, p, size), _table(pow(b, -1, p), p, size)) for b, p in zip(BASES, PRIMES, strict=True)]
-    return _powers[size]
+@cache
+def _tables() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each base and of its inverse, modulo its prime, for a block of places; longer texts go block by block."""
+    each = zip(BASES, INVERSES, PRIMES, strict=True)
+    return [(_table(b, p, BLOCK), _table(inverse, p, BLOCK)) for b, inverse, p in each]
+
+
+def _by_place(values: np.ndarray, table: np.ndarray, base: int, p: int) -> np.ndarray:
+    """Values of less than 33 bits times the powers of the base by their places; table: its powers for the first block."""
+    q = np.uint64(p)
+    if len(values) <= len(table):
+        return values * table[: len(values)] % q
+    out = np.empty(len(values), np.uint64)
+    for at in range(0, len(values), len(table)):
+        part = values[at : at + len(table)]
+        out[at : at + len(part)] = part * table[: len(part)] % q * np.uint64(pow(base, at, p)) % q
+    return out
 
 
 class Prefix:
@@ -64,16 +76,16 @@ class Prefix:
         self.n = len(self.codes)
         self.sums = []
         wide = self.codes.astype(np.uint64) + np.uint64(1)
-        for (power, _), p in zip(_tables(self.n + 1), PRIMES, strict=True):
+        for (power, _), b, p in zip(_tables(), BASES, PRIMES, strict=True):
             run = np.zeros(self.n + 1, np.uint64)
-            np.cumsum(wide * power[: self.n] % np.uint64(p), out=run[1:])
+            np.cumsum(_by_place(wide, power, b, p), out=run[1:])
             self.sums.append(run % np.uint64(p))
 
     def span(self, at: int, size: int) -> tuple[int, ...]:
         """The hash of a span: equal for equal spans wherever they stand."""
         out = []
-        for run, (_, inverse), p in zip(self.sums, _tables(self.n + 1), PRIMES, strict=True):
-            out.append((int(run[at + size]) - int(run[at])) * int(inverse[at]) % p)
+        for run, inverse, p in zip(self.sums, INVERSES, PRIMES, strict=True):
+            out.append((int(run[at + size]) - int(run[at])) * pow(inverse, at, p) % p)
         return tuple(out)
 
     def spans(self, size: int) -> np.ndarray:
@@ -82,10 +94,9 @@ class Prefix:
             return np.zeros(0, np.uint64)
         size = min(size, self.n)
         both = []
-        for run, (_, inverse), p in zip(self.sums, _tables(self.n + 1), PRIMES, strict=True):
+        for run, (_, table), inverse, p in zip(self.sums, _tables(), INVERSES, PRIMES, strict=True):
             q = np.uint64(p)
-            part = run[size:] + q - run[:-size]
-            both.append(part % q * inverse[: len(part)] % q)
+            both.append(_by_place((run[size:] + q - run[:-size]) % q, table, inverse, p))
         return mix((both[0] << np.uint64(32)) ^ both[1] ^ np.uint64(size << 58))
 
 
@@ -95,18 +106,24 @@ def extension(a: Prefix, i: int, b: Prefix, j: int) -> int:
     return bisect.bisect_left(range(1, most + 1), True, key=lambda k: a.span(i, k) != b.span(j, k))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending; a sort is faster here than the hashing of np.unique."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 def _smallest(values: np.ndarray) -> np.ndarray:
     few = 4 * KEPT
     if len(values) > few:
-        low = np.unique(np.partition(values, few)[:few])
+        low = _distinct(np.partition(values, few)[:few])
         if len(low) >= KEPT:
             return low[:KEPT]
-    return np.unique(values)[:KEPT]
+    return _distinct(values)[:KEPT]
 
 
 class Fingerprint:
     def __init__(self, n: int, whole: tuple[int, ...], values: np.ndarray):
-        self.n, self.whole, self.values = n, whole, values
+        self.n, self.whole, self.values = n, whole, values  # values: distinct, ascending
 
     def __str__(self) -> str:
         return f"{self.n}:{''.join(f'{h:08x}' for h in self.whole)}:{self.values.astype('>u8').tobytes().hex()}"
@@ -129,11 +146,12 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
         return 1.0
     if not a.n or not b.n:
         return 0.0
-    union = np.union1d(a.values, b.values)
+    both = np.sort(np.concatenate((a.values, b.values)))
+    twice = both[1:] == both[:-1]
+    common, union = both[1:][twice], both[np.concatenate(([True], ~twice))]
     if max(len(a.values), len(b.values)) >= KEPT:
         union = union[:KEPT]
-    common = np.isin(union, a.values, assume_unique=True) & np.isin(union, b.values, assume_unique=True)
-    j = common.sum() / len(union)
+    j = np.searchsorted(common, union[-1], "right") / len(union)
     return float(min(2 * j / (1 + j), 2 * min(a.n, b.n) / (a.n + b.n), 1 - 1 / (a.n + b.n)))
 
 
@@ -162,8 +180,8 @@ class _Document:
         if take >= SPAN:
             parts.append(after.spans[: take - SPAN + 1])
         whole = []
-        for k, (power, p) in enumerate(zip(_tables(max(n, total) + 1), PRIMES, strict=True)):
-            ahead = int(after.prefix.sums[k][take]) * int(power[0][keep])
+        for k, (b, p) in enumerate(zip(BASES, PRIMES, strict=True)):
+            ahead = int(after.prefix.sums[k][take]) * pow(b, keep, p)
             whole.append((int(self.prefix.sums[k][keep]) + ahead) % p)
         return text, Fingerprint(total, tuple(whole), _smallest(np.concatenate(parts)))
 
@@ -257,7 +275,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 if at == where:
                     rows.append(waiting.row(here))
                 waiting, where = None if guest else here, at
-            yield pa.RecordBatch.from_pylist([dict(zip(_SCHEMA.names, r, strict=True)) for r in rows], _SCHEMA)
+            columns = zip(*rows, strict=True) if rows else ([] for _ in _SCHEMA)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
             rows = []
 
     return ranges.select("doc_id", "text", "range", "guest").mapInArrow(
